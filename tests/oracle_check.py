@@ -1,0 +1,85 @@
+"""Compare every registered query with its SQL on the same tables.
+
+    python -m tests.oracle_check [sf_dir] [query ...]
+"""
+
+from __future__ import annotations
+
+import sys
+import time
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+from pyspark.sql import SparkSession
+
+import __spark_entry__ as entry_points
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for path in sorted(Path(sf_dir).glob("*.parquet")):
+        connection.sql(f"create view {path.stem} as select * from '{path}'")
+    return connection
+
+
+def differences(spark: SparkSession, connection, name: str, sf_dir: str) -> list[str]:
+    frame = entry_points.queries()[name](spark, sf_dir)
+    result = connection.sql(entry_points.oracle_sql()[name])
+    columns = sorted(frame.columns)
+    if columns != sorted(result.columns):
+        return [f"columns {columns} != {sorted(result.columns)}"]
+    ours = Counter(tuple(row) for row in frame.select(*columns).collect())
+    listed = ", ".join(f'"{c}"' for c in columns)
+    theirs = Counter(connection.sql(f"select {listed} from result").fetchall())
+    problems = []
+    if ours != theirs:
+        problems.append(f"rows {ours.total()} vs {theirs.total()}")
+        problems += [f"only ours: {row}" for row in list((ours - theirs))[:2]]
+        problems += [f"only theirs: {row}" for row in list((theirs - ours))[:2]]
+    types = {c: str(t) for c, t in zip(result.columns, result.types)}
+    expected = {
+        "bigint": "BIGINT",
+        "int": "INTEGER",
+        "smallint": "SMALLINT",
+        "tinyint": "TINYINT",
+        "string": "VARCHAR",
+        "double": "DOUBLE",
+        "date": "DATE",
+        "boolean": "BOOLEAN",
+        "timestamp_ntz": "TIMESTAMP",
+    }
+    for column, spark_type in frame.dtypes:
+        if expected.get(spark_type) != types[column]:
+            problems.append(f"type of {column}: {spark_type} vs {types[column]}")
+    return problems
+
+
+def main(sf_dir: str, names: list[str]) -> int:
+    spark = (
+        SparkSession.builder.master("local[8]")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.session.timeZone", "UTC")
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    connection = connect(sf_dir)
+    failed = 0
+    for name in names or list(entry_points.queries()):
+        started = time.perf_counter()
+        try:
+            problems = differences(spark, connection, name, sf_dir)
+        except Exception as error:
+            problems = [f"{type(error).__name__}: {str(error)[:1500]}"]
+        failed += bool(problems)
+        print(f"{name}: {'differs' if problems else 'ok'} {time.perf_counter() - started:.2f}s")
+        for problem in problems:
+            print("   ", problem[:1500])
+    return failed
+
+
+if __name__ == "__main__":
+    folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    sys.exit(main(folder, sys.argv[2:]))

@@ -11,8 +11,10 @@ def to_number(value: Column, data_type: str = "double") -> Column:
 
     The failure does not depend on the session's ANSI setting.
     """
-    text = F.trim(value.cast("string"))
-    text = F.when(text != "", text)
+    text = value.cast("string")
     number = text.try_cast(data_type)
-    complaint = F.raise_error(F.concat(F.lit(f"not a {data_type}: "), text))
-    return F.when(text.isNotNull() & number.isNull(), complaint.cast(data_type)).otherwise(number)
+    if data_type in ("double", "float"):
+        # A cast takes "12d" and "12f" for numbers.
+        number = F.when(~text.rlike(r"[0-9.][dDfF]\s*$"), number)
+    complaint = F.raise_error(F.concat(F.lit(f"not a {data_type}: "), text)).cast(data_type)
+    return F.coalesce(number, F.when(F.trim(text) != "", complaint))

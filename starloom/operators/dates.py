@@ -63,9 +63,10 @@ def date_dimension(
     days = max(0, (last - first).days + 1)
     day = F.col("day")
     attributes = calendar_attributes(day) | fiscal_attributes(day, fiscal_months_offset)
+    start = F.lit(first.isoformat()).cast("date")
     return (
         spark.range(0, days, 1, numPartitions=1 + days // DAYS_PER_PARTITION)
-        .select(F.date_add(F.lit(first), F.col("id").cast("int")).alias("day"))
+        .select(F.date_add(start, F.col("id").cast("int")).alias("day"))
         .select(*[column.alias(name) for name, column in attributes.items()])
     )
 

@@ -40,11 +40,21 @@ def _row_digest(df: DataFrame) -> Column:
     return F.xxhash64(*hashable)
 
 
+def _file_position(staged: DataFrame) -> DataFrame:
+    """Staged rows with the name of their file and their place in it."""
+    return staged.select(
+        "*",
+        F.col("_metadata.file_name").alias("__file"),
+        F.col("_metadata.row_index").alias("__position"),
+    )
+
+
 def add_row_number(
     df: DataFrame,
     name: str,
     order_by: str | Sequence[str],
     start: int = 1,
+    copies: bool = False,
 ) -> DataFrame:
     """Put a gap-free number, counted in the order of ``order_by``, at position 0.
 
@@ -55,6 +65,10 @@ def add_row_number(
     No task sees more than one range. Rows that tie on the order keys are told
     apart by a digest of the whole row, which also spreads a hot key over
     several ranges and makes the numbering repeatable.
+
+    Set ``copies`` if a large part of the rows may be equal in every column. The
+    rows are then written once more beforehand and further told apart by their
+    place in those files, so that equal rows too spread over several ranges.
     """
     keys = _names(order_by)
     if not keys:
@@ -62,35 +76,34 @@ def add_row_number(
     if name in df.columns:
         raise ValueError(f"column exists already: {name}")
     spark = df.sparkSession
-    path = scratch_path(spark, "numbered")
     order = [*keys, "__digest"]
+    rows = df
+    if copies:
+        source = scratch_path(spark, "copies")
+        df.write.parquet(source)
+        rows = _file_position(spark.read.schema(df.schema).parquet(source))
+        order += ["__file", "__position"]
+    path = scratch_path(spark, "numbered")
     (
-        df.withColumn("__digest", _row_digest(df))
+        rows.withColumn("__digest", _row_digest(df))
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .drop("__digest")
+        .select(*[f"`{column}`" for column in df.columns])
         .write.option("maxRecordsPerFile", 0)
         .parquet(path)
     )
-    staged = spark.read.schema(df.schema).parquet(path)
+    staged = _file_position(spark.read.schema(df.schema).parquet(path))
 
-    file_name = F.col("_metadata.file_name")
-    sizes = staged.groupBy(file_name.alias("file")).agg(F.count(F.lit(1)).alias("n")).collect()
-    sizes.sort(key=lambda row: int(row.file.split("-")[1]))
+    sizes = staged.groupBy("__file").agg(F.count(F.lit(1)).alias("n")).collect()
+    sizes.sort(key=lambda row: int(row["__file"].split("-")[1]))
     before = accumulate((row.n for row in sizes), initial=0)
     offsets = spark.createDataFrame(
-        [(row.file, offset) for row, offset in zip(sizes, before)],
+        [(row["__file"], offset) for row, offset in zip(sizes, before)],
         "`__file` string, `__offset` bigint",
     )
     number = F.col("__offset") + F.col("__position") + start
-    return (
-        staged.select(
-            "*",
-            file_name.alias("__file"),
-            F.col("_metadata.row_index").alias("__position"),
-        )
-        .join(F.broadcast(offsets), "__file")
-        .select(number.alias(name), *[f"`{column}`" for column in df.columns])
+    return staged.join(F.broadcast(offsets), "__file").select(
+        number.alias(name), *[f"`{column}`" for column in df.columns]
     )
 
 

@@ -43,9 +43,14 @@ def merge(
             for name in right.columns
         ]
     )
+    # Where one side has no nulls, plain equality finds the same pairs more cheaply.
+    may_match_null = {
+        key: null_safe and left.schema[key].nullable and right.schema[key].nullable
+        for key in keys
+    }
     matches = [
         F.col(key).eqNullSafe(F.col(right_key[key]))
-        if null_safe
+        if may_match_null[key]
         else F.col(key) == F.col(right_key[key])
         for key in keys
     ]

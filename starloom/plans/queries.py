@@ -47,6 +47,7 @@ from starloom.sources import (
     read_json_array,
     read_json_lines,
     read_json_split,
+    read_table,
     replace_collections,
     stream_json_lines,
 )
@@ -376,7 +377,7 @@ def events_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _silver(spark: SparkSession, sf_dir: str, layout: Layout) -> DataFrame:
     bronze_view(spark, _event_files(spark, sf_dir), layout, FILES_PER_TRIGGER)
     finish(start_silver(silver_view(spark, layout), layout, available_now=True))
-    return spark.table(layout.silver_table)
+    return read_table(spark, layout.silver_table)
 
 
 def events_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -393,7 +394,7 @@ def events_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = _layout(spark)
     _silver(spark, sf_dir, layout)
     finish(start_gold(gold_view(spark, layout), layout, available_now=True))
-    return spark.table(layout.gold_table)
+    return read_table(spark, layout.gold_table)
 
 
 def gold_null_group(spark: SparkSession, sf_dir: str) -> DataFrame:

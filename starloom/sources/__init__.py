@@ -15,6 +15,7 @@ from starloom.sources.json import (
     stream_json_lines,
     stream_table,
 )
+from starloom.sources.tables import read_table
 
 __all__ = [
     "EVENT_SCHEMA",
@@ -30,6 +31,7 @@ __all__ = [
     "read_json_lines",
     "read_json_split",
     "read_query",
+    "read_table",
     "replace_collections",
     "stream_json_lines",
     "stream_table",

@@ -70,9 +70,12 @@ def replace_table(
     which a repeated batch leaves unchanged. A reader can meet the table while
     it is being replaced.
     """
+    session = stream.sparkSession
 
     def overwrite(batch: DataFrame, _: int) -> None:
         batch.write.format(format).mode("overwrite").saveAsTable(table)
+        # The batch has a session of its own; this one still knows the old files.
+        session.catalog.refreshTable(table)
 
     writer = _writer(stream, checkpoint, "complete", name, interval, available_now)
     return writer.foreachBatch(overwrite).start()

@@ -1,0 +1,16 @@
+"""Looking at physical plans."""
+
+from __future__ import annotations
+
+import contextlib
+import io
+
+from pyspark.sql import DataFrame
+
+
+def plan_of(df: DataFrame) -> str:
+    """The physical plan with the scans first and the result last."""
+    shown = io.StringIO()
+    with contextlib.redirect_stdout(shown):
+        df.explain()
+    return "\n".join(reversed(shown.getvalue().splitlines()))

@@ -1,0 +1,156 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from starloom.operators import (
+    KeyViolation,
+    add_date_key,
+    add_row_number,
+    check_new_keys,
+    check_primary_key,
+    keep_first,
+    key_violations,
+)
+from tests.plans import plan_of
+
+NO_COALESCE = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
+
+def numbers_by(df, name, *columns):
+    return sorted((row[name], *[row[c] for c in columns]) for row in df.collect())
+
+
+def skewed(spark, n=3000):
+    """One value on a third of the rows, another tenth null, all told apart by ``id``."""
+    value = (
+        F.when(F.col("id") < n // 3, F.lit("hot"))
+        .when(F.col("id") < n // 3 + n // 10, F.lit(None))
+        .otherwise(F.concat(F.lit("k"), F.hash("id")))
+    )
+    return spark.range(n).repartition(5).select(value.alias("value"), "id")
+
+
+@pytest.mark.parametrize("order", [["id"], ["value", "id"]])
+def test_equals_the_global_row_number(spark, order):
+    rows = skewed(spark)
+    ours = add_row_number(rows, "n", order)
+    theirs = rows.withColumn("n", F.row_number().over(Window.orderBy(*order)))
+    assert ours.columns == ["n", "value", "id"]
+    assert {tuple(r) for r in ours.collect()} == {
+        tuple(r) for r in theirs.select("n", "value", "id").collect()
+    }
+
+
+def test_ties_are_numbered_without_gaps_and_repeatably(spark):
+    rows = skewed(spark)
+    first = add_row_number(rows, "n", "value").collect()
+    assert sorted(r.n for r in first) == list(range(1, 3001))
+    hot = sorted(r.n for r in first if r.value == "hot")
+    assert hot == list(range(hot[0], hot[0] + 1000))
+    again = add_row_number(rows.repartition(3), "n", "value").collect()
+    assert {tuple(r) for r in first} == {tuple(r) for r in again}
+
+
+def rows_per_range(df):
+    return [r["count"] for r in df.groupBy(F.input_file_name()).count().collect()]
+
+
+def test_hot_value_spreads_over_ranges(spark, settings):
+    settings(NO_COALESCE)
+    rows = skewed(spark).withColumn("value", F.lit("hot"))
+    assert max(rows_per_range(add_row_number(rows, "n", "value"))) < 3000 / 2
+
+
+def test_copies_spread_over_ranges(spark, settings):
+    settings(NO_COALESCE)
+    rows = skewed(spark).select(F.lit("hot").alias("value"))
+    numbered = add_row_number(rows, "n", "value", copies=True)
+    assert max(rows_per_range(numbered)) < 3000 / 2
+    assert sorted(r.n for r in numbered.collect()) == list(range(1, 3001))
+
+
+def test_start_descending_and_maps(spark):
+    rows = spark.range(10).select("id", F.create_map(F.lit("a"), "id").alias("m"))
+    numbered = add_row_number(rows, "n", [F.col("id").desc()], start=100)
+    assert [(r.n, r.id) for r in numbered.orderBy("n").collect()] == [
+        (100 + i, 9 - i) for i in range(10)
+    ]
+
+
+def test_odd_names_and_empty_input(spark):
+    rows = spark.range(3).select(F.col("id").alias("an id.x"))
+    assert numbers_by(add_row_number(rows, "n", "`an id.x`"), "n", "an id.x") == [
+        (1, 0),
+        (2, 1),
+        (3, 2),
+    ]
+    empty = add_row_number(rows.where(F.lit(False)), "n", "`an id.x`")
+    assert empty.collect() == [] and empty.columns == ["n", "an id.x"]
+
+
+def test_order_is_required(spark):
+    with pytest.raises(ValueError):
+        add_row_number(spark.range(3), "n", [])
+    with pytest.raises(ValueError):
+        add_row_number(spark.range(3), "id", "id")
+    with pytest.raises(ValueError):
+        keep_first(spark.range(3), "id", [])
+
+
+def test_date_keys(spark):
+    rows = spark.sql("select 1L as n, date'2001-02-03' as d union all select 3L, date'2001-02-04'")
+    sequential = add_date_key(rows, row_number="n")
+    assert numbers_by(sequential, "date_key", "n") == [(20100101, 1), (20100103, 3)]
+    assert sequential.columns[0] == "date_key"
+    by_day = add_date_key(rows, mode="calendar", day="d")
+    assert numbers_by(by_day, "date_key", "n") == [(20010203, 1), (20010204, 3)]
+    for wrong in ({"mode": "other"}, {"mode": "calendar"}, {}):
+        with pytest.raises(ValueError):
+            add_date_key(rows, **wrong)
+
+
+def test_keep_first_against_brute_force(spark):
+    dice = random.Random(7)
+    keys = ["hot"] * 5 + [None, "a", "b", "c"]
+    data = [(dice.choice(keys), dice.randrange(20), i) for i in range(500)]
+    expected = {}
+    for key, when, i in sorted(data, key=lambda row: (row[1], row[2])):
+        expected.setdefault(key, (key, when, i))
+    rows = spark.createDataFrame(data, "k string, at int, i int").repartition(4)
+    assert {tuple(r) for r in keep_first(rows, "k", ["at", "i"]).collect()} == set(
+        expected.values()
+    )
+
+
+def test_keep_first_limits_groups_before_the_shuffle(spark):
+    plan = plan_of(keep_first(skewed(spark), "value", "id"))
+    assert plan.index("WindowGroupLimit") < plan.index("Exchange hashpartitioning(value")
+    assert plan.count("WindowGroupLimit") == 2
+
+
+def test_key_violations(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (2, "d")], "k int, v string")
+    assert {tuple(r) for r in key_violations(rows, "k").collect()} == {(1, 2), (None, 1)}
+    assert key_violations(rows.where("v in ('a','d')"), "k").collect() == []
+    assert key_violations(rows, ["k", "v"]).collect()[0][:2] == (None, "c")
+    with pytest.raises(KeyViolation):
+        check_primary_key(rows.where("v in ('a','b')"), "k")
+    with pytest.raises(KeyViolation):
+        check_primary_key(rows.where("k is null"), "k")
+    check_primary_key(rows.where("v in ('a','d')"), "k")
+
+
+def test_key_check_aggregates_before_the_shuffle(spark):
+    plan = plan_of(key_violations(skewed(spark), "value"))
+    assert plan.index("HashAggregate") < plan.index("Exchange hashpartitioning(value")
+
+
+def test_new_keys(spark):
+    present = spark.createDataFrame([(1,), (2,)], "k int")
+    check_new_keys(spark.createDataFrame([(3,)], "k int"), present, "k")
+    with pytest.raises(KeyViolation):
+        check_new_keys(spark.createDataFrame([(3,), (2,)], "k int"), present, "k")

@@ -1,0 +1,49 @@
+"""Every registered query against its SQL, and the entry points."""
+
+from __future__ import annotations
+
+import pytest
+
+import __spark_entry__ as entry_points
+from starloom.scratch import scratch_path
+from tests.oracle_check import connect, differences
+
+
+@pytest.fixture(scope="module")
+def connection(sf_dir):
+    return connect(sf_dir)
+
+
+@pytest.mark.parametrize("name", list(entry_points.queries()))
+def test_query_equals_sql(spark, connection, sf_dir, name):
+    assert differences(spark, connection, name, sf_dir) == []
+
+
+def test_every_query_has_sql():
+    assert entry_points.queries().keys() == entry_points.oracle_sql().keys()
+
+
+def test_entry(spark, sf_dir):
+    assert entry_points.entry(spark).count() > 0
+
+
+def test_scratch_lies_in_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    first, second = scratch_path(spark, "a"), scratch_path(spark, "a")
+    assert first.startswith(shared) and first != second
+
+
+def test_a_cluster_must_name_the_shared_folder():
+    class Conf:
+        def get(self, name, default=None):
+            return default
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+    class Session:
+        conf = Conf()
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(Session(), "a")

@@ -1,0 +1,76 @@
+from __future__ import annotations
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from starloom.functions import to_number
+from starloom.operators import (
+    coerce_numbers,
+    count_by,
+    drop_columns,
+    first_rows,
+    ingestion_summary,
+    insert_first,
+    move_to_front,
+)
+
+
+def rows(spark):
+    return spark.createDataFrame([(2, "b", 1.5), (1, "a", 2.5)], "k int, name string, v double")
+
+
+def test_drop(spark):
+    assert drop_columns(rows(spark), ["name"]).columns == ["k", "v"]
+    with pytest.raises(KeyError):
+        drop_columns(rows(spark), ["name", "absent"])
+    assert drop_columns(rows(spark), ["absent"], strict=False).columns == ["k", "name", "v"]
+
+
+def test_move_and_insert(spark):
+    assert move_to_front(rows(spark), "v").columns == ["v", "k", "name"]
+    assert insert_first(rows(spark), "w", F.lit(1)).columns == ["w", "k", "name", "v"]
+    with pytest.raises(KeyError):
+        move_to_front(rows(spark), "absent")
+    with pytest.raises(ValueError):
+        insert_first(rows(spark), "k", F.lit(1))
+
+
+def test_first_rows_and_summary(spark):
+    assert [r.k for r in first_rows(rows(spark), "k", 1).collect()] == [1]
+    assert tuple(ingestion_summary(rows(spark)).first()) == (2, 3)
+    assert tuple(ingestion_summary(rows(spark).where("k > 5")).first()) == (0, 3)
+
+
+def test_count_by_null_group(spark):
+    names = spark.createDataFrame([("a",), (None,), ("a",), (None,)], "name string")
+    assert {tuple(r) for r in count_by(names, "name", "n").collect()} == {("a", 2), (None, 0)}
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("text", ["12x", "12d", "1.5F", "1,000", "0x10", "-"])
+def test_bad_numbers_fail(spark, settings, ansi, text):
+    settings({"spark.sql.ansi.enabled": ansi})
+    with pytest.raises(Exception, match="not a double"):
+        spark.range(1).select(to_number(F.lit(text))).collect()
+    with pytest.raises((ValueError, TypeError)):
+        pd.to_numeric(pd.Series([text]))
+
+
+@pytest.mark.parametrize("text", ["7", " 7 ", "-1.5", "1e3", "+2", ".5", "5.", "inf", "-inf"])
+def test_good_numbers_equal_pandas(spark, text):
+    value = spark.range(1).select(to_number(F.lit(text)).alias("v")).first().v
+    assert value == pd.to_numeric(pd.Series([text]))[0]
+
+
+def test_blank_is_null(spark):
+    texts = spark.createDataFrame([("",), ("  ",), (None,), ("7",)], "t string")
+    numbers = coerce_numbers(texts, {"t": "bigint"})
+    assert dict(numbers.dtypes)["t"] == "bigint"
+    assert sorted(r.t for r in numbers.collect() if r.t is not None) == [7]
+    assert numbers.where("t is null").count() == 3
+
+
+def test_fraction_is_no_integer(spark):
+    with pytest.raises(Exception, match="not a int"):
+        spark.range(1).select(to_number(F.lit("1.5"), "int")).collect()

@@ -1,0 +1,89 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql.utils import AnalysisException
+
+from starloom.operators import KeyViolation
+from starloom.plans.mart import dimension
+from starloom.sinks import create_database, drop_database, load_table, recreate_table
+from starloom.sources import create_foreign_table
+
+
+def rows(spark, *keys):
+    return spark.createDataFrame([(k, f"v{k}") for k in keys], "k int, v string")
+
+
+def keys_of(spark, table):
+    return sorted(r.k for r in spark.table(table).collect())
+
+
+def test_insert_replaces_and_update_appends(spark, database):
+    table = f"{database}.t"
+    load_table(rows(spark, 9), table, "k")
+    load_table(rows(spark, 1, 2), table, "k")
+    load_table(rows(spark, 3), table, "k", "update")
+    assert keys_of(spark, table) == [1, 2, 3]
+
+
+def test_update_matches_columns_by_name(spark, database):
+    table = f"{database}.t"
+    load_table(rows(spark, 1), table, "k")
+    load_table(rows(spark, 2).select("v", "k"), table, "k", "update")
+    assert keys_of(spark, table) == [1, 2]
+
+
+def test_update_creates_the_table(spark, database):
+    load_table(rows(spark, 1), f"{database}.fresh", "k", "update")
+    assert keys_of(spark, f"{database}.fresh") == [1]
+
+
+@pytest.mark.parametrize("bad", [(1, 1), (1, None)])
+def test_bad_keys_leave_the_table_as_it_was(spark, database, bad):
+    table = f"{database}.t"
+    load_table(rows(spark, 5), table, "k")
+    for operation in ("insert", "update"):
+        with pytest.raises(KeyViolation):
+            load_table(rows(spark, *bad), table, "k", operation)
+    with pytest.raises(KeyViolation):
+        load_table(rows(spark, 5), table, "k", "update")
+    with pytest.raises(ValueError):
+        load_table(rows(spark, 1), table, "k", "upsert")
+    assert keys_of(spark, table) == [5]
+
+
+def test_recreate(spark, database):
+    table = f"{database}.t"
+    load_table(rows(spark, 5), table, "k")
+    recreate_table(spark, table, rows(spark, 1).schema)
+    assert keys_of(spark, table) == []
+    assert spark.table(table).dtypes == [("k", "int"), ("v", "string")]
+
+
+def test_databases(spark, tmp_path):
+    create_database(spark, "shop", location=str(tmp_path / "shop"), use=True)
+    try:
+        assert spark.catalog.currentDatabase() == "shop"
+        with pytest.raises(AnalysisException):
+            create_database(spark, "shop")
+    finally:
+        spark.sql("USE default")
+        drop_database(spark, "shop")
+    with pytest.raises(ValueError):
+        drop_database(spark, "`Default`")
+
+
+def test_foreign_table_is_declared_once(spark, database, tmp_path):
+    path = str(tmp_path / "it's")
+    rows(spark, 1, 2).write.parquet(path)
+    for options in ({"path": path}, {"path": "/not/looked/at"}):
+        found = create_foreign_table(spark, f"{database}.outside", options, provider="parquet")
+        assert sorted(r.k for r in found.collect()) == [1, 2]
+
+
+def test_dimension(spark):
+    raw = spark.createDataFrame([("b", "2.5", 1), ("a", "", 2)], "name string, price string, x int")
+    found = dimension(raw, "product_key", "name", drop=["x"], numbers={"price": "double"})
+    assert found.columns == ["product_key", "name", "price"]
+    assert {tuple(r) for r in found.collect()} == {(1, "a", None), (2, "b", 2.5)}
+    with pytest.raises(KeyError):
+        dimension(raw, "product_key", "name", drop=["url"])

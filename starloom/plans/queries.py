@@ -55,6 +55,7 @@ from starloom.streaming import (
     Layout,
     append_to_files,
     bronze_view,
+    create_layout,
     finish,
     gold_view,
     join_reference_data,
@@ -356,13 +357,8 @@ def _event_files(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _layout(spark: SparkSession) -> Layout:
-    database = _database(spark)
-    return Layout(
-        root=scratch_path(spark, "medallion"),
-        silver_table=f"{database}.silver",
-        gold_table=f"{database}.gold_customer_count_by_event_name",
-        prefix=f"{database}_",
-    )
+    name = f"starloom_{uuid.uuid4().hex}"
+    return create_layout(spark, name, scratch_path(spark, "medallion"), prefix=f"{name}_")
 
 
 def events_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,6 +29,22 @@ def scratch_base(spark: SparkSession) -> str:
     return _local_base
 
 
+def _session_folder(spark: SparkSession) -> str:
+    return f"{scratch_base(spark)}/starloom-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other call has been given."""
-    return f"{scratch_base(spark)}/starloom/{label}-{uuid.uuid4().hex}"
+    return f"{_session_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all that this application has written to the shared folder.
+
+    Frames that were built on it, such as numbered rows, can no longer be read;
+    call this once the results are loaded. The folder is dropped as a database,
+    so it may lie on any file system that Spark writes to.
+    """
+    name = f"scratch_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{_session_folder(spark)}'")
+    spark.sql(f"DROP DATABASE {name} CASCADE")

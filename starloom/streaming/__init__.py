@@ -1,6 +1,8 @@
 from starloom.streaming.medallion import (
     Layout,
     bronze_view,
+    clean_up,
+    create_layout,
     gold_view,
     join_reference_data,
     silver_view,
@@ -22,6 +24,8 @@ __all__ = [
     "append_to_files",
     "append_to_table",
     "bronze_view",
+    "clean_up",
+    "create_layout",
     "finish",
     "gold_view",
     "join_reference_data",

@@ -14,38 +14,60 @@ from pyspark.sql.streaming import StreamingQuery
 
 from starloom.operators.merge import merge
 from starloom.operators.shape import count_by, drop_columns, with_audit_columns
+from starloom.sinks.tables import create_database, drop_database
 from starloom.sources.json import stream_json_lines, stream_table
 from starloom.streaming.sinks import (
     DEFAULT_INTERVAL,
     append_to_files,
     append_to_table,
     replace_table,
+    stop_all,
 )
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Names and places of one pipeline; none is shared between stages.
+    """Names and places of one pipeline; no two stages share one.
 
-    ``root`` must be a folder that driver and executors share.
+    Everything lies in a database of its own at ``location``, a folder that
+    driver and executors share. ``prefix`` goes before the names of the views.
     """
 
-    root: str
-    silver_table: str
-    gold_table: str
+    database: str
+    location: str
     prefix: str = ""
 
     @property
     def bronze_path(self) -> str:
-        return f"{self.root}/bronze"
+        return f"{self.location}/bronze"
+
+    @property
+    def silver_table(self) -> str:
+        return f"{self.database}.silver"
+
+    @property
+    def gold_table(self) -> str:
+        return f"{self.database}.gold_customer_count_by_event_name"
 
     def checkpoint(self, stage: str) -> str:
-        return f"{self.root}/checkpoints/{stage}"
+        return f"{self.location}/checkpoints/{stage}"
 
     def view(self, name: str) -> str:
         return self.prefix + name
 
 
+def create_layout(spark: SparkSession, database: str, location: str, prefix: str = "") -> Layout:
+    """Create the database of a pipeline; fails if it exists."""
+    create_database(spark, database, location)
+    return Layout(database, location.rstrip("/"), prefix)
+
+
+def clean_up(spark: SparkSession, layout: Layout) -> None:
+    """Stop all streams and remove the pipeline's tables, files and checkpoints."""
+    stop_all(spark)
+    drop_database(spark, layout.database)
+
+
 def bronze_view(
     spark: SparkSession,
     source: str,

@@ -110,8 +110,9 @@ def test_inferred_lines_show_corrupt_ones(spark, tmp_path):
 FORMATS = ["csv", "json", "json_array", "json_split", "parquet", "table"]
 
 
-@pytest.mark.parametrize("source", FORMATS)
-@pytest.mark.parametrize("target", FORMATS)
+@pytest.mark.parametrize(
+    "source, target", [(a, b) for a, b in zip(FORMATS, FORMATS[1:] + FORMATS[:1])]
+)
 def test_any_format_to_any_other(spark, tmp_path, database, source, target):
     def place(role, format):
         return f"{database}.{role}" if format == "table" else str(tmp_path / role)

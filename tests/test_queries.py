@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 
 import __spark_entry__ as entry_points
-from starloom.scratch import scratch_path
+from starloom.operators import add_row_number
+from starloom.scratch import drop_scratch, scratch_path
 from tests.oracle_check import connect, differences
 
 
@@ -33,6 +36,15 @@ def test_scratch_lies_in_the_shared_folder(spark):
     assert first.startswith(shared) and first != second
 
 
+def test_scratch_is_dropped_as_a_whole(spark):
+    numbered = add_row_number(spark.range(5), "n", "id")
+    folder = os.path.dirname(scratch_path(spark, "a"))
+    assert numbered.count() == 5 and os.listdir(folder)
+    drop_scratch(spark)
+    assert not os.path.exists(folder)
+    assert add_row_number(spark.range(5), "n", "id").count() == 5
+
+
 def test_a_cluster_must_name_the_shared_folder():
     class Conf:
         def get(self, name, default=None):

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from starloom.operators import count_by
 from starloom.sources import read_table, stream_json_lines
 from starloom.streaming import (
-    Layout,
     append_to_files,
     append_to_table,
     bronze_view,
+    clean_up,
+    create_layout,
     finish,
     gold_view,
     join_reference_data,
@@ -56,13 +57,11 @@ def source(tmp_path):
 
 
 @pytest.fixture
-def layout(tmp_path, database):
-    return Layout(
-        root=str(tmp_path / "medallion"),
-        silver_table=f"{database}.silver",
-        gold_table=f"{database}.gold_customer_count_by_event_name",
-        prefix=f"{database}_",
-    )
+def layout(spark, tmp_path):
+    name = f"shop{abs(hash(str(tmp_path)))}"
+    layout = create_layout(spark, name, str(tmp_path / "medallion"), prefix=f"{name}_")
+    yield layout
+    clean_up(spark, layout)
 
 
 def run_all(spark, source, layout):
@@ -142,6 +141,16 @@ def test_continuous_queries_become_ready_and_stop(spark, source, layout):
     assert spark.streams.active == []
 
 
+def test_clean_up_removes_everything(spark, source, tmp_path):
+    layout = create_layout(spark, "shop", str(tmp_path / "shop"))
+    run_all(spark, source, layout)
+    assert (tmp_path / "shop" / "bronze").exists()
+    clean_up(spark, layout)
+    assert not (tmp_path / "shop").exists()
+    assert not spark.catalog.databaseExists("shop")
+    assert source.exists()
+
+
 def test_failing_query_raises_while_waiting(spark, source, tmp_path):
     broken = stream_json_lines(spark, str(source)).select(
         F.raise_error(F.concat(F.lit("bad "), F.coalesce("user_id", F.lit("-")))).alias("x")

@@ -68,6 +68,7 @@ def write_json_array(
     (
         records.mapInPandas(_array_lines, "value string")
         .write.mode(mode)
+        .option("maxRecordsPerFile", 0)  # An array must not be cut into two files.
         .option("compression", codec_for(path, compression))
         .text(path)
     )

@@ -29,19 +29,21 @@ def read_json_array(
     """Files that each hold one array of objects.
 
     A file is read by one task, so a large set should come as many files, as
-    :func:`starloom.sinks.write_json_array` writes them.
+    :func:`starloom.sinks.write_json_array` writes them. A broken file fails.
     """
-    reader = spark.read.option("multiLine", True)
+    reader = spark.read.option("multiLine", True).option("mode", "FAILFAST")
     return (reader if schema is None else reader.schema(schema)).json(path)
 
 
 def read_json_split(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Documents of the form ``{"columns": [...], "data": [[...], ...]}``, one per line.
 
-    Values are looked up by column name and cast to ``schema``.
+    Values are looked up by column name and cast to ``schema``. A broken document
+    fails.
     """
     target = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    documents = spark.read.schema("columns array<string>, data array<array<string>>").json(path)
+    layout = "columns array<string>, data array<array<string>>"
+    documents = spark.read.schema(layout).option("mode", "FAILFAST").json(path)
     rows = documents.select("columns", F.explode("data").alias("cells"))
     record = rows.select(F.map_from_arrays("columns", "cells").alias("record"))
     return record.select(

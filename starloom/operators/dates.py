@@ -41,12 +41,12 @@ DATE_DIMENSION_SCHEMA = T.StructType(
 )
 
 
-def _as_date(value: dt.date | str) -> dt.date:
+def _as_time(value: dt.date | str) -> dt.datetime:
     if isinstance(value, dt.datetime):
-        return value.date()
-    if isinstance(value, dt.date):
         return value
-    return dt.date.fromisoformat(value.replace("/", "-"))
+    if isinstance(value, dt.date):
+        return dt.datetime.combine(value, dt.time())
+    return dt.datetime.fromisoformat(value.replace("/", "-"))
 
 
 def date_dimension(
@@ -57,13 +57,14 @@ def date_dimension(
 ) -> DataFrame:
     """Days from ``begin`` to ``end`` with calendar and fiscal attributes.
 
-    Both ends are included; a reversed range gives no rows.
+    Both ends are included; a reversed range gives no rows. With a time of day,
+    the days counted from ``begin`` end at the last one not after ``end``.
     """
-    first, last = _as_date(begin), _as_date(end)
+    first, last = _as_time(begin), _as_time(end)
     days = max(0, (last - first).days + 1)
     day = F.col("day")
     attributes = calendar_attributes(day) | fiscal_attributes(day, fiscal_months_offset)
-    start = F.lit(first.isoformat()).cast("date")
+    start = F.lit(first.date().isoformat()).cast("date")
     return (
         spark.range(0, days, 1, numPartitions=1 + days // DAYS_PER_PARTITION)
         .select(F.date_add(start, F.col("id").cast("int")).alias("day"))

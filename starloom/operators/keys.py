@@ -54,7 +54,7 @@ def add_row_number(
     name: str,
     order_by: str | Sequence[str],
     start: int = 1,
-    copies: bool = False,
+    unique_order: bool = False,
 ) -> DataFrame:
     """Put a gap-free number, counted in the order of ``order_by``, at position 0.
 
@@ -62,13 +62,13 @@ def add_row_number(
     partition sorted to a file of its own. A row's number is then its position
     in its file plus the rows of all files before it. The file sizes come from
     the footers; there are as many as shuffle partitions, so they are broadcast.
-    No task sees more than one range. Rows that tie on the order keys are told
-    apart by a digest of the whole row, which also spreads a hot key over
-    several ranges and makes the numbering repeatable.
+    No task sees more than one range.
 
-    Set ``copies`` if a large part of the rows may be equal in every column. The
-    rows are then written once more beforehand and further told apart by their
-    place in those files, so that equal rows too spread over several ranges.
+    Rows that tie on the order keys are told apart by a digest of the whole row,
+    which makes the numbering repeatable, and equal rows by their place in a
+    first copy of the input. So neither a hot key nor a group of equal rows falls
+    to one task. Set ``unique_order`` where the order keys identify a row, which
+    saves that copy.
     """
     keys = _names(order_by)
     if not keys:
@@ -76,17 +76,16 @@ def add_row_number(
     if name in df.columns:
         raise ValueError(f"column exists already: {name}")
     spark = df.sparkSession
-    order = [*keys, "__digest"]
-    rows = df
-    if copies:
-        source = scratch_path(spark, "copies")
+    rows, order = df, keys
+    if not unique_order:
+        source = scratch_path(spark, "copy")
         df.write.parquet(source)
         rows = _file_position(spark.read.schema(df.schema).parquet(source))
-        order += ["__file", "__position"]
+        rows = rows.withColumn("__digest", _row_digest(df))
+        order = [*keys, "__digest", "__file", "__position"]
     path = scratch_path(spark, "numbered")
     (
-        rows.withColumn("__digest", _row_digest(df))
-        .repartitionByRange(*order)
+        rows.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .select(*[f"`{column}`" for column in df.columns])
         .write.option("maxRecordsPerFile", 0)

@@ -24,10 +24,11 @@ def dimension(
     order_by: str | Sequence[str],
     drop: Sequence[str] = (),
     numbers: dict[str, str] | None = None,
+    unique_order: bool = False,
 ) -> DataFrame:
     """Rows with unwanted columns dropped, numbers parsed, and a surrogate key in front."""
     shaped = coerce_numbers(drop_columns(rows, drop), numbers or {})
-    return add_row_number(shaped, key, order_by)
+    return add_row_number(shaped, key, order_by, unique_order=unique_order)
 
 
 def joined_orders(
@@ -37,9 +38,14 @@ def joined_orders(
     order_by: str | Sequence[str],
     date_key_mode: str = "sequential",
     day: str | None = None,
+    unique_order: bool = False,
 ) -> DataFrame:
-    """Every order with its user, numbered in order, with a date key."""
-    numbered = add_row_number(merge(orders, users, on), FACT_KEY, order_by)
+    """Every order with its user, numbered in order, with a date key.
+
+    ``unique_order`` holds if ``order_by`` identifies an order and ``on`` a user.
+    """
+    joined = merge(orders, users, on)
+    numbered = add_row_number(joined, FACT_KEY, order_by, unique_order=unique_order)
     keyed = add_date_key(numbered, mode=date_key_mode, row_number=FACT_KEY, day=day)
     columns = [FACT_KEY, "date_key"]
     return keyed.select(*columns, *[c for c in keyed.columns if c not in columns])

@@ -153,6 +153,11 @@ ORACLE_SQL: dict[str, str] = {
         select o_custkey as custkey, count(*) as row_count
         from orders group by 1 having o_custkey is null or count(*) > 1
     """,
+    "numbered_events": """
+        select event_type, count(*) as n, min(event_key) as first_key, max(event_key) as last_key
+        from (select event_type, row_number() over (order by event_type) as event_key from events)
+        group by 1
+    """,
     "first_event_per_user": """
         select event_id, ts, user_id, event_type from events
         qualify row_number() over (partition by user_id order by ts, event_id) = 1

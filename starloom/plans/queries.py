@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators import (
     DATE_DIMENSION_SCHEMA,
+    add_row_number,
     coerce_numbers,
     count_by,
     date_dimension,
@@ -129,7 +130,8 @@ def dim_date_first_20(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = mart.dimension(stand_ins.users(spark, sf_dir), "user_key", "custkey")
+    users = stand_ins.users(spark, sf_dir)
+    rows = mart.dimension(users, "user_key", "custkey", unique_order=True)
     name = f"{_database(spark)}.dim_users"
     load_table(rows, name, "user_key")
     return spark.table(name)
@@ -142,12 +144,17 @@ def dim_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_partkey",
         drop=["p_type"],
         numbers={"p_retailprice": "double"},
+        unique_order=True,
     )
 
 
 def fact_orders_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mart.joined_orders(
-        stand_ins.orders(spark, sf_dir), stand_ins.users(spark, sf_dir), "custkey", "o_orderkey"
+        stand_ins.orders(spark, sf_dir),
+        stand_ins.users(spark, sf_dir),
+        "custkey",
+        "o_orderkey",
+        unique_order=True,
     )
 
 
@@ -164,6 +171,7 @@ def fact_orders_calendar_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey",
         date_key_mode="calendar",
         day="o_orderdate",
+        unique_order=True,
     )
     days = dim_date(spark, sf_dir).select(
         "date_key", "full_date", "day_name_of_week", "weekday_weekend", "fiscal_year_qtr"
@@ -211,6 +219,21 @@ def key_violation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return key_violations(stand_ins.orders(spark, sf_dir), "custkey")
 
 
+def numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbered by type, of which there are a few hot ones; ties go by the whole row.
+
+    Which of the tied rows gets which number is Spark's choice, so each type is
+    told by how many numbers it has and where they begin and end.
+    """
+    rows = table(spark, sf_dir, "events").select("event_type", "user_id", "ts")
+    numbered = add_row_number(rows, "event_key", "event_type")
+    return numbered.groupBy("event_type").agg(
+        F.count("event_key").alias("n"),
+        F.min("event_key").alias("first_key"),
+        F.max("event_key").alias("last_key"),
+    )
+
+
 def first_event_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     return keep_first(rows, "user_id", ["ts", "event_id"])
@@ -429,6 +452,7 @@ QUERIES: dict[str, Query] = {
         merge_null_safe,
         merge_suffixes,
         key_violation_report,
+        numbered_events,
         first_event_per_user,
         reshaped_orders,
         coerced_prices,

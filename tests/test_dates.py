@@ -94,6 +94,13 @@ def test_reversed_range_is_empty(spark):
     assert days.columns == DATE_DIMENSION_SCHEMA.fieldNames()
 
 
+def test_times_of_day(spark):
+    begin = dt.datetime(2000, 1, 1, 12)
+    assert date_dimension(spark, begin, "2000-01-03").count() == 2
+    assert date_dimension(spark, begin, dt.datetime(2000, 1, 3, 12)).count() == 3
+    assert date_dimension(spark, begin, dt.date(2000, 1, 1)).count() == 0
+
+
 def test_types(spark):
     days = date_dimension(spark, "2000-01-01", "2000-01-02")
     assert [f.dataType for f in days.schema] == [f.dataType for f in DATE_DIMENSION_SCHEMA]

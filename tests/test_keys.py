@@ -34,10 +34,11 @@ def skewed(spark, n=3000):
     return spark.range(n).repartition(5).select(value.alias("value"), "id")
 
 
+@pytest.mark.parametrize("unique_order", [True, False])
 @pytest.mark.parametrize("order", [["id"], ["value", "id"]])
-def test_equals_the_global_row_number(spark, order):
+def test_equals_the_global_row_number(spark, order, unique_order):
     rows = skewed(spark)
-    ours = add_row_number(rows, "n", order)
+    ours = add_row_number(rows, "n", order, unique_order=unique_order)
     theirs = rows.withColumn("n", F.row_number().over(Window.orderBy(*order)))
     assert ours.columns == ["n", "value", "id"]
     assert {tuple(r) for r in ours.collect()} == {
@@ -68,7 +69,7 @@ def test_hot_value_spreads_over_ranges(spark, settings):
 def test_copies_spread_over_ranges(spark, settings):
     settings(NO_COALESCE)
     rows = skewed(spark).select(F.lit("hot").alias("value"))
-    numbered = add_row_number(rows, "n", "value", copies=True)
+    numbered = add_row_number(rows, "n", "value")
     assert max(rows_per_range(numbered)) < 3000 / 2
     assert sorted(r.n for r in numbered.collect()) == list(range(1, 3001))
 

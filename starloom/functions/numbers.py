@@ -2,19 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def to_number(value: Column, data_type: str = "double") -> Column:
+def to_number(
+    value: Column, data_type: str = "double", missing: Collection[str] = ()
+) -> Column:
     """Parse text as ``data_type``; blank text is null, other bad text fails the job.
 
-    The failure does not depend on the session's ANSI setting.
+    Texts in ``missing`` are null as well. The failure does not depend on the
+    session's ANSI setting.
     """
     text = value.cast("string")
     number = text.try_cast(data_type)
     if data_type in ("double", "float"):
-        # A cast takes "12d" and "12f" for numbers.
-        number = F.when(~text.rlike(r"[0-9.][dDfF]\s*$"), number)
+        # A cast takes "12d" and "12f" for numbers, but "inf" is one.
+        endings = [F.rtrim(text).endswith(letter) for letter in "dDfF"]
+        suffixed = reduce(lambda a, b: a | b, endings)
+        number = F.when(~suffixed | (F.abs(number) == float("inf")), number)
+        if missing:
+            number = F.when(~F.isnan(number), number)
+    is_bad = F.trim(text) != ""
+    if missing:
+        is_bad = is_bad & ~text.isin(*missing)
     complaint = F.raise_error(F.concat(F.lit(f"not a {data_type}: "), text)).cast(data_type)
-    return F.coalesce(number, F.when(F.trim(text) != "", complaint))
+    return F.coalesce(number, F.when(is_bad, complaint))

@@ -74,12 +74,10 @@ def read_csv_text(spark: SparkSession, path: str, multi_line: bool = True) -> Da
 
 
 def _typed(column: Column, data_type: T.DataType) -> Column:
-    present = F.when(~column.isin(MISSING_TEXTS), column)
-    if isinstance(data_type, T.StringType):
-        return present
     if isinstance(data_type, T.NumericType):
-        return to_number(present, data_type.simpleString())
-    return present.cast(data_type)
+        return to_number(column, data_type.simpleString(), MISSING_TEXTS)
+    present = F.when(~column.isin(MISSING_TEXTS), column)
+    return present if isinstance(data_type, T.StringType) else present.cast(data_type)
 
 
 def read_csv_typed(

@@ -48,7 +48,7 @@ def test_count_by_null_group(spark):
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])
-@pytest.mark.parametrize("text", ["12x", "12d", "1.5F", "1,000", "0x10", "-"])
+@pytest.mark.parametrize("text", ["12x", "12d", "1.5F", "1,000", "0x10", "-", "2f "])
 def test_bad_numbers_fail(spark, settings, ansi, text):
     settings({"spark.sql.ansi.enabled": ansi})
     with pytest.raises(Exception, match="not a double"):

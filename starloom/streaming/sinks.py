@@ -95,9 +95,10 @@ def wait_until_ready(query: StreamingQuery, timeout: float = 60.0) -> None:
         time.sleep(POLL_SECONDS)
 
 
-def finish(query: StreamingQuery) -> None:
-    """Wait for an ``available_now`` query to end; raise its error."""
-    query.awaitTermination()
+def finish(query: StreamingQuery, timeout: float | None = None) -> None:
+    """Wait for an ``available_now`` query to end; raise its error, or TimeoutError."""
+    if query.awaitTermination(timeout) is False:
+        raise TimeoutError(f"not finished within {timeout} seconds")
 
 
 def stop_all(spark: SparkSession) -> None:

@@ -7,6 +7,15 @@ from pyspark.sql import SparkSession
 
 SF_DIR = "/root/testdata/sf0.001"
 
+# Small enough for a few thousand rows to count as a skewed partition.
+SMALL_SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):

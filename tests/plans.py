@@ -6,10 +6,11 @@ import contextlib
 import io
 
 from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
 
 
-def plan_of(df: DataFrame) -> str:
-    """The physical plan with the scans first and the result last."""
+def plan_of(df: DataFrame | StreamingQuery) -> str:
+    """The physical plan, a stream's being that of its last batch, scans first."""
     shown = io.StringIO()
     with contextlib.redirect_stdout(shown):
         df.explain()

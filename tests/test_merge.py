@@ -1,10 +1,14 @@
 from __future__ import annotations
 
+import random
+from collections import Counter
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from starloom.operators import merge
+from tests.conftest import SMALL_SKEW
 from tests.plans import plan_of
 
 LEFT = [("a", 1, "x"), ("a", 2, "y"), (None, 3, "z"), ("b", 4, "w")]
@@ -55,29 +59,43 @@ def test_null_free_key_joins_by_equality(spark):
     assert "coalesce" not in plan and "Join [id" in plan
 
 
+def test_random_frames_equal_pandas(spark):
+    dice = random.Random(11)
+    for _ in range(4):
+        left = [(dice.choice(["a", "b", None]), dice.choice([1, 2]), i) for i in range(12)]
+        right = [(dice.choice(["a", "c", None]), dice.choice([1, 2]), i) for i in range(9)]
+        ours = merge(
+            spark.createDataFrame(left, "k string, j int, v int"),
+            spark.createDataFrame(right, "k string, j int, v int"),
+            ["k", "j"],
+        )
+        names = ["k", "j", "v"]
+        theirs = pd.merge(
+            pd.DataFrame(left, columns=names), pd.DataFrame(right, columns=names), on=["k", "j"]
+        )
+        assert Counter(map(tuple, ours.collect())) == Counter(
+            theirs.itertuples(index=False, name=None)
+        )
+
+
 def test_small_side_is_broadcast_and_large_is_not(spark, settings):
     left, right = frames(spark)
-    assert "BroadcastHashJoin" in plan_of(merge(left, spark.range(9).select(F.col("id").cast("string").alias("k")), "k"))
+    small = spark.range(9).select(F.col("id").cast("string").alias("k"))
+    assert "BroadcastHashJoin" in plan_of(merge(left, small, "k"))
     settings({"spark.sql.autoBroadcastJoinThreshold": "-1"})
     assert "SortMergeJoin" in plan_of(merge(left, right, "k"))
 
 
-def test_hot_key_is_split(spark, settings):
-    settings(
-        {
-            "spark.sql.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
-            "spark.sql.adaptive.coalescePartitions.enabled": "false",
-        }
-    )
+@pytest.mark.parametrize("null_safe", [True, False])
+def test_hot_key_is_split(spark, settings, null_safe):
+    settings(SMALL_SKEW)
     n = 30000
     hot = F.when(F.col("id") < n // 3, F.lit(1)).otherwise(F.col("id"))
-    left = spark.range(0, n, 1, 6).select(hot.alias("k"), F.col("id").alias("row"))
-    left = left.where("row >= 0 or k is null").withColumn("k", F.nullif("k", F.lit(-1)))
-    right = spark.range(0, n, 1, 6).select(F.nullif("id", F.lit(-1)).alias("k"), (F.col("id") * 2).alias("v"))
-    joined = merge(left, right, "k")
+    left = spark.range(0, n, 1, 6).select(F.nullif(hot, F.lit(-1)).alias("k"), "id")
+    right = spark.range(0, n, 1, 6).select(
+        F.nullif("id", F.lit(-1)).alias("k"), (F.col("id") * 2).alias("v")
+    )
+    joined = merge(left, right, "k", null_safe=null_safe)
     rows = joined.collect()
     assert len(rows) == n
     assert all(r.v == r.k * 2 for r in rows)

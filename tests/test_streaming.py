@@ -24,6 +24,8 @@ from starloom.streaming import (
     stop_all,
     wait_until_ready,
 )
+from tests.conftest import SMALL_SKEW
+from tests.plans import plan_of
 
 
 def event(i, name, previous):
@@ -203,6 +205,29 @@ def test_stream_joined_with_reference(spark, source, tmp_path, settings):
     }
 
 
+def test_hot_user_is_split_in_the_stream(spark, tmp_path, settings):
+    settings(SMALL_SKEW)
+    n, folder, out = 30000, str(tmp_path / "in"), str(tmp_path / "out")
+    hot = F.when(F.col("id") < n // 3, F.lit(1)).otherwise(F.col("id")).cast("string")
+    events = spark.range(0, n, 1, 6).select(
+        hot.alias("user_id"), F.col("id").alias("event_timestamp")
+    )
+    events.write.json(folder)
+    reference = spark.range(0, n, 1, 4).select(F.col("id").cast("string").alias("user_id"), "id")
+    stream = stream_json_lines(spark, folder, max_files_per_trigger=None).select(*events.columns)
+    joined = join_reference_data(stream, reference, "user_id")
+    query = append_to_files(joined, out, str(tmp_path / "check"), available_now=True)
+    finish(query)
+    assert "skew=true" in plan_of(query)
+    assert spark.read.parquet(out).where("user_id = id").count() == n
+
+
+def test_unfinished_query_times_out(spark, source, layout):
+    query = start_bronze(bronze_view(spark, str(source), layout), layout)
+    with pytest.raises(TimeoutError):
+        finish(query, timeout=0.5)
+
+
 def test_complete_table_shrinks_to_the_last_state(spark, tmp_path, database):
     """The table holds the aggregate only, not one copy per batch."""
     folder = tmp_path / "in"

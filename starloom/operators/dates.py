@@ -12,6 +12,7 @@ from starloom.functions import calendar_attributes, fiscal_attributes
 
 DAYS_PER_PARTITION = 50_000
 
+# Names, order, types and nullability of the columns.
 DATE_DIMENSION_SCHEMA = T.StructType(
     [
         T.StructField("date_key", T.IntegerType(), False),

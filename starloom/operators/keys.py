@@ -14,6 +14,7 @@ from starloom.functions import calendar_key
 from starloom.operators.shape import insert_first
 from starloom.scratch import scratch_path
 
+# Fixed value: the sequential date key of the first row.
 SEQUENTIAL_DATE_KEY_START = 20100101
 
 
@@ -21,7 +22,7 @@ class KeyViolation(ValueError):
     """A primary key is null, repeated, or present in the target already."""
 
 
-def _names(columns: str | Sequence[str]) -> list[str]:
+def _names(columns: str | Sequence) -> list:
     return [columns] if isinstance(columns, str) else list(columns)
 
 
@@ -37,7 +38,7 @@ def _holds_map(data_type: T.DataType) -> bool:
 
 def _row_digest(df: DataFrame) -> Column:
     hashable = [f"`{f.name}`" for f in df.schema.fields if not _holds_map(f.dataType)]
-    return F.xxhash64(*hashable)
+    return F.xxhash64(F.lit(0), *hashable)
 
 
 def _file_position(staged: DataFrame) -> DataFrame:
@@ -52,7 +53,7 @@ def _file_position(staged: DataFrame) -> DataFrame:
 def add_row_number(
     df: DataFrame,
     name: str,
-    order_by: str | Sequence[str],
+    order_by: str | Sequence[str | Column],
     start: int = 1,
     unique_order: bool = False,
 ) -> DataFrame:
@@ -133,7 +134,7 @@ def add_date_key(
 
 
 def keep_first(
-    df: DataFrame, key: str | Sequence[str], order_by: str | Sequence[str]
+    df: DataFrame, key: str | Sequence[str], order_by: str | Sequence[str | Column]
 ) -> DataFrame:
     """The first row of every key in the order of ``order_by``; null keys are one group.
 

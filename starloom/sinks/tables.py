@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from starloom.operators.keys import check_new_keys, check_primary_key
+from starloom.sources.jdbc import sql_text
 
 
 def create_database(
     spark: SparkSession, name: str, location: str | None = None, use: bool = False
 ) -> None:
     """Create a database, failing if it exists, and optionally make it current."""
-    place = f" LOCATION '{location}'" if location else ""
+    place = f" LOCATION {sql_text(location)}" if location else ""
     spark.sql(f"CREATE DATABASE `{name}`{place}")
     if use:
         spark.sql(f"USE `{name}`")

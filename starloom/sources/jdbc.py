@@ -71,7 +71,8 @@ def read_query(
     return read_database(spark, url, as_relation(query), properties, ranges)
 
 
-def _quoted(text: str) -> str:
+def sql_text(text: str) -> str:
+    """A string as a SQL literal."""
     return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -85,6 +86,6 @@ def create_foreign_table(
 
     A table of that name that exists already is left as it is.
     """
-    listed = ", ".join(f"{_quoted(name)} {_quoted(value)}" for name, value in options.items())
+    listed = ", ".join(f"{sql_text(name)} {sql_text(value)}" for name, value in options.items())
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING {provider} OPTIONS ({listed})")
     return spark.table(table)

@@ -113,6 +113,13 @@ def test_csv_round_trip_of_hard_text(spark, tmp_path):
     }
 
 
+def test_empty_frame_round_trip(spark, tmp_path):
+    rows = spark.createDataFrame([], "i string, t string")
+    write_csv(rows, str(tmp_path / "out"))
+    found = read_csv_text(spark, str(tmp_path / "out"))
+    assert found.columns == ["i", "t"] and found.collect() == []
+
+
 @pytest.mark.parametrize("layout", ["array", "lines"])
 def test_csv_to_json_keeps_every_value_as_text(spark, tmp_path, layout):
     source, target = tmp_path / "ragged.csv", str(tmp_path / "json")

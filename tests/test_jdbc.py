@@ -102,8 +102,8 @@ def test_foreign_table_statement(monkeypatch):
         def table(self, name):
             return name
 
-    create_foreign_table(Session(), "DimDate", {"url": URL, "dbtable": "d'd"})
+    create_foreign_table(Session(), "days", {"url": URL, "dbtable": "d'd"})
     assert said == [
-        "CREATE TABLE IF NOT EXISTS DimDate USING org.apache.spark.sql.jdbc "
+        "CREATE TABLE IF NOT EXISTS days USING org.apache.spark.sql.jdbc "
         "OPTIONS ('url' 'jdbc:some:thing', 'dbtable' 'd\\'d')"
     ]

@@ -60,7 +60,7 @@ def test_recreate(spark, database):
 
 
 def test_databases(spark, tmp_path):
-    create_database(spark, "shop", location=str(tmp_path / "shop"), use=True)
+    create_database(spark, "shop", location=str(tmp_path / "the shop's"), use=True)
     try:
         assert spark.catalog.currentDatabase() == "shop"
         with pytest.raises(AnalysisException):

@@ -49,14 +49,20 @@ def read_any(
     raise ValueError(f"unknown source format: {format}")
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV with a header, quotes doubled inside quoted fields, blanks kept."""
+def write_csv(
+    df: DataFrame, path: str, rows_per_file: int = 1_000_000, mode: str = "errorifexists"
+) -> None:
+    """CSV with a header, quotes doubled inside quoted fields, blanks kept.
+
+    Files are bounded, as those with line breaks in fields are read whole.
+    """
     (
         df.write.mode(mode)
         .option("header", True)
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
+        .option("maxRecordsPerFile", rows_per_file)
         .csv(path)
     )
 
@@ -70,7 +76,7 @@ def write_any(
 ) -> None:
     """Write in any of the formats of :func:`read_any`."""
     if format == "csv":
-        write_csv(df, target, mode)
+        write_csv(df, target, mode=mode)
     elif format == "json":
         write_json_lines(df, target, mode=mode)
     elif format == "json_array":

@@ -43,32 +43,41 @@ def _record(df: DataFrame, pretty: bool) -> Column:
     return F.to_json(F.struct(*[f"`{name}`" for name in df.columns]), options)
 
 
-def _array_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    opening = "["
-    for batch in batches:
-        lines = batch["value"].tolist()
-        if lines:
-            # The separator leads the line, as the last record is not known yet.
-            lines[0] = opening + lines[0]
-            lines[1:] = ["," + line for line in lines[1:]]
-            opening = ","
-            yield pd.DataFrame({"value": lines})
-    yield pd.DataFrame({"value": ["[]" if opening == "[" else "]"]})
-
-
 def write_json_array(
     df: DataFrame,
     path: str,
     pretty: bool = True,
     compression: str = "infer",
+    rows_per_file: int = 250_000,
     mode: str = "errorifexists",
 ) -> None:
-    """Part files that are each one array of objects, null fields included."""
+    """Files that are each one array of objects, null fields included.
+
+    A file holds at most ``rows_per_file`` objects, however uneven the
+    partitions are, as a reader parses it whole.
+    """
+
+    # Defined here so that it travels to executors that lack this package.
+    def array_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """One line per object; the first and last of an array carry its brackets."""
+        held, place = None, 0
+        for batch in batches:
+            lines = []
+            for record in batch["value"]:
+                if held is not None:
+                    closing = "]" if place == rows_per_file - 1 else ""
+                    lines.append(("," if place else "[") + held + closing)
+                    place = (place + 1) % rows_per_file
+                held = record
+            yield pd.DataFrame({"value": lines}, dtype="object")
+        last = "[]" if held is None else ("," if place else "[") + held + "]"
+        yield pd.DataFrame({"value": [last]})
+
     records = df.select(_record(df, pretty).alias("value"))
     (
-        records.mapInPandas(_array_lines, "value string")
+        records.mapInPandas(array_lines, "value string")
         .write.mode(mode)
-        .option("maxRecordsPerFile", 0)  # An array must not be cut into two files.
+        .option("maxRecordsPerFile", rows_per_file)  # Files change where arrays do.
         .option("compression", codec_for(path, compression))
         .text(path)
     )

@@ -32,6 +32,8 @@ MISSING_TEXTS = [
 ]
 
 _CORRUPT = "_corrupt_record"
+_MARKED = "__marked"
+_COUNT = "__field_count"
 _END = "\u0001"
 
 
@@ -56,21 +58,23 @@ def read_csv_text(spark: SparkSession, path: str, multi_line: bool = True) -> Da
 
     # Rows with too few or too many fields come with their own text. A mark put
     # behind that text tells by its position how many fields the row has.
-    probe = ", ".join(f"f{i} string" for i in range(len(names) + 1))
+    probes = [f"f{i}" for i in range(len(names) + 1)]
     marked = F.from_csv(
         F.concat(F.col(_CORRUPT), F.lit("," + _END)),
-        F.lit(probe),
+        F.lit(", ".join(f"{probe} string" for probe in probes)),
         {"quote": '"', "escape": '"'},
     )
-    cells = F.array(*[marked[f"f{i}"] for i in range(len(names) + 1)])
-    field_count = F.array_position(cells, F.lit(_END)) - 1
+    cells = F.array(*[F.col(_MARKED)[probe] for probe in probes])
+    counted = rows.withColumn(_MARKED, F.when(F.col(_CORRUPT).isNotNull(), marked)).withColumn(
+        _COUNT, F.array_position(cells, F.lit(_END)) - 1
+    )
 
     def field(i: int, name: str) -> Column:
-        is_missing = F.col(_CORRUPT).isNotNull() & field_count.between(0, i)
+        is_missing = F.col(_CORRUPT).isNotNull() & F.col(_COUNT).between(0, i)
         text = F.coalesce(F.col(f"`{name}`"), F.lit(""))
         return F.when(~is_missing, text).alias(name)
 
-    return rows.select(*[field(i, name) for i, name in enumerate(names)])
+    return counted.select(*[field(i, name) for i, name in enumerate(names)])
 
 
 def _typed(column: Column, data_type: T.DataType) -> Column:

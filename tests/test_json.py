@@ -45,6 +45,16 @@ def test_array_files(spark, tmp_path, pretty):
     assert content(read_json_array(spark, path, FIELDS)) == content(rows(spark))
 
 
+@pytest.mark.parametrize("rows_per_file", [1, 4, 5, 25])
+def test_arrays_of_bounded_size(spark, tmp_path, rows_per_file):
+    path = str(tmp_path / "array")
+    write_json_array(rows(spark, partitions=1), path, rows_per_file=rows_per_file)
+    sizes = [len(json.loads(text)) for text in part_texts(path)]
+    full, rest = divmod(25, rows_per_file)
+    assert sizes == [rows_per_file] * full + [rest] * (rest > 0)
+    assert content(read_json_array(spark, path, FIELDS)) == content(rows(spark))
+
+
 def test_array_of_nothing(spark, tmp_path):
     path = str(tmp_path / "array")
     write_json_array(rows(spark).where("k > 100"), path)

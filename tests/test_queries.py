@@ -5,12 +5,15 @@ from __future__ import annotations
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from starloom.operators import add_row_number
 from starloom.scratch import drop_scratch, scratch_path
 from tests.oracle_check import connect, differences
 
+LARGER_SF_DIR = "/root/testdata/sf0.01"
+
 
 @pytest.fixture(scope="module")
 def connection(sf_dir):
@@ -22,6 +25,23 @@ def test_query_equals_sql(spark, connection, sf_dir, name):
     assert differences(spark, connection, name, sf_dir) == []
 
 
+@pytest.mark.skipif(not os.path.isdir(LARGER_SF_DIR), reason="test tables are not there")
+def test_known_results(spark):
+    facts = entry_points.queries()["fact_orders"](spark, LARGER_SF_DIR)
+    total = facts.agg(F.count("*"), F.sum("fact_purchase_order_key")).first()
+    assert tuple(total) == (1500, 2336836)
+    silver = entry_points.queries()["events_silver"](spark, LARGER_SF_DIR)
+    assert silver.count() == 9850
+    gold = entry_points.queries()["events_gold"](spark, LARGER_SF_DIR)
+    assert {tuple(row) for row in gold.collect()} == {
+        ("click", 1979),
+        ("error", 1977),
+        ("purchase", 1952),
+        ("signup", 1997),
+        ("view", 1945),
+    }
+
+
 def test_every_query_has_sql():
     assert entry_points.queries().keys() == entry_points.oracle_sql().keys()
 

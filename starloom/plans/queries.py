@@ -74,7 +74,9 @@ ORDER_FIELDS = (
     "o_orderkey bigint, custkey bigint, o_orderstatus string, "
     "o_totalprice double, o_orderdate date, o_orderpriority string"
 )
-USER_FIELDS = "custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+USER_FIELDS = (
+    "custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+)
 PRODUCT_FIELDS = (
     "p_partkey bigint, p_name string, p_brand string, p_type string, "
     "p_size int, p_retailprice double"

@@ -41,6 +41,10 @@ class Layout:
     def bronze_path(self) -> str:
         return f"{self.location}/bronze"
 
+    @property
+    def gold_path(self) -> str:
+        return f"{self.location}/gold"
+
     @property
     def silver_table(self) -> str:
         return f"{self.database}.silver"
@@ -137,6 +141,7 @@ def start_gold(
     return replace_table(
         gold,
         layout.gold_table,
+        layout.gold_path,
         layout.checkpoint("gold"),
         interval=interval,
         available_now=available_now,

@@ -7,6 +7,8 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from starloom.sources.jdbc import sql_text
+
 DEFAULT_INTERVAL = "5 seconds"
 POLL_SECONDS = 0.1
 
@@ -58,27 +60,34 @@ def append_to_table(
 def replace_table(
     stream: DataFrame,
     table: str,
+    path: str,
     checkpoint: str,
     name: str | None = None,
     interval: str | None = None,
     available_now: bool = False,
     format: str = "parquet",
+    versions: int = 10,
 ) -> StreamingQuery:
-    """Rewrite a table with the whole aggregate after every batch.
+    """Make a table equal to the whole aggregate after every batch.
 
-    File formats take no complete-mode stream, so each batch is an overwrite,
-    which a repeated batch leaves unchanged. A reader can meet the table while
-    it is being replaced.
+    File formats take no complete-mode stream. So each batch is written to a
+    folder below ``path`` and the table pointed to it, which readers meet as one
+    step; a repeated batch writes the same again. The last ``versions`` folders
+    are kept and used in turn, so a read has that many batches to finish.
     """
     session = stream.sparkSession
 
-    def overwrite(batch: DataFrame, _: int) -> None:
-        batch.write.format(format).mode("overwrite").saveAsTable(table)
-        # The batch has a session of its own; this one still knows the old files.
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        place = f"{path}/version={batch_id % versions}"
+        batch.write.format(format).mode("overwrite").save(place)
+        if session.catalog.tableExists(table):
+            session.sql(f"ALTER TABLE {table} SET LOCATION {sql_text(place)}")
+        else:
+            session.catalog.createTable(table, path=place, source=format, schema=batch.schema)
         session.catalog.refreshTable(table)
 
     writer = _writer(stream, checkpoint, "complete", name, interval, available_now)
-    return writer.foreachBatch(overwrite).start()
+    return writer.foreachBatch(publish).start()
 
 
 def wait_until_ready(query: StreamingQuery, timeout: float = 60.0) -> None:

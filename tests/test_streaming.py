@@ -228,12 +228,46 @@ def test_unfinished_query_times_out(spark, source, layout):
         finish(query, timeout=0.5)
 
 
-def test_complete_table_shrinks_to_the_last_state(spark, tmp_path, database):
+def test_complete_table_holds_the_last_state(spark, tmp_path, database):
     """The table holds the aggregate only, not one copy per batch."""
     folder = tmp_path / "in"
     put(folder, "a.json", [event(1, "click", 1)])
     put(folder, "b.json", [event(2, "click", 1)])
     counts = count_by(stream_json_lines(spark, str(folder)), "event_name", "n")
-    table = f"{database}.counts"
-    finish(replace_table(counts, table, str(tmp_path / "check"), available_now=True))
+    table, path = f"{database}.counts", str(tmp_path / "counts")
+    finish(replace_table(counts, table, path, str(tmp_path / "check"), available_now=True))
     assert [tuple(r) for r in spark.table(table).collect()] == [("click", 2)]
+
+
+def test_readers_always_meet_a_whole_table(spark, tmp_path, database):
+    folder, batches = tmp_path / "in", 7
+    for i in range(batches):
+        put(folder, f"{i}.json", [event(i, name, 1) for name in ("click", "view")])
+    counts = count_by(stream_json_lines(spark, str(folder)), "event_name", "n")
+    table, path = f"{database}.counts", str(tmp_path / "counts")
+    query = replace_table(counts, table, path, str(tmp_path / "check"), available_now=True)
+    seen = []
+    while query.isActive:
+        if spark.catalog.tableExists(table):
+            seen.append(sorted(r.n for r in read_table(spark, table).collect()))
+    finish(query)
+    assert all(low == high and low > 0 for low, high in seen)
+    assert seen == sorted(seen)
+    assert {tuple(r) for r in read_table(spark, table).collect()} == {
+        ("click", batches),
+        ("view", batches),
+    }
+
+
+def test_versions_are_used_in_turn(spark, tmp_path, database):
+    folder = tmp_path / "in"
+    for i in range(5):
+        put(folder, f"{i}.json", [event(i, "click", 1)])
+    counts = count_by(stream_json_lines(spark, str(folder)), "event_name", "n")
+    table, path = f"{database}.counts", tmp_path / "counts"
+    query = replace_table(
+        counts, table, str(path), str(tmp_path / "check"), available_now=True, versions=2
+    )
+    finish(query)
+    assert sorted(p.name for p in path.iterdir()) == ["version=0", "version=1"]
+    assert [tuple(r) for r in read_table(spark, table).collect()] == [("click", 5)]

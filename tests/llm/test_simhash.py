@@ -1,0 +1,109 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from starloom.llm import simhash
+from starloom.llm.components import components
+from starloom.llm.queries import QUERIES
+from starloom.llm.simhash import keep_one_of_component, near_links, simhash_components
+from tests.llm.brute import documents, fingerprint, linked
+
+
+def apart(a: int, b: int) -> int:
+    return ((a ^ b) & (2**64 - 1)).bit_count()
+
+
+def expected(rows):
+    prints = [fingerprint(text) for _, text in rows]
+    names = linked(prints, lambda a, b: apart(a, b) <= 2)
+    least = {}
+    for (doc_id, _), name in zip(rows, names):
+        least[name] = min(least.get(name, doc_id), doc_id)
+    return {(i, f"{p:016x}", least[n]) for (i, _), p, n in zip(rows, prints, names)}
+
+
+def check(spark, rows):
+    found = simhash_components(documents(spark, rows)).withColumn(
+        "fingerprint", simhash.as_hex(F.col("fingerprint"))
+    )
+    assert {(r.doc_id, r.fingerprint, r.component_id) for r in found.collect()} == expected(rows)
+
+
+def test_equals_brute_force(spark):
+    draw = random.Random(1)
+    texts = [" ".join(f"w{draw.randrange(500)}" for _ in range(300)) for _ in range(12)]
+    rows = []
+    for number in range(90):
+        words = draw.choice(texts).split()
+        if number % 3:
+            words[draw.randrange(len(words))] = "changed"
+        rows.append((number, " ".join(words)))
+    rows += [(100, None), (101, ""), (102, " \t\n"), (103, "One two"), (104, "one\x0btwo"),
+             (105, "Été à"), (106, "one two three"), (107, "one\x1ftwo\xa0three four five")]
+    check(spark, rows)
+
+
+def test_long_texts_in_blocks(spark, monkeypatch):
+    draw = random.Random(2)
+    long = " ".join(f"w{draw.randrange(90_000)}" for _ in range(5000))
+    whole = fingerprint(long)
+    monkeypatch.setattr("starloom.llm.common.BLOCK_BYTES", 300)
+    assert simhash.text_fingerprint(long, 3) & (2**64 - 1) == whole
+    assert simhash.text_fingerprint("x" * 2000, 3) & (2**64 - 1) == fingerprint("x" * 2000)
+
+
+@pytest.mark.parametrize("most", [0, 200])
+def test_links_of_small_and_large_buckets(spark, monkeypatch, most):
+    """Stars keep the components that all pairs have."""
+    monkeypatch.setattr(simhash, "PAIRED_BUCKET", most)
+    draw = random.Random(3)
+    values = set()
+    for _ in range(30):
+        centre = draw.getrandbits(64)
+        for _ in range(6):
+            value = centre
+            for _ in range(draw.randrange(4)):
+                value ^= 1 << draw.randrange(64)
+            values.add(value - (value >> 63 << 64))
+    values = sorted(values)
+    df = spark.createDataFrame([(v,) for v in values], "fingerprint long")
+    links = near_links(df).collect()
+    assert all(apart(a, b) <= 2 for a, b in links)
+    roots = dict(components(near_links(df)).collect())
+    names = linked(values, lambda a, b: apart(a, b) <= 2)
+    assert [roots.get(v, v) for v in values] == [values[n] for n in names]
+
+
+def test_components_of_chains(spark):
+    chain = [(i, i + 1) for i in range(40)] + [(100, 99), (99, 100), (7, 7), (200, 201)]
+    draw = random.Random(4)
+    draw.shuffle(chain)
+    found = dict(components(spark.createDataFrame(chain, "a long, b long")).collect())
+    assert found == {**{i: 0 for i in range(1, 41)}, 100: 99, 201: 200}
+
+
+def test_empty_repeated_and_null_ids(spark):
+    assert simhash_components(documents(spark, [])).count() == 0
+    rows = [(5, "a b c d"), (5, "a b c d"), (None, "a b c d"), (None, None), (2, "x y z w")]
+    found = simhash_components(documents(spark, rows)).select("doc_id", "component_id").collect()
+    assert sorted(map(str, (tuple(r) for r in found))) == sorted(
+        map(str, [(5, 5), (5, 5), (None, 5), (None, None), (2, 2)])
+    )
+
+
+def test_one_of_each_component_stays(spark):
+    rows = [(3, "a b c d"), (1, "A b C d"), (2, "something else entirely here"), (None, "a b c d")]
+    df = documents(spark, rows).withColumn("component_id", F.lit(9)).withColumn("fingerprint", F.lit(1))
+    left = keep_one_of_component(df)
+    assert left.columns == df.columns
+    assert {row.doc_id for row in left.collect()} == {1, 2, None}
+
+
+def test_query(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in df.collect()]
+    found = QUERIES["op10_simhash"](spark, sf_dir).collect()
+    assert {(r.doc_id, r.fingerprint, r.component_id) for r in found} == expected(rows)

@@ -10,12 +10,37 @@ from pyspark.sql import functions as F
 from starloom.llm.common import read
 from starloom.llm.exact_dedup import exact_dedup
 from starloom.llm.simhash import as_hex, simhash_components
+from starloom.llm.token_files import token_digests, write_token_files
+from starloom.llm.warc import read_warc, write_warc
+from starloom.scratch import scratch_path
+
+
+def tokenizer_file(name: str) -> str:
+    """Where the public tokenizer files lie; every worker has them in the same place."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"), digest_all=True)
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token_files")
+    documents = read(spark, sf_dir, "documents")
+    write_token_files(documents, path, tokenizer_file("byte_bpe_50k.json"))
+    return token_digests(spark, path)
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    write_warc(read(spark, sf_dir, "pages"), path)
+    return read_warc(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(read(spark, sf_dir, "documents"))
     return found.withColumn("fingerprint", as_hex(F.col("fingerprint")))
@@ -23,6 +48,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_token_files": op5_token_files,
+    "op6_warc": op6_warc,
     "op10_simhash": op10_simhash,
 }
 
@@ -41,4 +68,19 @@ ORACLE_SQL: dict[str, str] = {
                sha256(text) AS text_sha256
         FROM texts JOIN grouped USING (text)
     """,
+    "op6_warc": """
+        WITH payloads AS (
+            SELECT page_id, coalesce(html, '') AS html FROM pages
+        ), sized AS (
+            SELECT page_id, octet_length(encode(html)) AS payload_bytes,
+                   sha1(html) AS payload_digest,
+                   max(page_id) OVER (PARTITION BY html) AS largest
+            FROM payloads
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> largest
+                    THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> largest THEN largest END AS refers_to
+        FROM sized
+    """,
 }

@@ -1,0 +1,14 @@
+"""Registered queries against their SQL."""
+
+from __future__ import annotations
+
+import pytest
+
+from starloom.llm.queries import ORACLE_SQL, QUERIES
+from tests.oracle_check import connect, differences
+
+
+@pytest.mark.parametrize("name", list(ORACLE_SQL))
+def test_query_equals_sql(spark, sf_dir, name):
+    assert name in QUERIES
+    assert differences(spark, connect(sf_dir), name, sf_dir) == []

@@ -1,0 +1,125 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from starloom.llm import simple8b, token_files
+from starloom.llm.files import read_files
+from starloom.llm.queries import QUERIES
+from starloom.llm.token_files import (
+    TextEncoder,
+    TokenFileReader,
+    read_token_files,
+    token_digests,
+    write_token_files,
+)
+from starloom.scratch import scratch_path
+from tests.llm.brute import documents
+
+FILE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@given(st.lists(st.one_of(*(st.integers(0, 2**w - 1) for w in (1, 4, 8, 16, 33, 60, 64)))))
+@settings(max_examples=60, deadline=None)
+def test_words_hold_what_was_put_in(values):
+    values = np.array(values, dtype=np.uint64)
+    words, sizes, table = simple8b.encode(values)
+    assert (simple8b.decode(words, table) == values).all()
+    assert sizes.sum() == len(words) and len(sizes) == -(-len(values) // simple8b.BLOCK)
+
+
+def test_small_values_share_words():
+    words, _, table = simple8b.encode(np.array([3] * 240 + [9] * 240 + [2**63], dtype=np.uint64))
+    assert len(words) == 8 + 16 + 1 and table.tolist() == [2**63]
+
+
+@given(st.text(alphabet=st.one_of(st.sampled_from(" \n\t\x1c\xa0.,'!<|ab1É二"), st.characters(codec="utf-8"))))
+@settings(max_examples=300, deadline=None)
+def test_words_are_encoded_as_the_whole(text):
+    assert ours.encode(text) == ours.whole(text)
+
+
+ours = TextEncoder(FILE)
+
+
+def test_special_tokens_and_other_tokenizers():
+    for text in ("a <|endoftext|> b", "Hello, world. it's", "  two  spaces ", ""):
+        assert ours.encode(text) == ours.whole(text)
+    other = TextEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    assert other.encode("Some words, here.") == other.whole("Some words, here.")
+
+
+def test_memory_of_words_is_bounded(monkeypatch):
+    monkeypatch.setattr(token_files, "MEMO_ENTRIES", 3)
+    small = TextEncoder(FILE)
+    text = "one two three four five six seven, one. two"
+    assert small.encode(text) == small.whole(text) and len(small._cores) <= 3
+
+
+def expected(rows):
+    library = Tokenizer.from_file(FILE)
+    start, found = 0, []
+    for doc_id, text in sorted(rows):
+        ids = library.encode(text or "", add_special_tokens=False).ids + [0]
+        crc = zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+        found.append((doc_id, start, len(ids), crc))
+        start += len(ids)
+    return found
+
+
+def written(spark, df):
+    path = scratch_path(spark, "tokens")
+    write_token_files(df, path, FILE)
+    return path
+
+
+@pytest.mark.parametrize("size", [50, 2_000_000])
+def test_files_come_back(spark, monkeypatch, size):
+    monkeypatch.setattr(token_files, "FILE_IDS", size)
+    draw = random.Random(5)
+    rows = [(i, " ".join(f"w{draw.randrange(99)}" for _ in range(draw.randrange(40)))) for i in range(200)]
+    rows += [(1000, None), (1001, ""), (1002, "long text " * 30_000), (-5, "früh")]
+    draw.shuffle(rows)
+    df = documents(spark, rows).repartition(3).withColumn("start", F.lit(1)).withColumn("ids", F.lit(1))
+    path = written(spark, df)
+    found = token_digests(spark, path).orderBy("doc_id").collect()
+    assert [tuple(r) for r in found] == expected(rows)
+    ids = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in read_token_files(spark, path).collect()}
+    library = Tokenizer.from_file(FILE)
+    assert ids[-5] == library.encode("früh").ids + [0] and ids[1001] == [0]
+
+
+def test_any_range_of_a_file_is_read(spark):
+    rows = [(1, "some words to encode " * 400)]
+    path = written(spark, documents(spark, rows))
+    file = TokenFileReader(bytes(read_files(spark, path).first().content))
+    whole = file.read(0, file.ids)
+    assert len(whole) == file.ids
+    for start, count in ((0, 0), (239, 2), (240, 240), (700, 333)):
+        assert (file.read(start, count) == whole[start : start + count]).all()
+    with pytest.raises(ValueError, match="not a file"):
+        TokenFileReader(b"x" * 100)
+
+
+def test_null_and_repeated_ids_and_empty_table(spark):
+    assert token_digests(spark, written(spark, documents(spark, []))).count() == 0
+    rows = [(None, "a b"), (3, "c"), (3, "c"), (3, "d d"), (None, None)]
+    found = token_digests(spark, written(spark, documents(spark, rows))).collect()
+    assert sorted(r.doc_id or 0 for r in found) == [0, 0, 3, 3, 3]
+    ends = sorted((r.start, r.start + r.n_tokens) for r in found)
+    assert ends[0][0] == 0 and all(a[1] == b[0] for a, b in zip(ends, ends[1:]))
+
+
+def test_query(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in df.collect()]
+    found = QUERIES["op5_token_files"](spark, sf_dir).orderBy("doc_id").collect()
+    assert [tuple(r) for r in found] == expected(rows)

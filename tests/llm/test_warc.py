@@ -1,0 +1,101 @@
+from __future__ import annotations
+
+import hashlib
+from collections import Counter
+
+import pytest
+import zstandard
+from pyspark.sql import functions as F
+
+from starloom.llm import warc
+from starloom.llm.files import read_files
+from starloom.llm.warc import BundleReader, read_warc, record_index, write_warc
+from starloom.scratch import scratch_path
+
+BIG = "<p>été</p>" * 300
+PAGES = "page_id bigint, url string, html string"
+ROWS = [
+    (1, "http://a/1", BIG),
+    (7, "http://a/7\r\nX: y", BIG),
+    (3, None, BIG),
+    (4, "http://a/4", "short"),
+    (5, "http://a/5", "short"),
+    (6, "http://a/6", None),
+    (8, "http://a/8", ""),
+    (9, "http://a/9", "x" * 400_000 + "\r\n\r\nWARC/1.1\r\n"),
+    (None, "http://a/n", BIG),
+    (10, "u", "y" * 1000), (11, "u", "y" * 1000), (12, "u", "z" * 999), (13, "u", "z" * 999),
+    (14, "u", "w" * 2000), (14, "u", "w" * 2000),
+    (None, "u", "v" * 2000), (None, "u", "v" * 2000),
+]
+
+
+def expected(rows):
+    found = Counter()
+    for page_id, _, html in rows:
+        data = (html or "").encode()
+        same = [p for p, _, other in rows if (other or "") == (html or "") and p is not None]
+        keep = max(same, default=None)
+        revisit = len(data) >= 1000 and keep is not None and page_id != keep
+        kind = "revisit" if revisit else "response"
+        digest = hashlib.sha1(data).hexdigest()
+        found[page_id, len(data), digest, kind, keep if revisit else None] += 1
+    return found
+
+
+def written(spark, rows):
+    path = scratch_path(spark, "warc")
+    write_warc(spark.createDataFrame(rows, PAGES).withColumn("digest", F.lit("x")), path)
+    return path
+
+
+@pytest.mark.parametrize("frame", [1, 128 << 10])
+def test_records_come_back(spark, monkeypatch, frame):
+    monkeypatch.setattr(warc, "FRAME_BYTES", frame)
+    path = written(spark, ROWS)
+    records = read_warc(spark, path).collect()
+    assert Counter(
+        (r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in records
+    ) == expected(ROWS)
+    payloads = {r.page_id: r.payload for r in records}
+    assert payloads[7] == BIG.encode() and payloads[1] is None and payloads[6] == b""
+    assert {r.page_id: r.url for r in records}[7] == "http://a/7%0D%0AX: y"
+
+
+def test_bundles_are_plain_zstandard_and_seekable(spark):
+    path = written(spark, ROWS)
+    index = record_index(spark, path).collect()
+    assert len(index) == len(ROWS)
+    for file in read_files(spark, path).collect():
+        content = bytes(file.content)
+        reader = BundleReader(content)
+        frames = [reader.frame(i) for i in range(reader.frames)]
+        with zstandard.ZstdDecompressor().stream_reader(content, read_across_frames=True) as plain:
+            assert plain.read() == b"".join(frames)
+        for row in (r for r in index if r.path == file.path):
+            record = frames[row.frame][row.offset : row.offset + row.length]
+            assert record.startswith(b"WARC/1.1\r\n") and record.endswith(b"\r\n\r\n")
+            assert f"WARC-Record-ID: {row.record_id}\r\n".encode() in record
+            if "null" not in row.record_id and ":14" not in row.record_id:
+                assert reader.record(row.record_id) == record
+
+
+def test_bundles_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(warc, "BUNDLE_BYTES", 5000)
+    path = scratch_path(spark, "warc")
+    pages = spark.range(60).selectExpr("id page_id", "'u' url", "repeat(string(id), 700) html")
+    write_warc(pages.coalesce(1), path)
+    assert read_files(spark, path).count() > 10
+    assert read_warc(spark, path).count() == 60
+
+
+def test_broken_and_empty(spark):
+    path = written(spark, [])
+    assert read_warc(spark, path).count() == 0 and record_index(spark, path).count() == 0
+    with pytest.raises(ValueError, match="seekable"):
+        BundleReader(b"x" * 40)
+    record = warc.make_record(
+        {"page_id": 1, "url": None, "record_type": "response", "refers_to": None, "payload": b"abc"}
+    )
+    with pytest.raises(ValueError, match="differ"):
+        warc.parse_record(record.replace(b"abc", b"abd"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.common import read
 from starloom.llm.exact_dedup import exact_dedup
+from starloom.llm.pieces import decode_pieces, encode_pieces
 from starloom.llm.simhash import as_hex, simhash_components
 from starloom.llm.token_files import token_digests, write_token_files
 from starloom.llm.warc import read_warc, write_warc
@@ -22,6 +23,14 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = tokenizer_file("piece_bpe_32k.model")
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = encode_pieces(documents, model).drop("text")
+    counted = encoded.withColumn("n_ids", F.size("ids").cast("long"))
+    return decode_pieces(counted, model)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"), digest_all=True)
 
@@ -47,6 +56,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_sentencepiece": op2_sentencepiece,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_token_files": op5_token_files,
     "op6_warc": op6_warc,

@@ -1,0 +1,105 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from sentencepiece import sentencepiece_model_pb2
+
+from starloom.llm import pieces
+from starloom.llm.pieces import Transducer, decode_pieces, encode_pieces
+from starloom.llm.queries import QUERIES
+from tests.llm.brute import documents
+
+FILE = public_tokenizers.path("piece_bpe_32k.model")
+library = sentencepiece.SentencePieceProcessor(model_file=FILE)
+ours = Transducer(FILE)
+
+
+def ids(text, made=ours):
+    return np.frombuffer(made.encode(text), "<i4").tolist()
+
+
+@given(st.text(alphabet=st.one_of(st.sampled_from(" ▁\naethinro,.!1É二"), st.characters(codec="utf-8"))))
+@settings(max_examples=400, deadline=None)
+def test_any_text_is_encoded_as_the_library_does(text):
+    found = ids(text)
+    assert found == library.encode(text)
+    assert ours.decode(np.array(found, dtype=np.int32)) == library.decode(found)
+
+
+def test_words_of_common_syllables():
+    draw = random.Random(7)
+    parts = ["th", "e", "in", "er", "on", "a", " ", "  ", "ing", "X", "é", "20", ".", "!!", "l", "\n"]
+    for _ in range(3000):
+        text = "".join(draw.choice(parts) for _ in range(draw.randrange(60)))
+        assert ids(text) == library.encode(text)
+
+
+def test_long_words_and_a_full_memory(monkeypatch):
+    monkeypatch.setattr(pieces, "MEMO_ENTRIES", 2)
+    small = Transducer(FILE)
+    for text in ("thereinonation" * 2000, "one two three four one two", " " * 5000 + "x"):
+        assert ids(text, small) == library.encode(text)
+    assert len(small._words) <= 2
+
+
+def small_model(tmp_path, **changes):
+    model = sentencepiece_model_pb2.ModelProto()
+    model.trainer_spec.model_type = pieces.UNIGRAM
+    model.trainer_spec.byte_fallback = True
+    model.normalizer_spec.name = "identity"
+    model.normalizer_spec.remove_extra_whitespaces = changes.get("squeeze", False)
+    for text, kind in (("<unk>", 2), ("<s>", 3), ("</s>", 3)):
+        model.pieces.add(piece=text, score=0, type=kind)
+    for value in range(256):
+        model.pieces.add(piece=f"<0x{value:02X}>", score=0, type=6)
+    scored = {"▁": -3, "a": -4, "b": -4.5, "c": -5, "ab": -6, "bc": -6.5, "▁a": -5, "abc": -11, "ca": -8}
+    for text, score in scored.items():
+        model.pieces.add(piece=text, score=score, type=1)
+    path = tmp_path / "small.model"
+    path.write_bytes(model.SerializeToString())
+    return str(path)
+
+
+def test_unigram_models_take_the_lightest_path(tmp_path):
+    path = small_model(tmp_path)
+    other = sentencepiece.SentencePieceProcessor(model_file=path)
+    made = Transducer(path)
+    draw = random.Random(8)
+    for _ in range(500):
+        text = "".join(draw.choice("aabbcc é") for _ in range(draw.randrange(12)))
+        assert ids(text, made) == other.encode(text)
+
+
+def test_models_that_change_characters_are_refused(tmp_path):
+    with pytest.raises(ValueError, match="normalisers"):
+        Transducer(small_model(tmp_path, squeeze=True))
+
+
+def test_nulls_empty_long_and_clashing_columns(spark):
+    rows = [(1, None), (2, ""), (3, "Some text, again"), (3, "Some text, again"), (None, "word " * 40_000)]
+    df = documents(spark, rows).withColumn("IDS", F.lit("old")).withColumn("decoded", F.lit(1))
+    encoded = encode_pieces(df, FILE)
+    assert encoded.columns == [*(c for c in df.columns if c != "IDS"), "ids"]
+    found = decode_pieces(encoded, FILE)
+    assert sorted((r.doc_id or 0, r.text, r.decoded, r.ids) for r in found.collect() if r.text) == sorted(
+        (i or 0, t, t, library.encode(t)) for i, t in rows if t
+    )
+    rest = {r.doc_id: (r.ids, r.decoded) for r in found.where("doc_id < 3").collect()}
+    assert rest == {1: (None, None), 2: ([], "")}
+    assert decode_pieces(encode_pieces(documents(spark, []), FILE), FILE).count() == 0
+
+
+def test_query(spark, sf_dir):
+    texts = dict(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect())
+    found = QUERIES["op2_sentencepiece"](spark, sf_dir).collect()
+    assert len(found) == len(texts)
+    for row in found:
+        assert row.ids == library.encode(texts[row.doc_id]) and row.n_ids == len(row.ids)
+        assert row.decoded == texts[row.doc_id]

@@ -74,6 +74,16 @@ def word_blocks(data: bytes) -> Iterator[list[bytes]]:
         start = end
 
 
+def text_blocks(text: str) -> Iterator[list[str]]:
+    """What stands between single spaces, in lists of bounded size."""
+    start = 0
+    while start <= len(text):
+        end = text.find(" ", start + BLOCK_BYTES)
+        end = len(text) if end < 0 else end
+        yield text[start:end].split(" ")
+        start = end + 1
+
+
 def shingles(data: bytes, words: int) -> Iterator[list[bytes]]:
     """The shingles of ``words`` words, space-joined, in lists of bounded size.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,6 +61,29 @@ def ready_workers(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = joined
 
 
+class Memory(dict):
+    """Results by key, made when they are first asked for.
+
+    Full, it keeps what it holds as a second layer and starts anew; what is asked for again
+    moves up, all else is forgotten when it is full next time.
+    """
+
+    def __init__(self, make: Callable, entries: int) -> None:
+        super().__init__()
+        self._make, self._entries = make, entries
+        self._older: dict = {}
+
+    def __missing__(self, key):
+        found = self._older.get(key)
+        if found is None:
+            found = self._make(key)
+        if len(self) >= self._entries:
+            self._older = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+
 def word_blocks(data: bytes) -> Iterator[list[bytes]]:
     """The words of ``data`` in lists of bounded size; one empty list if there are none."""
     if len(data) <= 2 * BLOCK_BYTES:

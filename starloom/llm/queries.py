@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from starloom.llm.common import read
 from starloom.llm.decontaminate import find_leaks
 from starloom.llm.exact_dedup import exact_dedup
+from starloom.llm.language import identify_language
 from starloom.llm.pieces import decode_pieces, encode_pieces
+from starloom.llm.quality import score_quality
 from starloom.llm.simhash import as_hex, simhash_components
 from starloom.llm.token_files import token_digests, write_token_files
+from starloom.llm.toxicity import classify_toxicity
 from starloom.llm.warc import read_warc, write_warc
 from starloom.scratch import scratch_path
 
@@ -24,6 +27,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = tokenizer_file("piece_bpe_32k.model")
     documents = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -55,17 +62,28 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_language(read(spark, sf_dir, "documents"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(read(spark, sf_dir, "documents"))
     return found.withColumn("fingerprint", as_hex(F.col("fingerprint")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_decontamination": op3_decontamination,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_token_files": op5_token_files,
     "op6_warc": op6_warc,
+    "op7_language": op7_language,
+    "op8_toxicity": op8_toxicity,
     "op10_simhash": op10_simhash,
 }
 

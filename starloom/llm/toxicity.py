@@ -30,8 +30,9 @@ BUCKETS = 1 << 18
 #: The bounds of the sample that the classifier is fitted on.
 MOST_POSITIVE = 3000
 MOST_UNLABELLED = 12_000
-#: Words kept: those that set confirmed texts most apart from unlabelled ones.
+#: Words kept: those that set confirmed texts most apart, by so many standard errors at least.
 FEATURES = 256
+LEAST_APART = 4.0
 STEMS = (4, 6)
 LEAST_TEXTS = 5
 STEPS = 800
@@ -125,7 +126,7 @@ def _chosen_words(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> n
     apart = np.abs(seen / len(positive) - others / len(unlabelled)) / np.maximum(error, 1e-9)
     apart[seen + others < LEAST_TEXTS] = 0
     best = np.argsort(-apart, kind="stable")[:FEATURES]
-    return np.sort(best[apart[best] > 0])
+    return np.sort(best[apart[best] >= LEAST_APART])
 
 
 def _dense(rows: list[np.ndarray], chosen: np.ndarray) -> np.ndarray:

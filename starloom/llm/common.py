@@ -7,6 +7,8 @@ import re
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from starloom.scratch import scratch_path
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 #: Long texts are cut into blocks of about so many bytes, at white space.
 BLOCK_BYTES = 1 << 20
+TASK_GROUPS = 64
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 
 
@@ -84,6 +87,26 @@ class Memory(dict):
         return found
 
 
+def add_vectors(df: DataFrame, keys: list[str], kind: str) -> DataFrame:
+    """``keys, vector``: the sums of a binary column ``vector``, numpy arrays of one kind.
+
+    Tasks are added up in ``TASK_GROUPS`` groups first, so that no group holds them all.
+    """
+
+    def summed(frame: DataFrame, by: list[str]) -> DataFrame:
+        schema = frame.select(*by, "vector").schema
+
+        def run(table: pa.Table) -> pa.Table:
+            total = sum(np.frombuffer(x.as_py(), dtype=kind) for x in table["vector"])
+            first = [table[key].slice(0, 1) for key in by]
+            return pa.table([*first, pa.array([total.tobytes()])], names=[*by, "vector"])
+
+        return frame.groupBy(*by).applyInArrow(run, schema)
+
+    grouped = df.withColumn("task_group", F.spark_partition_id() % TASK_GROUPS)
+    return summed(summed(grouped, [*keys, "task_group"]), keys)
+
+
 def word_blocks(data: bytes) -> Iterator[list[bytes]]:
     """The words of ``data`` in lists of bounded size; one empty list if there are none."""
     if len(data) <= 2 * BLOCK_BYTES:

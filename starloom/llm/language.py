@@ -13,13 +13,19 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.common import arrow_slices, column, held_out, ready_workers, text_or_empty
+from starloom.llm.common import (
+    add_vectors,
+    arrow_slices,
+    column,
+    held_out,
+    ready_workers,
+    text_or_empty,
+)
 
 ORDERS = 3
 BUCKETS = 1 << 16
-#: Counts are added up in so many slices, and in so many groups of tasks before that.
+#: Counts are added up in so many slices.
 SLICES = 32
-TASK_GROUPS = 64
 SMOOTHING = 0.5
 #: The matrix has a row per language; more languages than this are refused, not broadcast.
 MOST_LANGUAGES = 256
@@ -74,18 +80,6 @@ class LanguageModel:
         return self.languages[best], float(1 / np.exp(total - total[best]).sum())
 
 
-def _add_up(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Sum the binary vectors of each group."""
-    schema = df.select(*keys, "counts").schema
-
-    def run(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x.as_py(), dtype=np.int64) for x in table["counts"])
-        first = [table[key].slice(0, 1) for key in keys]
-        return pa.table([*first, pa.array([total.tobytes()])], names=[*keys, "counts"])
-
-    return df.groupBy(*keys).applyInArrow(run, schema)
-
-
 def fit_language_model(
     df: DataFrame, text_column: str = "text", language_column: str = "lang"
 ) -> LanguageModel:
@@ -111,17 +105,17 @@ def fit_language_model(
         for lang, total in totals.items():
             vectors = [total[i * width : (i + 1) * width].tobytes() for i in range(SLICES)]
             yield pa.RecordBatch.from_pydict(
-                {"lang": [lang] * SLICES, "slice": pa.array(range(SLICES), pa.int32()), "counts": vectors}
+                {"lang": [lang] * SLICES, "slice": pa.array(range(SLICES), pa.int32()), "vector": vectors}
             )
 
-    counted = rows.mapInArrow(count, "lang string, slice int, counts binary")
-    grouped = counted.withColumn("tasks", F.spark_partition_id() % TASK_GROUPS)
-    slices = _add_up(_add_up(grouped, ["lang", "slice", "tasks"]), ["lang", "slice"]).collect()
+    counted = rows.mapInArrow(count, "lang string, slice int, vector binary")
+    # At most MOST_LANGUAGES * BUCKETS counts, whatever the corpus.
+    slices = add_vectors(counted, ["lang", "slice"], "int64").collect()
     languages = sorted(documents)
     counts = np.zeros((BUCKETS, len(languages)))
     for row in slices:
         place = slice(row.slice * width, (row.slice + 1) * width)
-        counts[place, languages.index(row.lang)] = np.frombuffer(row.counts, dtype=np.int64)
+        counts[place, languages.index(row.lang)] = np.frombuffer(row.vector, dtype=np.int64)
     smooth = counts + SMOOTHING
     seen = sum(documents.values())
     return LanguageModel(

@@ -12,6 +12,7 @@ from starloom.llm.decontaminate import find_leaks
 from starloom.llm.exact_dedup import exact_dedup
 from starloom.llm.language import identify_language
 from starloom.llm.pieces import decode_pieces, encode_pieces
+from starloom.llm.pseudo_likelihood import score_documents
 from starloom.llm.quality import score_quality
 from starloom.llm.simhash import as_hex, simhash_components
 from starloom.llm.token_files import token_digests, write_token_files
@@ -70,6 +71,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op9_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(read(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(read(spark, sf_dir, "documents"))
     return found.withColumn("fingerprint", as_hex(F.col("fingerprint")))
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_warc": op6_warc,
     "op7_language": op7_language,
     "op8_toxicity": op8_toxicity,
+    "op9_pseudo_likelihood": op9_pseudo_likelihood,
     "op10_simhash": op10_simhash,
 }
 

@@ -17,6 +17,8 @@ WIDTHS = (0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 ESCAPE = 0
 
 _COUNT_OF = np.array([1, *COUNTS], dtype=np.int64)
+#: By how many values a word is to hold: the widest class of which it holds as many.
+_TIGHTEST = [max(k for k, held in enumerate(COUNTS) if held >= max(1, n)) for n in range(121)]
 _SELECTOR_OF = {count: selector for selector, count in enumerate(COUNTS, 1)}
 #: Class k holds values below 2 ** WIDTHS[k]; the class behind the last is escaped.
 _LIMITS = np.array([1 << width for width in WIDTHS], dtype=np.uint64)
@@ -44,7 +46,7 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if count in _SELECTOR_OF:
             fits = largest <= _SELECTOR_OF[count] - 1
             best[: len(fits)][fits] = count
-        elif largest.size == 0 or largest.min() > 12:
+        if not largest.size or largest.min() > _TIGHTEST[count]:
             break
     # All blocks take a step at a time along their words.
     lengths = np.full(blocks, BLOCK, dtype=np.int64)

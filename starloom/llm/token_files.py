@@ -6,6 +6,7 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,14 +16,21 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starloom.llm import simple8b
-from starloom.llm.common import arrow_slices, column, ready_workers, stored, text_or_empty
+from starloom.llm.common import (
+    Memory,
+    arrow_slices,
+    column,
+    ready_workers,
+    stored,
+    text_or_empty,
+)
 from starloom.llm.files import read_files, write_files
 
 END_ID = 0
 #: A file is closed once it holds so many ids; a document is never divided.
 FILE_IDS = 2_000_000
-#: Entries that a worker remembers before it starts anew.
-MEMO_ENTRIES = 500_000
+#: Entries of each layer of a worker's memories.
+MEMO_ENTRIES = 400_000
 
 # Fixed values of the file format: six counts, then the closing magic number.
 _FOOTER = struct.Struct("<6Q")
@@ -73,48 +81,34 @@ class TextEncoder:
         )
         self._special = [x.content for x in self._tokenizer.get_added_tokens_decoder().values()]
         self._letters = _Letters()
-        self._words: dict[str, bytes] = {}
-        self._cores: dict[str, bytes] = {}
+        self._words = Memory(self._word, MEMO_ENTRIES)
+        self._cores = Memory(self._core, MEMO_ENTRIES)
+        self._tails = Memory(self.whole, MEMO_ENTRIES)
 
     def whole(self, text: str) -> bytes:
         ids = self._tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+        return array("I", ids).tobytes()
 
     def _core(self, letters: str) -> bytes:
         """A space and letters, which the tokenizer takes as one word."""
-        found = self._cores.get(letters)
-        if found is None:
-            pieces = self._tokenizer.model.tokenize((" " + letters).translate(self._letters))
-            found = np.array([piece.id for piece in pieces], dtype="<u4").tobytes()
-            if len(self._cores) >= MEMO_ENTRIES:
-                self._cores.clear()
-            self._cores[letters] = found
-        return found
+        pieces = self._tokenizer.model.tokenize((" " + letters).translate(self._letters))
+        return array("I", [piece.id for piece in pieces]).tobytes()
 
     def _word(self, word: str) -> bytes:
+        """What stands behind a space, and the space."""
         core = word.rstrip(_TAIL)
         if not core.isalpha():
             return self.whole(" " + word)
-        tail = word[len(core) :]
-        return self._core(core) + (self.whole(tail) if tail else b"")
+        if len(core) == len(word):
+            return self._cores[core]
+        return self._cores[core] + self._tails[word[len(core) :]]
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian 32-bit integers."""
         if not self._by_word or _UNSAFE.search(text) or any(x in text for x in self._special):
             return self.whole(text)
         first, *others = text.split(" ")
-        try:
-            # Nearly always all words of a text are known.
-            rest = b"".join(map(self._words.__getitem__, others))
-        except KeyError:
-            known = self._words
-            if len(known) >= MEMO_ENTRIES:
-                known.clear()
-            for word in others:
-                if word not in known:
-                    known[word] = self._word(word)
-            rest = b"".join(map(known.__getitem__, others))
-        return self.whole(first) + rest
+        return self.whole(first) + b"".join(map(self._words.__getitem__, others))
 
 
 _encoders: dict[str, TextEncoder] = {}

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import (
+    Memory,
     arrow_slices,
     column,
     ready_workers,
@@ -36,8 +37,8 @@ COVERED_SHARE = 0.5
 COVERED_TOKENS = 13
 #: Bits of the filter that keeps other windows from being shuffled; its size is fixed.
 FILTER_BITS = 1 << 23
-#: Words that a worker remembers before it starts anew.
-MEMO_ENTRIES = 500_000
+#: Entries of each layer of a worker's memory of words.
+MEMO_ENTRIES = 400_000
 
 # Words that stand for numbers and units.
 NUMBER_WORDS = frozenset(
@@ -65,41 +66,35 @@ _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _PLACEHOLDERS = np.array([0, 0x51ED270B, 0x2545F491, 0x6C62272E], dtype=np.uint64)
 
 
-class _Records(dict):
+def _token_records(word: str) -> bytes:
     """The tokens of what stands between two spaces, as records."""
-
-    def __missing__(self, word: str) -> bytes:
-        core = word.rstrip(".,")
-        ends = "." in word[len(core) :]
-        tokens = [core] if core.isalpha() else _TOKEN.findall(word)
-        records: list[list[int]] = []
-        for token in tokens:
-            first, low = token[0], token.lower()
-            if first in ".!?\n":
-                if not records:
-                    records.append([0, _NO_TOKEN])
-                records[-1][1] |= _ENDS
-                continue
-            flag = 0
-            if first.isdigit() or low in NUMBER_WORDS:
-                flag = _NUMBER
-            elif first in SIGNS:
-                flag = _SIGN
-            else:
-                flag = _UNIT_WORD if low in UNITS else 0
-                if first != low[0] and len(token) > 1 and token[1:] == low[1:]:
-                    flag |= _CAPITAL
-            records.append([xxhash.xxh64_intdigest(low), flag])
-        if ends and tokens == [core]:
+    core = word.rstrip(".,")
+    ends = "." in word[len(core) :]
+    tokens = [core] if core.isalpha() else _TOKEN.findall(word)
+    records: list[list[int]] = []
+    for token in tokens:
+        first, low = token[0], token.lower()
+        if first in ".!?\n":
+            if not records:
+                records.append([0, _NO_TOKEN])
             records[-1][1] |= _ENDS
-        made = b"".join([_RECORD_BYTES.pack(*record) for record in records])
-        if len(self) >= MEMO_ENTRIES:
-            self.clear()
-        self[word] = made
-        return made
-
-
-_records = _Records()
+            continue
+        flag = 0
+        if first.isdigit() or low in NUMBER_WORDS:
+            flag = _NUMBER
+        elif first in SIGNS:
+            flag = _SIGN
+        else:
+            flag = _UNIT_WORD if low in UNITS else 0
+            if first != low[0] and len(token) > 1 and token[1:] == low[1:]:
+                flag |= _CAPITAL
+        records.append([xxhash.xxh64_intdigest(low), flag])
+    if ends and tokens == [core]:
+        records[-1][1] |= _ENDS
+    return b"".join([_RECORD_BYTES.pack(*record) for record in records])
+
+
+_records = Memory(_token_records, MEMO_ENTRIES)
 
 
 def template(text: str) -> tuple[np.ndarray, np.ndarray]:

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,12 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from starloom.llm.common import arrow_slices, column, ready_workers
+from starloom.llm.common import Memory, arrow_slices, column, ready_workers
 
 MARK = "▁"
-#: Entries of each memory that a worker keeps before it starts anew.
-MEMO_ENTRIES = 500_000
-#: Longer words are not remembered.
+#: Entries of each layer of a worker's memories.
+MEMO_ENTRIES = 250_000
+#: Longer parts are not remembered.
 MEMO_CHARS = 64
 
 # Fixed values of the model format.
@@ -40,16 +41,6 @@ UNKNOWN_PENALTY = 10.0
 UNKNOWN_TEXT = " ⁇ "
 
 
-class _Memory(dict):
-    """Forgets everything once it is full."""
-
-    def put(self, key, value):
-        if len(self) >= MEMO_ENTRIES:
-            self.clear()
-        self[key] = value
-        return value
-
-
 class Transducer:
     """The compiled model file of a byte-fallback model."""
 
@@ -98,7 +89,9 @@ class Transducer:
         self._spanned = {a + b for piece in self._scores for a, b in zip(piece, piece[1:])}
         self._by_word = not any(MARK in piece.lstrip(MARK) for piece in self._scores)
         self._fallback = UNKNOWN_PENALTY - min(self._scores.values(), default=0.0)
-        self._words, self._parts, self._stable = _Memory(), _Memory(), _Memory()
+        self._words = Memory(self._word, MEMO_ENTRIES)
+        self._parts = Memory(self._part, MEMO_ENTRIES)
+        self._stable: dict[str, dict[str, bool]] = {}
 
     def _fallback_ids(self, character: str) -> tuple[int, ...]:
         try:
@@ -146,7 +139,9 @@ class Transducer:
                 before = last[start]
                 stable = self._stable.get(before)
                 if stable is None:
-                    stable = self._stable.put(before, {})
+                    if len(self._stable) >= MEMO_ENTRIES:
+                        self._stable.clear()
+                    stable = self._stable[before] = {}
                 for piece in self._arcs(text, start):
                     end = start + len(piece)
                     if not last[end]:
@@ -170,48 +165,35 @@ class Transducer:
         return path[::-1]
 
     def _part(self, text: str) -> bytes:
-        found = self._parts.get(text)
-        if found is None:
-            ids: list[int] = []
-            for piece in self._path(text):
-                ids += self._ids.get(piece) or self._fallback_ids(piece)
-            found = np.array(ids, dtype="<i4").tobytes()
-            if len(text) <= MEMO_CHARS:
-                self._parts.put(text, found)
-        return found
+        ids: list[int] = []
+        for piece in self._path(text):
+            ids += self._ids.get(piece) or self._fallback_ids(piece)
+        return array("i", ids).tobytes()
 
     def _segment(self, text: str) -> bytes:
         """The ids of normalised characters, a part at a time."""
         spanned, start, parts = self._spanned, 0, []
-        for place in range(1, len(text)):
+        for place in [*range(1, len(text)), len(text)]:
             if text[place - 1 : place + 1] not in spanned:
-                parts.append(self._part(text[start:place]))
+                part = text[start:place]
+                known = len(part) <= MEMO_CHARS
+                parts.append(self._parts[part] if known else self._part(part))
                 start = place
-        parts.append(self._part(text[start:]))
         return b"".join(parts)
 
+    def _word(self, word: str) -> bytes:
+        return self._segment(MARK + word)
+
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian 32-bit integers."""
         if not text:
             return b""
         words = text.split(" ")
-        if not (self._by_word and self._prefix) or "" in words or MARK in text:
+        whole = not (self._by_word and self._prefix) or "" in words or MARK in text
+        if whole or max(map(len, words)) > MEMO_CHARS:
             normal = self._prefix + text.replace(" ", MARK)
             return b"".join(map(self._segment, re.findall(f"{MARK}*[^{MARK}]*", normal)[:-1]))
-        known = self._words
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            pass
-        found = []
-        for word in words:
-            ids = known.get(word)
-            if ids is None:
-                ids = self._segment(MARK + word)
-                if len(word) <= MEMO_CHARS:
-                    known.put(word, ids)
-            found.append(ids)
-        return b"".join(found)
+        return b"".join(map(self._words.__getitem__, words))
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: the transducer read backwards."""

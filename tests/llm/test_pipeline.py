@@ -1,0 +1,88 @@
+"""The pipeline against plain versions of its stages."""
+
+from __future__ import annotations
+
+import random
+
+import public_tokenizers
+import pytest
+import sentencepiece
+
+import corpus_pipeline
+from starloom.llm.decontaminate import find_leaks
+from starloom.llm.quality import score_quality
+from tests.llm.brute import documents, fingerprint, linked, lower_ascii
+
+library = sentencepiece.SentencePieceProcessor(
+    model_file=public_tokenizers.path("piece_bpe_32k.model")
+)
+
+
+def survivors(spark, sf_dir, docs):
+    """What the stages leave of (doc_id, text) rows."""
+    table = documents(spark, docs)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    good = {r.doc_id for r in score_quality(table, labels).where("predicted = 1").collect()}
+    rows = [(i, t) for i, t in docs if i in good]
+    last = {}
+    for doc_id, text in rows:
+        last[lower_ascii(text)] = max(doc_id, last.get(lower_ascii(text), doc_id))
+    rows = sorted((i, t) for i, t in rows if last[lower_ascii(t)] == i)
+    prints = [fingerprint(t) for _, t in rows]
+    names = linked(prints, lambda a, b: ((a ^ b) & (2**64 - 1)).bit_count() <= 2)
+    rows = [row for place, row in enumerate(rows) if names[place] == place]
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    leaks = {r.doc_id for r in find_leaks(documents(spark, rows), items).collect()}
+    return {i: t for i, t in rows if i not in leaks}
+
+
+def test_run_equals_plain_stages(spark, sf_dir):
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    expected = survivors(spark, sf_dir, docs)
+    found = corpus_pipeline.run(spark, sf_dir).collect()
+    assert {r.doc_id: r.text for r in found} == expected and len(found) == len(expected) < len(docs)
+    for row in found:
+        assert row.ids == library.encode(row.text) and row.decoded == row.text
+
+
+def plain(number):
+    draw = random.Random(number)
+    return " ".join(f"word{draw.randrange(9999)}" for _ in range(80)) + "."
+
+
+def test_stages_keep_columns_and_have_their_effect(spark, sf_dir):
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first().text
+    text = "Calm plain words go on here, and nothing much is said. " * 4
+    rows = [(1, text), (2, text.upper().lower()), (3, text + "x"), (4, None), (5, ""), (None, text), (6, "z"),
+            (7, text + item), (1, text)]
+    docs = documents(spark, rows)
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert len(names) == 5 and names[0] == "quality" and names[-1] == "sentencepiece"
+    for name, stage in corpus_pipeline.STAGES:
+        for table in (docs, documents(spark, [])):
+            left = stage(spark, table, sf_dir)
+            count = left.count()
+            assert left.columns[: len(docs.columns)] == docs.columns
+            if name != "sentencepiece":
+                assert left.columns == docs.columns
+            assert count <= table.count()
+    stages = dict(corpus_pipeline.STAGES)
+    assert {r.doc_id for r in stages["decontamination"](spark, docs, sf_dir).collect()} == {
+        1, 2, 3, 4, 5, 6, None
+    }
+    exact = stages["exact_dedup"](spark, docs, sf_dir).collect()
+    assert sorted(r.doc_id for r in exact) == [2, 3, 5, 6, 7]
+
+
+def test_clean_documents_stay(spark, sf_dir):
+    docs = documents(spark, [(i, plain(i)) for i in range(60)])
+    for name, stage in corpus_pipeline.STAGES[1:]:
+        assert stage(spark, docs, sf_dir).count() == 60, name
+
+
+@pytest.mark.parametrize("stage", corpus_pipeline.STAGES[:4])
+def test_extra_columns_with_clashing_names(spark, sf_dir, stage):
+    docs = documents(spark, [(i, plain(i)) for i in range(5)])
+    for name in ("kept", "digest", "hash", "key", "best", "size", "fingerprint", "ids"):
+        docs = docs.selectExpr("*", f"1 AS `{name}`")
+    assert stage[1](spark, docs, sf_dir).columns == docs.columns

@@ -5,8 +5,16 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from starloom.sinks.json import write_json_array, write_json_lines, write_json_split
+from starloom.names import quoted
+from starloom.sinks.json import (
+    codec_for,
+    write_json_array,
+    write_json_lines,
+    write_json_split,
+)
 from starloom.sources import (
     read_csv_text,
     read_csv_typed,
@@ -16,24 +24,46 @@ from starloom.sources import (
 )
 
 
+NESTED = (T.StructType, T.ArrayType, T.MapType)
+
+
+def _only(options: Mapping[str, object] | None, *known: str) -> dict:
+    """The options, of which each must have a meaning here."""
+    unknown = set(options or {}) - set(known)
+    if unknown:
+        raise ValueError(f"options that do not apply: {sorted(unknown)}; there are {known}")
+    return dict(options or {})
+
+
 def read_any(
     spark: SparkSession,
     source: str,
     format: str,
     schema: str | None = None,
-    options: Mapping[str, str] | None = None,
+    options: Mapping[str, object] | None = None,
 ) -> DataFrame:
     """Read ``csv``, ``json``, ``json_array``, ``json_split``, ``parquet``, ``table`` or ``jdbc``.
 
-    For ``jdbc`` the source is the table or aliased query and ``options`` hold
-    the connection. CSV without a schema is text throughout.
+    Nothing is dropped on the way: broken lines, surplus fields and unknown columns are errors,
+    and in CSV an empty field is null, a quoted one an empty text. CSV without a schema is text
+    throughout. ``options`` are ``multi_line`` and ``missing`` for CSV, ``mode`` for JSON lines,
+    and for ``jdbc``, whose source is the table or aliased query, those of the connection. An
+    option, or a schema, that does not apply is an error.
     """
+    if schema is not None and format in ("parquet", "table", "jdbc"):
+        raise ValueError(f"{format} has a schema of its own")
     if format == "csv":
+        given = _only(options, "multi_line", "missing")
+        multi_line = given.get("multi_line", True)
         if schema is None:
-            return read_csv_text(spark, source)
-        return read_csv_typed(spark, source, schema)
+            return read_csv_text(spark, source, multi_line, empty_is_null=True)
+        return read_csv_typed(spark, source, schema, multi_line, given.get("missing", ()))
     if format == "json":
-        return read_json_lines(spark, source, schema)
+        mode = _only(options, "mode").get("mode", "FAILFAST")
+        return read_json_lines(spark, source, schema, mode)
+    if format == "jdbc":
+        return spark.read.format("jdbc").options(**(options or {})).option("dbtable", source).load()
+    _only(options)
     if format == "json_array":
         return read_json_array(spark, source, schema)
     if format == "json_split":
@@ -44,25 +74,37 @@ def read_any(
         return spark.read.parquet(source)
     if format == "table":
         return spark.table(source)
-    if format == "jdbc":
-        return spark.read.format("jdbc").options(**(options or {})).option("dbtable", source).load()
     raise ValueError(f"unknown source format: {format}")
 
 
 def write_csv(
-    df: DataFrame, path: str, rows_per_file: int = 1_000_000, mode: str = "errorifexists"
+    df: DataFrame,
+    path: str,
+    rows_per_file: int = 1_000_000,
+    mode: str = "errorifexists",
+    compression: str = "infer",
 ) -> None:
     """CSV with a header, quotes doubled inside quoted fields, blanks kept.
 
-    Files are bounded, as those with line breaks in fields are read whole.
+    A null is an empty field and an empty text a quoted one. Nested columns are written as JSON
+    text. Files are bounded, as those with line breaks in fields are read whole.
     """
+    options = {"ignoreNullFields": "false"}
+    flat = df.select(
+        *[
+            (F.to_json(quoted(f.name), options) if isinstance(f.dataType, NESTED) else F.col(quoted(f.name)))
+            .alias(f.name)
+            for f in df.schema.fields
+        ]
+    )
     (
-        df.write.mode(mode)
+        flat.write.mode(mode)
         .option("header", True)
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .option("maxRecordsPerFile", rows_per_file)
+        .option("compression", codec_for(path, compression))
         .csv(path)
     )
 
@@ -72,21 +114,27 @@ def write_any(
     target: str,
     format: str,
     mode: str = "errorifexists",
-    options: Mapping[str, str] | None = None,
+    options: Mapping[str, object] | None = None,
 ) -> None:
-    """Write in any of the formats of :func:`read_any`."""
+    """Write in any of the formats of :func:`read_any`.
+
+    ``options`` are the arguments of the format's writer, such as ``rows_per_file`` and
+    ``compression``, or for ``jdbc`` those of the connection; others are errors.
+    """
     if format == "csv":
-        write_csv(df, target, mode=mode)
+        write_csv(df, target, mode=mode, **_only(options, "rows_per_file", "compression"))
     elif format == "json":
-        write_json_lines(df, target, mode=mode)
+        write_json_lines(df, target, mode=mode, **_only(options, "compression"))
     elif format == "json_array":
-        write_json_array(df, target, mode=mode)
+        known = ("pretty", "compression", "rows_per_file", "bytes_per_file")
+        write_json_array(df, target, mode=mode, **_only(options, *known))
     elif format == "json_split":
-        write_json_split(df, target, mode=mode)
+        known = ("compression", "rows_per_document")
+        write_json_split(df, target, mode=mode, **_only(options, *known))
     elif format == "parquet":
-        df.write.mode(mode).parquet(target)
+        df.write.mode(mode).options(**_only(options, "compression")).parquet(target)
     elif format == "table":
-        df.write.mode(mode).saveAsTable(target)
+        df.write.mode(mode).format(_only(options, "format").get("format", "parquet")).saveAsTable(target)
     elif format == "jdbc":
         writer = df.write.format("jdbc").options(**(options or {})).option("dbtable", target)
         writer.mode(mode).save()
@@ -102,8 +150,8 @@ def convert(
     target_format: str,
     schema: str | None = None,
     mode: str = "errorifexists",
-    source_options: Mapping[str, str] | None = None,
-    target_options: Mapping[str, str] | None = None,
+    source_options: Mapping[str, object] | None = None,
+    target_options: Mapping[str, object] | None = None,
 ) -> None:
     """Read one format and write another, without passing rows through the driver."""
     rows = read_any(spark, source, source_format, schema, source_options)

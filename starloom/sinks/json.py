@@ -19,10 +19,16 @@ CODECS = {
 }
 
 
+# Extensions of compressed files that Spark cannot write.
+OTHER_ARCHIVES = (".zip", ".xz", ".tar", ".tar.gz", ".tar.bz2", ".tar.xz", ".tar.zst", ".7z")
+
+
 def codec_for(path: str, compression: str = "infer") -> str:
     """The codec that ``infer`` finds in the extension of ``path``."""
     if compression != "infer":
         return compression
+    if path.lower().endswith(OTHER_ARCHIVES):
+        raise ValueError(f"no codec writes {path}; name another file or a compression")
     return next((codec for end, codec in CODECS.items() if path.endswith(end)), "none")
 
 
@@ -50,34 +56,34 @@ def write_json_array(
     compression: str = "infer",
     rows_per_file: int = 250_000,
     mode: str = "errorifexists",
+    bytes_per_file: int = 64 << 20,
 ) -> None:
     """Files that are each one array of objects, null fields included.
 
-    A file holds at most ``rows_per_file`` objects, however uneven the
-    partitions are, as a reader parses it whole.
+    A file holds at most ``rows_per_file`` objects and, unless one object is longer, about
+    ``bytes_per_file`` bytes, however uneven the partitions are, as a reader parses it whole.
     """
 
     # Defined here so that it travels to executors that lack this package.
-    def array_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """One line per object; the first and last of an array carry its brackets."""
-        held, place = None, 0
+    def arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[str] = []
+        size, written = 0, False
         for batch in batches:
-            lines = []
             for record in batch["value"]:
-                if held is not None:
-                    closing = "]" if place == rows_per_file - 1 else ""
-                    lines.append(("," if place else "[") + held + closing)
-                    place = (place + 1) % rows_per_file
-                held = record
-            yield pd.DataFrame({"value": lines}, dtype="object")
-        last = "[]" if held is None else ("," if place else "[") + held + "]"
-        yield pd.DataFrame({"value": [last]})
+                length = len(record.encode()) + 2
+                if held and (len(held) == rows_per_file or size + length > bytes_per_file):
+                    yield pd.DataFrame({"value": ["[" + ",\n".join(held) + "]"]})
+                    held, size, written = [], 0, True
+                held.append(record)
+                size += length
+        if held or not written:
+            yield pd.DataFrame({"value": ["[" + ",\n".join(held) + "]"]})
 
     records = df.select(_record(df, pretty).alias("value"))
     (
-        records.mapInPandas(array_lines, "value string")
+        records.mapInPandas(arrays, "value string")
         .write.mode(mode)
-        .option("maxRecordsPerFile", rows_per_file)  # Files change where arrays do.
+        .option("maxRecordsPerFile", 1)  # A record is a whole array here.
         .option("compression", codec_for(path, compression))
         .text(path)
     )
@@ -141,9 +147,13 @@ def csv_to_json(
     json_path: str,
     layout: str = "array",
     multi_line: bool = True,
+    rest: str | None = None,
 ) -> None:
-    """Convert CSV to JSON with every value a string, as arrays or as lines."""
-    rows = read_csv_text(spark, csv_path, multi_line)
+    """Convert CSV to JSON with every value a string, as arrays or as lines.
+
+    Surplus fields are an error, or an array under the name ``rest``.
+    """
+    rows = read_csv_text(spark, csv_path, multi_line, rest)
     if layout == "array":
         write_json_array(rows, json_path)
     elif layout == "lines":

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.functions import to_number
+from starloom.names import quoted
 
 # Texts that count as missing in a typed scan.
 MISSING_TEXTS = [
@@ -32,56 +36,137 @@ MISSING_TEXTS = [
 ]
 
 _CORRUPT = "_corrupt_record"
-_MARKED = "__marked"
-_COUNT = "__field_count"
-_END = "\u0001"
+_FIELDS = "__fields"
+# One field with the delimiter before it: quoted, with doubled quotes inside, or plain.
+_FIELD = r'(?s)(?:^|,)(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|[^,]*+)'
 
 
 def _options(multi_line: bool) -> dict:
-    # A quote inside a quoted field is doubled; a backslash is an ordinary character.
-    return {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
-
-
-def read_csv_text(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Every field as text, under the names of the header row.
-
-    An empty field is an empty string; only a field missing from a short row is
-    null. Surplus fields are dropped and blank lines skipped. With ``multi_line``
-    fields may hold line breaks, at the price of one task per file; turn it off
-    for files without such fields, so that large ones are split.
-    """
+    # A quote inside a quoted field is doubled; a backslash is an ordinary character. Each file's
+    # header is compared with the names that are expected. What stands for a field that is empty
+    # and not quoted is new each time, so that no data can hold it.
+    return {
+        "nullValue": uuid.uuid4().hex,
+        "emptyValue": "",
+        "header": True,
+        "quote": '"',
+        "escape": '"',
+        "multiLine": multi_line,
+        "enforceSchema": False,
+    }
+
+
+def _fields(record: Column) -> Column:
+    """The fields of a record's text; none of its characters has a meaning of its own."""
+    raw = F.regexp_extract_all(record, F.lit(_FIELD), 0)
+    plain = F.transform(raw, lambda x, i: F.when(i == 0, x).otherwise(F.substr(x, F.lit(2))))
+
+    def unquoted(field: Column) -> Column:
+        inner = F.regexp_extract(field, r'(?s)^"([^"]*+(?:""[^"]*+)*+)"', 1)
+        text = F.replace(inner, F.lit('""'), F.lit('"'))
+        return F.when(F.startswith(field, F.lit('"')), text).otherwise(field)
+
+    return F.transform(plain, unquoted)
+
+
+def _scan(spark: SparkSession, path: str, multi_line: bool) -> tuple[list[str], DataFrame]:
+    """The header's names, and all rows as text with the fields of those of another length."""
     options = _options(multi_line)
     names = spark.read.options(**options).csv(path).columns
     fields = [T.StructField(name, T.StringType()) for name in names]
     corrupt = T.StructField(_CORRUPT, T.StringType())
     rows = spark.read.options(**options).schema(T.StructType([*fields, corrupt])).csv(path)
+    # Rows with too few or too many fields come with their own text.
+    ragged = F.when(F.col(_CORRUPT).isNotNull(), _fields(F.col(_CORRUPT)))
+    return names, rows.select(*[quoted(name) for name in names], ragged.alias(_FIELDS))
 
-    # Rows with too few or too many fields come with their own text. A mark put
-    # behind that text tells by its position how many fields the row has.
-    probes = [f"f{i}" for i in range(len(names) + 1)]
-    marked = F.from_csv(
-        F.concat(F.col(_CORRUPT), F.lit("," + _END)),
-        F.lit(", ".join(f"{probe} string" for probe in probes)),
-        {"quote": '"', "escape": '"'},
-    )
-    cells = F.array(*[F.col(_MARKED)[probe] for probe in probes])
-    counted = rows.withColumn(_MARKED, F.when(F.col(_CORRUPT).isNotNull(), marked)).withColumn(
-        _COUNT, F.array_position(cells, F.lit(_END)) - 1
-    )
 
-    def field(i: int, name: str) -> Column:
-        is_missing = F.col(_CORRUPT).isNotNull() & F.col(_COUNT).between(0, i)
-        text = F.coalesce(F.col(f"`{name}`"), F.lit(""))
-        return F.when(~is_missing, text).alias(name)
+def _surplus(names: list[str]) -> Column:
+    return F.size(_FIELDS) > len(names)
+
 
-    return counted.select(*[field(i, name) for i, name in enumerate(names)])
+def _whole(value: Column, names: list[str]) -> Column:
+    """``value``, but an error in a row with more fields than the header."""
+    told = F.concat(F.lit(f"more than {len(names)} fields: "), F.to_json(_FIELDS))
+    return F.when(_surplus(names), F.raise_error(told).cast("string")).otherwise(value)
 
 
-def _typed(column: Column, data_type: T.DataType) -> Column:
+def read_csv_text(
+    spark: SparkSession,
+    path: str,
+    multi_line: bool = True,
+    rest: str | None = None,
+    empty_is_null: bool = False,
+) -> DataFrame:
+    """Every field as text, under the names of the header row.
+
+    An empty field is an empty string, or null with ``empty_is_null`` unless it is quoted; a
+    field missing from a short row is null. Surplus fields are an error unless ``rest`` names a
+    column for them, an ``array<string>`` that is null in other rows. Blank lines are skipped. A
+    file with another header than the first one's is an error. With ``multi_line`` fields may
+    hold line breaks, at the price of one task per file; turn it off for files without such
+    fields, so that large ones are split.
+    """
+    names, rows = _scan(spark, path, multi_line)
+
+    def field(place: int, name: str) -> Column:
+        text = F.col(quoted(name))
+        if not empty_is_null:
+            missing = F.coalesce(F.size(_FIELDS) <= place, F.lit(False))
+            text = F.when(~missing, F.coalesce(text, F.lit("")))
+        return (text if rest else _whole(text, names)).alias(name)
+
+    columns = [field(place, name) for place, name in enumerate(names)]
+    if rest:
+        if rest in names:
+            raise ValueError(f"column exists already: {rest}")
+        behind = F.slice(_FIELDS, len(names) + 1, F.greatest(F.size(_FIELDS), F.lit(1)))
+        columns.append(F.when(_surplus(names), behind).alias(rest))
+    return rows.select(*columns)
+
+
+def _typed(text: Column, data_type: T.DataType, missing: Collection[str]) -> Column:
     if isinstance(data_type, T.NumericType):
-        return to_number(column, data_type.simpleString(), MISSING_TEXTS)
-    present = F.when(~column.isin(MISSING_TEXTS), column)
-    return present if isinstance(data_type, T.StringType) else present.cast(data_type)
+        return to_number(text, data_type.simpleString(), missing)
+    present = F.when(~text.isin(*missing), text) if missing else text
+    if isinstance(data_type, T.StringType):
+        return present
+    if isinstance(data_type, (T.StructType, T.ArrayType, T.MapType)):
+        return F.from_json(present, data_type, {"mode": "FAILFAST"})
+    return present.cast(data_type)
+
+
+def _inferred(rows: DataFrame, missing: Collection[str]) -> T.StructType:
+    """Types by all present texts: long, double, boolean, or text.
+
+    A column of whole numbers in which some are missing is a double, one that holds nothing too.
+    """
+
+    def tests(name: str) -> list[Column]:
+        text = F.col(quoted(name))
+        present = text.isNotNull() & ~text.isin(*missing) if missing else text.isNotNull()
+        tries = {
+            "long": text.rlike(r"^\s*[+-]?\d+\s*$") & text.try_cast("bigint").isNotNull(),
+            "double": text.rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$")
+            | F.lower(F.trim(text)).rlike("^[+-]?inf(inity)?$"),
+            "boolean": text.isin("True", "TRUE", "true", "False", "FALSE", "false"),
+        }
+        failed = [F.count_if(present & ~test) for test in tries.values()]
+        return [F.count_if(~present), *failed]
+
+    counts = rows.agg(F.struct(*[F.array(*tests(name)).alias(name) for name in rows.columns])).first()
+    schema = T.StructType()
+    for name, (absent, no_long, no_double, no_boolean) in zip(rows.columns, counts[0]):
+        if not no_long and not absent:
+            kind = T.LongType()
+        elif not no_double:
+            kind = T.DoubleType()
+        elif not no_boolean and not absent:
+            kind = T.BooleanType()
+        else:
+            kind = T.StringType()
+        schema.add(name, kind)
+    return schema
 
 
 def read_csv_typed(
@@ -89,19 +174,29 @@ def read_csv_typed(
     path: str,
     schema: T.StructType | str | None = None,
     multi_line: bool = True,
+    missing: Collection[str] = MISSING_TEXTS,
 ) -> DataFrame:
-    """Fields as the types of ``schema``, with the usual texts for "missing" as null.
+    """Fields as the types of ``schema``, with the texts of ``missing`` as null.
+
+    Columns are matched to the header by name, and come in the order of ``schema``; a name that
+    only one of them has is an error, and so are a file with another header and a row with
+    surplus fields. Numeric text that does not parse fails the job. Nested columns are read from
+    JSON text.
 
-    Columns are matched to the header by position. Numeric text that does not
-    parse fails the job. Without a schema Spark infers one, which reads the
-    files twice.
+    Without a schema the types are found in an extra pass over the texts: whole numbers,
+    numbers, booleans, or text, which stays as it is. Pass ``missing=()`` to keep ``NA`` and the
+    like as texts; an empty field that is not quoted is null all the same.
     """
-    reader = spark.read.options(**_options(multi_line))
+    names, rows = _scan(spark, path, multi_line)
+    texts = rows.select(
+        *[_whole(F.col(quoted(name)), names).alias(name) for name in names]
+    )
     if schema is None:
-        return reader.option("inferSchema", True).csv(path)
-    target = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in target.fields])
-    rows = reader.schema(as_text).csv(path)
-    return rows.select(
-        *[_typed(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in target.fields]
+        target = _inferred(texts, missing)
+    else:
+        target = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        if sorted(target.names) != sorted(names):
+            raise ValueError(f"the header has {names}, the schema {target.names}")
+    return texts.select(
+        *[_typed(F.col(quoted(f.name)), f.dataType, missing).alias(f.name) for f in target.fields]
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,11 +16,17 @@ EVENT_SCHEMA = (
 
 
 def read_json_lines(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str | None = None,
+    mode: str = "PERMISSIVE",
 ) -> DataFrame:
-    """One object per line. Without a schema Spark infers one in an extra pass."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.json(path)
+    """One object per line. Without a schema Spark infers one in an extra pass.
+
+    ``mode`` says what becomes of a broken line: a row of nulls, or with ``FAILFAST`` an error.
+    """
+    reader = spark.read.option("mode", mode)
+    return (reader if schema is None else reader.schema(schema)).json(path)
 
 
 def read_json_array(
@@ -38,17 +44,23 @@ def read_json_array(
 def read_json_split(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Documents of the form ``{"columns": [...], "data": [[...], ...]}``, one per line.
 
-    Values are looked up by column name and cast to ``schema``. A broken document
-    fails.
+    Each column's position is looked up once per document. Cells are cast to ``schema``, nested
+    ones parsed. A column that a document lacks is null; a broken document fails.
     """
     target = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     layout = "columns array<string>, data array<array<string>>"
     documents = spark.read.schema(layout).option("mode", "FAILFAST").json(path)
-    rows = documents.select("columns", F.explode("data").alias("cells"))
-    record = rows.select(F.map_from_arrays("columns", "cells").alias("record"))
-    return record.select(
-        *[F.col("record")[f.name].cast(f.dataType).alias(f.name) for f in target.fields]
-    )
+    places = F.array(*[F.array_position("columns", F.lit(f.name)) for f in target.fields])
+    rows = documents.select(places.alias("places"), F.explode("data").alias("cells"))
+
+    def value(place: int, field: T.StructField) -> Column:
+        at = F.col("places")[place]
+        cell = F.when(at > 0, F.get("cells", (at - 1).cast("int")))
+        if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            return F.from_json(cell, field.dataType, {"mode": "FAILFAST"}).alias(field.name)
+        return cell.cast(field.dataType).alias(field.name)
+
+    return rows.select(*[value(place, field) for place, field in enumerate(target.fields)])
 
 
 def stream_json_lines(

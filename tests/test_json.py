@@ -10,7 +10,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.operators import ingestion_summary
-from starloom.sinks import convert, write_json_array, write_json_lines, write_json_split
+from starloom.sinks import (
+    convert,
+    read_any,
+    write_json_array,
+    write_json_lines,
+    write_json_split,
+)
 from starloom.sources import read_json_array, read_json_lines, read_json_split
 
 FIELDS = "k bigint, price double, name string, ok boolean, day date"
@@ -151,10 +157,11 @@ def test_any_format_to_any_other(spark, tmp_path, database, source, target):
     start = str(tmp_path / "start")
     plain.write.parquet(start)
     first, second, last = place("first", source), place("second", target), str(tmp_path / "last")
-    schema = {"table": None}.get(source, FIELDS)
+    own = ("table", "parquet")
+    schema = None if source in own else FIELDS
     convert(spark, start, "parquet", first, source)
     convert(spark, first, source, second, target, schema)
-    convert(spark, second, target, last, "parquet", None if target == "table" else FIELDS)
+    convert(spark, second, target, last, "parquet", None if target in own else FIELDS)
     result = spark.read.parquet(last)
     assert content(result.select(*plain.columns)) == content(plain)
     assert tuple(ingestion_summary(result).first()) == (25, 5)
@@ -168,3 +175,66 @@ def test_unknown_formats(spark, tmp_path):
     rows(spark).write.parquet(str(tmp_path / "p"))
     with pytest.raises(ValueError):
         convert(spark, str(tmp_path / "p"), "parquet", str(tmp_path / "x"), "xml")
+
+
+NESTED = "id int, tags array<string>, place struct<x: int, y: string>, counts map<string, int>, note string"
+NESTED_ROWS = [
+    (1, ["a", 'b"'], (1, "p,q"), {"k": 1}, ""),
+    (2, [], None, None, None),
+    (3, None, (None, None), {}, "NA"),
+]
+
+
+@pytest.mark.parametrize("target", ["csv", "json", "json_array", "json_split"])
+def test_nested_columns_nulls_and_empty_texts_survive(spark, tmp_path, target):
+    plain = spark.createDataFrame(NESTED_ROWS, NESTED)
+    start, middle, last = (str(tmp_path / name) for name in ("start", "middle", "last"))
+    plain.write.parquet(start)
+    convert(spark, start, "parquet", middle, target)
+    convert(spark, middle, target, last, "parquet", NESTED)
+    found = spark.read.parquet(last)
+    assert found.columns == plain.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_options_must_apply(spark, tmp_path):
+    start = str(tmp_path / "start")
+    spark.range(3).write.parquet(start)
+    for options in ({"source_options": {"multi_line": False}}, {"target_options": {"rows": 1}}):
+        with pytest.raises(ValueError, match="do not apply"):
+            convert(spark, start, "parquet", str(tmp_path / "x"), "csv", **options)
+    with pytest.raises(ValueError, match="schema of its own"):
+        convert(spark, start, "parquet", str(tmp_path / "x"), "csv", "id long")
+    convert(spark, start, "parquet", str(tmp_path / "c"), "csv", target_options={"compression": "gzip"})
+    assert list((tmp_path / "c").glob("*.csv.gz"))
+
+
+def test_large_single_line_csv_is_split(spark, tmp_path, settings):
+    path = tmp_path / "plain.csv"
+    path.write_text("a,b\n" + "".join(f"{i},x\n" for i in range(5000)))
+    settings({"spark.sql.files.maxPartitionBytes": "10000"})
+    rows = read_any(spark, str(path), "csv", "a int, b string", {"multi_line": False})
+    assert rows.rdd.getNumPartitions() > 1 and rows.count() == 5000
+
+
+def test_broken_lines_fail_a_conversion(spark, tmp_path):
+    path = tmp_path / "lines.json"
+    path.write_text('{"a": 1}\n{oops\n')
+    for schema in (None, "a int"):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            convert(spark, str(path), "json", str(tmp_path / f"out{schema}"), "parquet", schema)
+    assert read_json_lines(spark, str(path), "a int").count() == 2
+
+
+def test_array_files_are_bounded_in_bytes(spark, tmp_path):
+    wide = spark.range(0, 40, 1, 1).selectExpr("id", "repeat('é', 500) as text")
+    write_json_array(wide, str(tmp_path / "out"), bytes_per_file=5000)
+    files = list((tmp_path / "out").glob("part-*"))
+    assert len(files) == 10 and all(file.stat().st_size < 5200 for file in files)
+    assert read_json_array(spark, str(tmp_path / "out"), "id int, text string").count() == 40
+
+
+@pytest.mark.parametrize("name", ["a.zip", "a.xz", "a.tar", "a.tar.gz"])
+def test_archives_are_refused(spark, tmp_path, name):
+    with pytest.raises(ValueError, match="no codec"):
+        write_json_lines(spark.range(1), str(tmp_path / name))

@@ -42,9 +42,13 @@ def drop_scratch(spark: SparkSession) -> None:
     """Delete all that this application has written to the shared folder.
 
     Frames that were built on it, such as numbered rows, can no longer be read;
-    call this once the results are loaded. The folder is dropped as a database,
-    so it may lie on any file system that Spark writes to.
+    call this once the results are loaded.
     """
-    name = f"scratch_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE DATABASE {name} LOCATION '{_session_folder(spark)}'")
+    drop_folder(spark, _session_folder(spark))
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on any file system that Spark writes to, by way of a database."""
+    name, place = f"scratch_{uuid.uuid4().hex}", path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{place}'")
     spark.sql(f"DROP DATABASE {name} CASCADE")

@@ -10,6 +10,7 @@ from starloom.sinks.tables import (
     drop_database,
     load_database_table,
     load_table,
+    primary_key_statement,
     recreate_table,
 )
 
@@ -20,6 +21,7 @@ __all__ = [
     "drop_database",
     "load_database_table",
     "load_table",
+    "primary_key_statement",
     "read_any",
     "recreate_table",
     "write_any",

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from starloom.names import sibling
 from starloom.operators.keys import check_new_keys, check_primary_key
-from starloom.sources.jdbc import sql_text
+from starloom.scratch import drop_folder, scratch_path
+from starloom.sources.jdbc import Ranges, read_database, sql_text
 
 
 def create_database(
@@ -49,18 +52,36 @@ def load_table(
 ) -> None:
     """Replace (``insert``) or extend (``update``) a table with rows of unique key.
 
-    Keys are checked before anything is written, reading the key columns only.
+    The rows are computed once, into a table beside the target. Their keys are checked there,
+    reading the key columns only, and these very rows are published: by renaming, or by one
+    append. Until then the target stays as it was, whatever fails. A replaced table is missing
+    between two renames, and is put back if the second one fails.
     """
     spark = df.sparkSession
     if operation not in ("insert", "update"):
         raise ValueError(f"operation is insert or update, not {operation}")
-    check_primary_key(df, key)
-    if operation == "insert":
-        df.write.format(format).mode("overwrite").saveAsTable(table)
-        return
-    if spark.catalog.tableExists(table):
-        check_new_keys(df, spark.table(table), key)
-    df.write.format(format).mode("append").saveAsTable(table)
+    attempt = uuid.uuid4().hex
+    staged, former = sibling(table, f"__load_{attempt}"), sibling(table, f"__former_{attempt}")
+    try:
+        df.write.format(format).saveAsTable(staged)
+        rows = spark.table(staged)
+        check_primary_key(rows, key)
+        exists = spark.catalog.tableExists(table)
+        if operation == "update" and exists:
+            check_new_keys(rows, spark.table(table), key)
+            rows.write.format(format).mode("append").saveAsTable(table)
+            return
+        if exists:
+            spark.sql(f"ALTER TABLE {table} RENAME TO {former}")
+        try:
+            spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+        except Exception:
+            if exists:
+                spark.sql(f"ALTER TABLE {former} RENAME TO {table}")
+            raise
+        spark.sql(f"DROP TABLE IF EXISTS {former}")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
 
 
 def load_database_table(
@@ -71,19 +92,44 @@ def load_database_table(
     properties: Mapping[str, str],
     operation: str = "insert",
     connections: int = 8,
+    ranges: Ranges | None = None,
+    predicates: Sequence[str] | None = None,
+    column_types: str | None = None,
 ) -> None:
     """As :func:`load_table`, into a table of a database over JDBC.
 
-    ``connections`` bounds the tasks that write at once. An ``update`` needs
-    the table to be there.
+    The rows are computed once, into the shared folder. ``connections`` bounds the tasks that
+    write at once. An ``update`` needs the table to be there; ``ranges`` or ``predicates`` split
+    the read of its keys over connections, of which it takes one without. The database is
+    written as its driver does it: a failed ``insert`` may leave it empty. Spark cannot declare
+    a key; :func:`primary_key_statement` gives the statement to run in the database, and
+    ``column_types`` sets the types that the key needs, as in ``name VARCHAR(60)``.
     """
     spark = df.sparkSession
     if operation not in ("insert", "update"):
         raise ValueError(f"operation is insert or update, not {operation}")
-    check_primary_key(df, key)
-    if operation == "update":
-        existing = spark.read.jdbc(url, table, properties=dict(properties))
-        check_new_keys(df, existing, key)
-    mode = "overwrite" if operation == "insert" else "append"
-    writer = df.write.mode(mode).option("numPartitions", connections)
-    writer.jdbc(url, table, properties=dict(properties))
+    staged = scratch_path(spark, "load")
+    try:
+        df.write.parquet(staged)
+        rows = spark.read.schema(df.schema).parquet(staged)
+        check_primary_key(rows, key)
+        if operation == "update":
+            existing = read_database(spark, url, table, properties, ranges, predicates)
+            check_new_keys(rows, existing, key)
+        mode = "overwrite" if operation == "insert" else "append"
+        writer = rows.write.mode(mode).option("numPartitions", connections)
+        if column_types and operation == "insert":
+            writer = writer.option("createTableColumnTypes", column_types)
+        writer.jdbc(url, table, properties=dict(properties))
+    finally:
+        drop_folder(spark, staged)
+
+
+def primary_key_statement(table: str, key: str | Sequence[str], quote: str = "`") -> str:
+    """The statement that declares the key of a loaded table in its database.
+
+    ``quote`` is the mark that the database puts around names.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    listed = ", ".join(quote + name.replace(quote, quote * 2) + quote for name in keys)
+    return f"ALTER TABLE {table} ADD PRIMARY KEY ({listed})"

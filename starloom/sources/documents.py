@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.names import column
+from starloom.scratch import drop_folder, scratch_path
 from starloom.sources.json import read_json_array
 
 ID = "_id"
@@ -42,7 +44,7 @@ def read_collection(
     reader = reader.options(**(options or {}))
     documents = (reader if schema is None else reader.schema(schema)).load()
     for field, value in (where or {}).items():
-        documents = documents.where(F.col(field).eqNullSafe(F.lit(value)))
+        documents = documents.where(column(field).eqNullSafe(F.lit(value)))
     return documents.drop(ID) if drop_id else documents
 
 
@@ -83,15 +85,22 @@ def replace_collections(
     options: Mapping[str, str] | None = None,
     schemas: Mapping[str, T.StructType | str] | None = None,
 ) -> dict[str, int]:
-    """Make every collection hold exactly its JSON-array files; return the sizes."""
-    return {
-        name: _write(
-            read_json_array(spark, path, (schemas or {}).get(name)),
-            location,
-            name,
-            "overwrite",
-            format,
-            options,
-        )
-        for name, path in files.items()
-    }
+    """Make every collection hold exactly its JSON-array files; return the sizes.
+
+    All files are parsed into the shared folder first, so that a broken one leaves every
+    collection as it was.
+    """
+    staged: dict[str, DataFrame] = {}
+    base = scratch_path(spark, "documents")
+    try:
+        for name, path in files.items():
+            documents = read_json_array(spark, path, (schemas or {}).get(name))
+            place = f"{base}/{len(staged)}"
+            documents.write.option("ignoreNullFields", False).json(place)
+            staged[name] = spark.read.schema(documents.schema).json(place)
+        return {
+            name: _write(documents, location, name, "overwrite", format, options)
+            for name, documents in staged.items()
+        }
+    finally:
+        drop_folder(spark, base)

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pytest
+
 from starloom.sinks import write_json_array
 from starloom.sources import append_documents, read_collection, replace_collections
 
@@ -72,3 +74,15 @@ def test_connector_address(spark, monkeypatch):
         "collection": "users",
         "connection.uri": "given",
     }
+
+
+def test_a_broken_file_leaves_every_collection(spark, tmp_path):
+    good, broken, store = tmp_path / "good.json", tmp_path / "broken.json", str(tmp_path / "store")
+    good.write_text('[{"a": 1}, {"a": 2}]')
+    assert replace_collections(spark, store, {"x": str(good), "y": str(good)}) == {"x": 2, "y": 2}
+    good.write_text('[{"a": 3}]')
+    broken.write_text('[{"a":1},{oops]')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        replace_collections(spark, store, {"x": str(good), "y": str(broken)})
+    for name in ("x", "y"):
+        assert sorted(r.a for r in read_collection(spark, store, name).collect()) == [1, 2]

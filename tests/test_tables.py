@@ -1,11 +1,20 @@
 from __future__ import annotations
 
+import random
+
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from starloom.operators import KeyViolation
 from starloom.plans.mart import dimension
-from starloom.sinks import create_database, drop_database, load_table, recreate_table
+from starloom.sinks import (
+    create_database,
+    drop_database,
+    load_table,
+    primary_key_statement,
+    recreate_table,
+)
 from starloom.sources import create_foreign_table
 
 
@@ -87,3 +96,42 @@ def test_dimension(spark):
     assert {tuple(r) for r in found.collect()} == {(1, "a", None), (2, "b", 2.5)}
     with pytest.raises(KeyError):
         dimension(raw, "product_key", "name", drop=["url"])
+
+
+def failing(spark, column):
+    """Rows of which one fails when its value, which is no key, is computed."""
+    value = F.when(F.col("id") == 7, F.raise_error("broken")).otherwise(F.lit("v"))
+    return spark.range(9).select(F.col("id").cast("int").alias("k"), value.alias(column))
+
+
+@pytest.mark.parametrize("operation", ["insert", "update"])
+def test_a_failing_row_leaves_the_table_as_it_was(spark, database, operation):
+    table = f"{database}.t"
+    load_table(rows(spark, 50), table, "k")
+    with pytest.raises(Exception, match="broken"):
+        load_table(failing(spark, "v"), table, "k", operation)
+    assert keys_of(spark, table) == [50]
+    assert [t.name for t in spark.catalog.listTables(database) if not t.isTemporary] == ["t"]
+
+
+@pytest.mark.parametrize("operation", ["insert", "update"])
+def test_the_checked_rows_are_the_written_ones(spark, database, operation):
+    """The input is computed once, so keys drawn at random are checked as they are written."""
+    table = f"{database}.t"
+    load_table(rows(spark, -1), table, "k")
+    seen = spark.sparkContext.accumulator(0)
+
+    def draw(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch.assign(k=[random.randrange(1 << 30) for _ in range(len(batch))], v="x")[["k", "v"]]
+
+    load_table(spark.range(20).mapInPandas(draw, "k int, v string"), table, "k", operation)
+    assert seen.value == 20
+    found = keys_of(spark, table)
+    assert len(set(found)) == len(found) == 20 + (operation == "update")
+
+
+def test_key_statement():
+    assert primary_key_statement("s.t", ["a", "b`c"]) == "ALTER TABLE s.t ADD PRIMARY KEY (`a`, `b``c`)"
+    assert primary_key_statement("t", "k", '"') == 'ALTER TABLE t ADD PRIMARY KEY ("k")'

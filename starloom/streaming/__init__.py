@@ -13,6 +13,7 @@ from starloom.streaming.medallion import (
 from starloom.streaming.sinks import (
     append_to_files,
     append_to_table,
+    drop_versions,
     finish,
     replace_table,
     stop_all,
@@ -26,6 +27,7 @@ __all__ = [
     "bronze_view",
     "clean_up",
     "create_layout",
+    "drop_versions",
     "finish",
     "gold_view",
     "join_reference_data",

@@ -6,7 +6,7 @@ DataFrame users meet the same stream.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,6 @@ from starloom.streaming.sinks import (
     append_to_files,
     append_to_table,
     replace_table,
-    stop_all,
 )
 
 
@@ -31,11 +30,17 @@ class Layout:
 
     Everything lies in a database of its own at ``location``, a folder that
     driver and executors share. ``prefix`` goes before the names of the views.
+    ``queries`` are the streams that were started for it.
     """
 
     database: str
     location: str
     prefix: str = ""
+    queries: list[StreamingQuery] = field(default_factory=list, compare=False, repr=False)
+
+    def started(self, query: StreamingQuery) -> StreamingQuery:
+        self.queries.append(query)
+        return query
 
     @property
     def bronze_path(self) -> str:
@@ -67,8 +72,9 @@ def create_layout(spark: SparkSession, database: str, location: str, prefix: str
 
 
 def clean_up(spark: SparkSession, layout: Layout) -> None:
-    """Stop all streams and remove the pipeline's tables, files and checkpoints."""
-    stop_all(spark)
+    """Stop the pipeline's streams and remove its tables, files and checkpoints."""
+    for query in layout.queries:
+        query.stop()
     drop_database(spark, layout.database)
 
 
@@ -93,8 +99,10 @@ def start_bronze(
     available_now: bool = False,
 ) -> StreamingQuery:
     """Append the events to parquet files."""
-    return append_to_files(
-        bronze, layout.bronze_path, layout.checkpoint("bronze"), name, interval, available_now
+    return layout.started(
+        append_to_files(
+            bronze, layout.bronze_path, layout.checkpoint("bronze"), name, interval, available_now
+        )
     )
 
 
@@ -113,12 +121,14 @@ def start_silver(
     available_now: bool = False,
 ) -> StreamingQuery:
     """Append the enhanced events to the silver table."""
-    return append_to_table(
-        silver,
-        layout.silver_table,
-        layout.checkpoint("silver"),
-        interval=interval,
-        available_now=available_now,
+    return layout.started(
+        append_to_table(
+            silver,
+            layout.silver_table,
+            layout.checkpoint("silver"),
+            interval=interval,
+            available_now=available_now,
+        )
     )
 
 
@@ -138,16 +148,18 @@ def start_gold(
     available_now: bool = False,
 ) -> StreamingQuery:
     """Keep the gold table equal to the counts so far."""
-    return replace_table(
-        gold,
-        layout.gold_table,
-        layout.gold_path,
-        layout.checkpoint("gold"),
-        interval=interval,
-        available_now=available_now,
+    return layout.started(
+        replace_table(
+            gold,
+            layout.gold_table,
+            layout.gold_path,
+            layout.checkpoint("gold"),
+            interval=interval,
+            available_now=available_now,
+        )
     )
 
 
 def join_reference_data(stream: DataFrame, reference: DataFrame, on: str) -> DataFrame:
     """Events joined with static rows; whether to broadcast is left to Spark's size check."""
-    return merge(stream, reference, on, null_safe=False)
+    return merge(stream, reference, on)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from starloom.scratch import drop_folder
 from starloom.sources.jdbc import sql_text
 
 DEFAULT_INTERVAL = "5 seconds"
@@ -66,30 +68,61 @@ def replace_table(
     interval: str | None = None,
     available_now: bool = False,
     format: str = "parquet",
-    versions: int = 10,
 ) -> StreamingQuery:
     """Make a table equal to the whole aggregate after every batch.
 
-    File formats take no complete-mode stream. So each batch is written to a
-    folder below ``path`` and the table pointed to it, which readers meet as one
-    step; a repeated batch writes the same again. The last ``versions`` folders
-    are kept and used in turn, so a read has that many batches to finish.
+    File formats take no complete-mode stream. So each attempt at a batch is
+    written to a folder of its own below ``path`` and the table pointed to it,
+    which readers meet as one step. Former folders stay, so a slow reader and a
+    repeated batch disturb nothing, until :func:`drop_versions` is called.
     """
     session = stream.sparkSession
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        place = f"{path}/version={batch_id % versions}"
-        batch.write.format(format).mode("overwrite").save(place)
+        folder = f"version={batch_id}-{uuid.uuid4().hex}"
+        place = f"{path}/{folder}"
+        batch.write.format(format).save(place)
         if session.catalog.tableExists(table):
+            _note_versions(session, table, [*_versions(session, table), folder])
             session.sql(f"ALTER TABLE {table} SET LOCATION {sql_text(place)}")
         else:
             session.catalog.createTable(table, path=place, source=format, schema=batch.schema)
+            _note_versions(session, table, [folder])
         session.catalog.refreshTable(table)
 
     writer = _writer(stream, checkpoint, "complete", name, interval, available_now)
     return writer.foreachBatch(publish).start()
 
 
+_VERSIONS = "starloom.versions"
+
+
+def _versions(spark: SparkSession, table: str) -> list[str]:
+    """The folders that a table has been pointed to, oldest first."""
+    for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect():
+        if row.key == _VERSIONS:
+            return row.value.split(",")
+    return []
+
+
+def _note_versions(spark: SparkSession, table: str, folders: list[str]) -> None:
+    noted = sql_text(",".join(folders))
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_VERSIONS}' = {noted})")
+
+
+def drop_versions(spark: SparkSession, table: str, path: str, keep: int = 1) -> None:
+    """Delete the folders of :func:`replace_table` but the ``keep`` latest ones.
+
+    Call it when no reader that began before the kept ones is left.
+    """
+    if keep < 1:
+        raise ValueError("the version that is live is kept")
+    folders = _versions(spark, table)
+    for folder in folders[:-keep]:
+        drop_folder(spark, f"{path}/{folder}")
+    _note_versions(spark, table, folders[-keep:])
+
+
 def wait_until_ready(query: StreamingQuery, timeout: float = 60.0) -> None:
     """Return once the query has done a batch; raise its error, or TimeoutError."""
     deadline = time.monotonic() + timeout

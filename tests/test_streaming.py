@@ -4,8 +4,9 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
-from starloom.operators import count_by
+from starloom.operators import count_by, with_audit_columns
 from starloom.sources import read_table, stream_json_lines
 from starloom.streaming import (
     append_to_files,
@@ -13,6 +14,7 @@ from starloom.streaming import (
     bronze_view,
     clean_up,
     create_layout,
+    drop_versions,
     finish,
     gold_view,
     join_reference_data,
@@ -259,15 +261,55 @@ def test_readers_always_meet_a_whole_table(spark, tmp_path, database):
     }
 
 
-def test_versions_are_used_in_turn(spark, tmp_path, database):
+def test_every_batch_has_a_folder_of_its_own(spark, tmp_path, database):
+    """A reader of any former version, and a repeated batch, meet files that nobody changes."""
     folder = tmp_path / "in"
-    for i in range(5):
+    for i in range(12):
         put(folder, f"{i}.json", [event(i, "click", 1)])
     counts = count_by(stream_json_lines(spark, str(folder)), "event_name", "n")
-    table, path = f"{database}.counts", tmp_path / "counts"
-    query = replace_table(
-        counts, table, str(path), str(tmp_path / "check"), available_now=True, versions=2
-    )
-    finish(query)
-    assert sorted(p.name for p in path.iterdir()) == ["version=0", "version=1"]
-    assert [tuple(r) for r in read_table(spark, table).collect()] == [("click", 5)]
+    table, path, check = f"{database}.counts", tmp_path / "counts", tmp_path / "check"
+    finish(replace_table(counts, table, str(path), str(check), available_now=True))
+    folders = {p.name for p in path.iterdir()}
+    assert len(folders) == 12
+    first = next(p for p in path.iterdir() if p.name.startswith("version=0-"))
+    early = spark.read.parquet(str(first))
+    assert [tuple(r) for r in early.collect()] == [("click", 1)]
+
+    # The last batch is published, but its commit is lost: it is repeated beside the live one.
+    live = {f: f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+    for file in (check / "commits").glob("*11*"):
+        file.unlink()
+    finish(replace_table(counts, table, str(path), str(check), available_now=True))
+    assert {f: f.stat().st_mtime_ns for f in live} == live
+    assert sum(p.name.startswith("version=11-") for p in path.iterdir()) == 2
+    assert [tuple(r) for r in read_table(spark, table).collect()] == [("click", 12)]
+    assert [tuple(r) for r in early.collect()] == [("click", 1)]
+
+    drop_versions(spark, table, str(path), keep=2)
+    assert len(list(path.iterdir())) == 2
+    assert [tuple(r) for r in read_table(spark, table).collect()] == [("click", 12)]
+    with pytest.raises(ValueError):
+        drop_versions(spark, table, str(path), keep=0)
+
+
+def test_clean_up_leaves_other_pipelines_running(spark, tmp_path):
+    folder = tmp_path / "in"
+    put(folder, "0.json", [event(1, "click", 1)])
+    layouts = [create_layout(spark, f"pipeline_{i}", str(tmp_path / f"p{i}"), f"p{i}_") for i in (1, 2)]
+    queries = [start_bronze(bronze_view(spark, str(folder), layout), layout) for layout in layouts]
+    try:
+        clean_up(spark, layouts[0])
+        assert [query.isActive for query in queries] == [False, True]
+    finally:
+        clean_up(spark, layouts[1])
+    assert not queries[1].isActive
+
+
+def test_audit_needs_the_scan(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(4).write.parquet(path)
+    rows = spark.read.parquet(path)
+    found = with_audit_columns(rows.where("id > 1")).collect()
+    assert len(found) == 2 and all(r.source_file.endswith(".parquet") for r in found)
+    with pytest.raises(AnalysisException):
+        with_audit_columns(rows.groupBy("id").count())

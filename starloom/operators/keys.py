@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 from itertools import accumulate
@@ -11,11 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.functions import calendar_key
+from starloom.names import column, quoted
 from starloom.operators.shape import insert_first
-from starloom.scratch import scratch_path
+from starloom.scratch import drop_folder, scratch_path
 
 # Fixed value: the sequential date key of the first row.
 SEQUENTIAL_DATE_KEY_START = 20100101
+#: A name and a number per file: some 20 MB.
+BROADCAST_FILES = 200_000
 
 
 class KeyViolation(ValueError):
@@ -26,19 +30,34 @@ def _names(columns: str | Sequence) -> list:
     return [columns] if isinstance(columns, str) else list(columns)
 
 
-def _holds_map(data_type: T.DataType) -> bool:
-    if isinstance(data_type, T.MapType):
-        return True
+def _columns(columns: str | Sequence) -> list[Column]:
+    return [column(name) for name in _names(columns)]
+
+
+def _without_maps(value: Column, data_type: T.DataType) -> Column:
+    """The value with every map as its sorted entries."""
     if isinstance(data_type, T.ArrayType):
-        return _holds_map(data_type.elementType)
-    if isinstance(data_type, T.StructType):
-        return any(_holds_map(field.dataType) for field in data_type.fields)
-    return False
+        return F.transform(value, lambda x: _without_maps(x, data_type.elementType))
+    if isinstance(data_type, T.StructType) and data_type.fields:
+        parts = [_without_maps(value[f.name], f.dataType).alias(f.name) for f in data_type.fields]
+        return F.when(value.isNotNull(), F.struct(*parts))
+    if isinstance(data_type, T.MapType):
+        entries = T.StructType().add("key", data_type.keyType).add("value", data_type.valueType)
+        return F.array_sort(_without_maps(F.map_entries(value), T.ArrayType(entries)))
+    return value
 
 
 def _row_digest(df: DataFrame) -> Column:
-    hashable = [f"`{f.name}`" for f in df.schema.fields if not _holds_map(f.dataType)]
-    return F.xxhash64(F.lit(0), *hashable)
+    values = [_without_maps(column(f.name), f.dataType) for f in df.schema.fields]
+    return F.xxhash64(F.lit(0), *values)
+
+
+def _file_number(name: str) -> int:
+    """The number of the partition that a part file was written from."""
+    found = re.match(r"part-(\d+)-", name)
+    if found is None:
+        raise ValueError(f"the committer's file names do not tell their order: {name}")
+    return int(found[1])
 
 
 def _file_position(staged: DataFrame) -> DataFrame:
@@ -59,17 +78,17 @@ def add_row_number(
 ) -> DataFrame:
     """Put a gap-free number, counted in the order of ``order_by``, at position 0.
 
-    The rows are range-partitioned on the order keys and written once, each
-    partition sorted to a file of its own. A row's number is then its position
-    in its file plus the rows of all files before it. The file sizes come from
-    the footers; there are as many as shuffle partitions, so they are broadcast.
-    No task sees more than one range.
+    The rows are copied once, as their ranges are sampled before they are read. The
+    copy is range-partitioned on the order keys and written, each partition sorted
+    to a file of its own, and then dropped. A row's number is its position in its
+    file plus the rows of all files before it. The file sizes come from the footers;
+    there are as many as shuffle partitions, and up to ``BROADCAST_FILES`` of them are
+    broadcast. No task sees more than one range.
 
     Rows that tie on the order keys are told apart by a digest of the whole row,
-    which makes the numbering repeatable, and equal rows by their place in a
-    first copy of the input. So neither a hot key nor a group of equal rows falls
-    to one task. Set ``unique_order`` where the order keys identify a row, which
-    saves that copy.
+    which makes the numbering repeatable, and equal rows by their place in the
+    copy. So neither a hot key nor a group of equal rows falls to one task. Set
+    ``unique_order`` where the order keys identify a row, which saves the digest.
     """
     keys = _names(order_by)
     if not keys:
@@ -77,33 +96,35 @@ def add_row_number(
     if name in df.columns:
         raise ValueError(f"column exists already: {name}")
     spark = df.sparkSession
-    rows, order = df, keys
+    source = scratch_path(spark, "copy")
+    df.write.parquet(source)
+    rows, order = spark.read.schema(df.schema).parquet(source), _columns(keys)
     if not unique_order:
-        source = scratch_path(spark, "copy")
-        df.write.parquet(source)
-        rows = _file_position(spark.read.schema(df.schema).parquet(source))
-        rows = rows.withColumn("__digest", _row_digest(df))
-        order = [*keys, "__digest", "__file", "__position"]
+        rows = _file_position(rows).withColumn("__digest", _row_digest(df))
+        order += [F.col("__digest"), F.col("__file"), F.col("__position")]
     path = scratch_path(spark, "numbered")
     (
         rows.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .select(*[f"`{column}`" for column in df.columns])
+        .select(*[quoted(name) for name in df.columns])
         .write.option("maxRecordsPerFile", 0)
         .parquet(path)
     )
+    drop_folder(spark, source)
     staged = _file_position(spark.read.schema(df.schema).parquet(path))
 
     sizes = staged.groupBy("__file").agg(F.count(F.lit(1)).alias("n")).collect()
-    sizes.sort(key=lambda row: int(row["__file"].split("-")[1]))
+    sizes.sort(key=lambda row: _file_number(row["__file"]))
     before = accumulate((row.n for row in sizes), initial=0)
     offsets = spark.createDataFrame(
         [(row["__file"], offset) for row, offset in zip(sizes, before)],
         "`__file` string, `__offset` bigint",
     )
     number = F.col("__offset") + F.col("__position") + start
-    return staged.join(F.broadcast(offsets), "__file").select(
-        number.alias(name), *[f"`{column}`" for column in df.columns]
+    if len(sizes) <= BROADCAST_FILES:
+        offsets = F.broadcast(offsets)
+    return staged.join(offsets, "__file").select(
+        number.alias(name), *[quoted(other) for other in df.columns]
     )
 
 
@@ -123,11 +144,11 @@ def add_date_key(
     if mode == "sequential":
         if row_number is None:
             raise ValueError("sequential date keys need row_number")
-        value = F.col(row_number) + (SEQUENTIAL_DATE_KEY_START - 1)
+        value = column(row_number) + (SEQUENTIAL_DATE_KEY_START - 1)
     elif mode == "calendar":
         if day is None:
             raise ValueError("calendar date keys need day")
-        value = calendar_key(F.col(day))
+        value = calendar_key(column(day))
     else:
         raise ValueError(f"unknown date key mode: {mode}")
     return insert_first(df, name, value)
@@ -141,17 +162,17 @@ def keep_first(
     Spark limits each group before the shuffle as well, so a hot key sends at
     most one row per map task.
     """
-    order = _names(order_by)
+    order = _columns(order_by)
     if not order:
         raise ValueError("keeping the first row needs an order")
-    rank = F.row_number().over(Window.partitionBy(*_names(key)).orderBy(*order))
+    rank = F.row_number().over(Window.partitionBy(*_columns(key)).orderBy(*order))
     return df.withColumn("__rank", rank).where(F.col("__rank") == 1).drop("__rank")
 
 
 def key_violations(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Keys that are null or occur more than once, with the number of rows."""
-    keys = _names(key)
-    is_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    keys = _columns(key)
+    is_null = reduce(lambda a, b: a | b, [k.isNull() for k in keys])
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"))
     return counted.where(is_null | (F.col("row_count") > 1))
 
@@ -165,7 +186,8 @@ def check_primary_key(df: DataFrame, key: str | Sequence[str]) -> None:
 
 def check_new_keys(df: DataFrame, existing: DataFrame, key: str | Sequence[str]) -> None:
     """Raise :class:`KeyViolation` if a key of ``df`` is in ``existing`` already."""
-    keys = _names(key)
-    found = existing.select(*keys).join(df.select(*keys), keys, "left_semi").take(5)
+    keys = [column(k).alias(f"key_{place}") for place, k in enumerate(_names(key))]
+    names = [f"key_{place}" for place in range(len(keys))]
+    found = existing.select(*keys).join(df.select(*keys), names, "left_semi").take(5)
     if found:
         raise KeyViolation(f"keys present already, e.g. {[tuple(row) for row in found]}")

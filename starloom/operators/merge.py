@@ -8,18 +8,20 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.names import column
+
 
 def merge(
     left: DataFrame,
     right: DataFrame,
     on: str | Sequence[str],
-    null_safe: bool = True,
+    null_safe: bool = False,
     suffixes: tuple[str, str] = ("_x", "_y"),
 ) -> DataFrame:
     """Join on equally named keys, which appear once in the result.
 
-    Null keys match each other unless ``null_safe`` is off. Other columns that
-    share a name get the suffixes. No side is hinted: Catalyst broadcasts one
+    Null keys match nothing, or each other with ``null_safe``: then every null row of
+    one side meets every one of the other. Other columns that share a name get the suffixes. No side is hinted: Catalyst broadcasts one
     only under its size threshold, and adaptive execution splits hot keys.
     """
     keys = [on] if isinstance(on, str) else list(on)
@@ -28,18 +30,18 @@ def merge(
     def renamed(name: str, suffix: str) -> str:
         return name + suffix if name in clashing else name
 
-    right_key = {key: f"__right_{key}" for key in keys}
+    right_key = {key: f"__right_{place}" for place, key in enumerate(keys)}
     left_names = [renamed(name, suffixes[0]) for name in left.columns]
     right_names = [renamed(name, suffixes[1]) for name in right.columns if name not in keys]
     if len(set(left_names + right_names)) < len(left_names + right_names):
         raise ValueError(f"suffixes {suffixes} do not make the column names distinct")
 
     left_side = left.select(
-        *[F.col(f"`{name}`").alias(renamed(name, suffixes[0])) for name in left.columns]
+        *[column(name).alias(renamed(name, suffixes[0])) for name in left.columns]
     )
     right_side = right.select(
         *[
-            F.col(f"`{name}`").alias(right_key.get(name, renamed(name, suffixes[1])))
+            column(name).alias(right_key.get(name, renamed(name, suffixes[1])))
             for name in right.columns
         ]
     )
@@ -49,9 +51,9 @@ def merge(
         for key in keys
     }
     matches = [
-        F.col(key).eqNullSafe(F.col(right_key[key]))
+        column(key).eqNullSafe(F.col(right_key[key]))
         if may_match_null[key]
-        else F.col(key) == F.col(right_key[key])
+        else column(key) == F.col(right_key[key])
         for key in keys
     ]
     joined = left_side.join(right_side, reduce(lambda a, b: a & b, matches), "inner")

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from starloom.functions import to_number
+from starloom.functions import convert_number, to_number
+from starloom.names import quoted
 
 
 def drop_columns(df: DataFrame, columns: Sequence[str], strict: bool = True) -> DataFrame:
@@ -21,7 +24,8 @@ def drop_columns(df: DataFrame, columns: Sequence[str], strict: bool = True) ->
 def move_to_front(df: DataFrame, column: str) -> DataFrame:
     if column not in df.columns:
         raise KeyError(f"no such column: {column}")
-    return df.select(column, *[name for name in df.columns if name != column])
+    others = [name for name in df.columns if name != column]
+    return df.select(*[quoted(name) for name in [column, *others]])
 
 
 def insert_first(df: DataFrame, column: str, value: Column) -> DataFrame:
@@ -32,18 +36,42 @@ def insert_first(df: DataFrame, column: str, value: Column) -> DataFrame:
 
 
 def coerce_numbers(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    """Turn text columns into numbers, failing on text that is not a number."""
-    return df.withColumns(
-        {name: to_number(F.col(name), data_type) for name, data_type in types.items()}
+    """Turn columns into numbers, failing on text that is not a number.
+
+    A column that is a number already is cast without going through text, and fails where the
+    cast would change its value.
+    """
+
+    def number(name: str, data_type: str) -> Column:
+        given = df.schema[name].dataType
+        if isinstance(given, T.NumericType):
+            return convert_number(F.col(quoted(name)), given, data_type)
+        return to_number(F.col(quoted(name)), data_type)
+
+    return df.select(
+        *[
+            number(name, types[name]).alias(name) if name in types else F.col(quoted(name))
+            for name in df.columns
+        ]
     )
 
 
 def with_audit_columns(df: DataFrame) -> DataFrame:
-    """Add when a row was received and which file it came from."""
+    """Add when a row was received and which file it came from.
+
+    ``df`` must be a scan of files, filtered or narrowed at most: behind a shuffle a row's file
+    is not known, which is an error. A view of a stream hides its scan's metadata; there the
+    file is the one that the task reads.
+    """
+    file = F.col("_metadata.file_path")
+    try:
+        df.select(file)
+    except AnalysisException:
+        if not df.isStreaming:
+            raise
+        file = F.input_file_name()
     return df.select(
-        "*",
-        F.current_timestamp().alias("receipt_time"),
-        F.input_file_name().alias("source_file"),
+        "*", F.current_timestamp().alias("receipt_time"), file.alias("source_file")
     )
 
 
@@ -55,7 +83,7 @@ def first_rows(df: DataFrame, order_by: str | Sequence[str], n: int) -> DataFram
 
 def count_by(df: DataFrame, column: str, name: str) -> DataFrame:
     """Rows per value of ``column``; the null group counts 0 as its values are null."""
-    return df.groupBy(column).agg(F.count(column).alias(name))
+    return df.groupBy(quoted(column)).agg(F.count(quoted(column)).alias(name))
 
 
 def ingestion_summary(df: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import random
 
 import pytest
@@ -15,6 +16,7 @@ from starloom.operators import (
     keep_first,
     key_violations,
 )
+from starloom.scratch import scratch_path
 from tests.plans import plan_of
 
 NO_COALESCE = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
@@ -155,3 +157,45 @@ def test_new_keys(spark):
     check_new_keys(spark.createDataFrame([(3,)], "k int"), present, "k")
     with pytest.raises(KeyViolation):
         check_new_keys(spark.createDataFrame([(3,), (2,)], "k int"), present, "k")
+
+
+@pytest.mark.parametrize("unique_order", [False, True])
+def test_the_input_is_computed_once(spark, unique_order):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows = spark.range(0, 500, 1, 5).mapInPandas(count, "id long")
+    assert add_row_number(rows, "n", "id", unique_order=unique_order).where("n <> id + 1").count() == 0
+    assert seen.value == 500
+
+
+def test_copies_are_dropped(spark):
+    folder = os.path.dirname(scratch_path(spark, "x"))
+    numbered = add_row_number(spark.range(50), "n", "id")
+    assert numbered.count() == 50
+    assert not [name for name in os.listdir(folder) if name.startswith("copy-")]
+
+
+def test_maps_tell_rows_apart(spark):
+    """Rows that differ in a map only get the same numbers wherever they come from."""
+    rows = [(1, {"a": i, "b": 2}, [{"x": {"k": i}}]) for i in range(6)]
+    schema = "g int, m map<string,int>, deep array<map<string,map<string,int>>>"
+    first, second = (
+        {str(r.m): r.n for r in add_row_number(spark.createDataFrame(x, schema).repartition(p), "n", "g").collect()}
+        for x, p in ((rows, 1), ([(g, dict(reversed(m.items())), d) for g, m, d in reversed(rows)], 4))
+    )
+    assert {frozenset(eval(k).items()): v for k, v in first.items()} == {
+        frozenset(eval(k).items()): v for k, v in second.items()
+    }
+
+
+def test_dotted_names(spark):
+    df = spark.createDataFrame([(1, 5), (1, 4), (None, 3)], "`a.b` int, `c.d` int")
+    assert {tuple(r) for r in keep_first(df, "a.b", "c.d").collect()} == {(1, 4), (None, 3)}
+    assert {tuple(r) for r in key_violations(df, ["a.b"]).collect()} == {(1, 2), (None, 1)}
+    check_new_keys(df, spark.createDataFrame([(9,)], "`c.d` int"), "c.d")
+    assert add_row_number(df, "n", "c.d").columns == ["n", "a.b", "c.d"]

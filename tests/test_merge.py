@@ -28,7 +28,7 @@ def as_set(frame):
 
 def test_equals_pandas(spark):
     left, right = frames(spark)
-    ours = merge(left, right, "k")
+    ours = merge(left, right, "k", null_safe=True)
     theirs = pd.merge(
         pd.DataFrame(LEFT, columns=left.columns), pd.DataFrame(RIGHT, columns=right.columns), on="k"
     )
@@ -38,12 +38,12 @@ def test_equals_pandas(spark):
 
 def test_nulls_apart(spark):
     left, right = frames(spark)
-    assert {row.k for row in merge(left, right, "k", null_safe=False).collect()} == {"a"}
+    assert {row.k for row in merge(left, right, "k").collect()} == {"a"}
 
 
 def test_several_keys_and_self_join(spark):
     left, _ = frames(spark)
-    joined = merge(left, left.select("k", "n"), ["k", "n"])
+    joined = merge(left, left.select("k", "n"), ["k", "n"], null_safe=True)
     assert joined.columns == ["k", "n", "label"]
     assert as_set(joined.collect()) == as_set(LEFT)
 
@@ -68,6 +68,7 @@ def test_random_frames_equal_pandas(spark):
             spark.createDataFrame(left, "k string, j int, v int"),
             spark.createDataFrame(right, "k string, j int, v int"),
             ["k", "j"],
+            null_safe=True,
         )
         names = ["k", "j", "v"]
         theirs = pd.merge(
@@ -100,3 +101,17 @@ def test_hot_key_is_split(spark, settings, null_safe):
     assert len(rows) == n
     assert all(r.v == r.k * 2 for r in rows)
     assert "skew=true" in plan_of(joined)
+
+
+def test_plain_equality_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.createDataFrame(LEFT, "k string, n int, label string").write.parquet(path)
+    rows = spark.read.parquet(path)
+    plan = plan_of(merge(rows, rows.select("k"), "k"))
+    assert "coalesce" not in plan and "IsNotNull(k)" in plan
+
+
+def test_dotted_names(spark):
+    left = spark.createDataFrame([(1, "x"), (2, "y")], "`a.b` int, `c.d` string")
+    found = merge(left, left, "a.b")
+    assert found.columns == ["a.b", "c.d_x", "c.d_y"] and found.count() == 2

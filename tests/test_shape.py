@@ -14,6 +14,7 @@ from starloom.operators import (
     insert_first,
     move_to_front,
 )
+from tests.plans import plan_of
 
 
 def rows(spark):
@@ -74,3 +75,40 @@ def test_blank_is_null(spark):
 def test_fraction_is_no_integer(spark):
     with pytest.raises(Exception, match="not a int"):
         spark.range(1).select(to_number(F.lit("1.5"), "int")).collect()
+
+
+def test_dotted_names(spark):
+    df = spark.createDataFrame([(1, "2"), (1, "3")], "`a.b` int, `c.d` string")
+    assert move_to_front(df, "c.d").columns == ["c.d", "a.b"]
+    assert [tuple(r) for r in count_by(df, "a.b", "n").collect()] == [(1, 2)]
+    assert coerce_numbers(df, {"c.d": "int"}).dtypes == [("a.b", "int"), ("c.d", "int")]
+
+
+def test_numbers_are_cast_without_text(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(9).selectExpr("id", "cast(id as int) i", "cast(id as double) d").write.parquet(path)
+    found = coerce_numbers(spark.read.parquet(path), {"id": "bigint", "i": "bigint", "d": "double"})
+    plan = plan_of(found.where("id > 3 and i > 2 and d > 1.5"))
+    for pushed in ("GreaterThan(id,3)", "GreaterThan(i,2)", "GreaterThan(d,1.5)"):
+        assert pushed in plan
+
+
+@pytest.mark.parametrize(
+    "value, kind, wanted",
+    [("3.0D", "int", 3), ("3.5D", "int", None), ("3000000000L", "int", None), ("7", "decimal(3,1)", 7),
+     ("1.25BD", "decimal(3,1)", None), ("double('NaN')", "int", None), ("5", "double", 5.0)],
+)
+def test_changed_numbers_fail(spark, value, kind, wanted):
+    df = spark.sql(f"SELECT {value} AS x UNION ALL SELECT NULL")
+    if wanted is None:
+        with pytest.raises(Exception, match="not a"):
+            coerce_numbers(df, {"x": kind}).collect()
+    else:
+        assert {r.x for r in coerce_numbers(df, {"x": kind}).collect()} == {wanted, None}
+
+
+def test_decimals_are_not_rounded(spark):
+    df = spark.createDataFrame([("1.23",), ("1.230",), (" 7 ",)], "x string")
+    assert [float(r.x) for r in coerce_numbers(df, {"x": "decimal(10,2)"}).collect()] == [1.23, 1.23, 7.0]
+    with pytest.raises(Exception, match="not a decimal"):
+        coerce_numbers(spark.sql("SELECT '1.239' AS x"), {"x": "decimal(10,2)"}).collect()

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,13 +62,7 @@ def with_audit_columns(df: DataFrame) -> DataFrame:
     is not known, which is an error. A view of a stream hides its scan's metadata; there the
     file is the one that the task reads.
     """
-    file = F.col("_metadata.file_path")
-    try:
-        df.select(file)
-    except AnalysisException:
-        if not df.isStreaming:
-            raise
-        file = F.input_file_name()
+    file = F.input_file_name() if df.isStreaming else F.col("_metadata.file_path")
     return df.select(
         "*", F.current_timestamp().alias("receipt_time"), file.alias("source_file")
     )

@@ -126,27 +126,25 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "fact_orders_calendar_key": f"""
         with {_dates()}, {_JOINED}
-        select r.* exclude (place), date_key, full_date, day_name_of_week,
-               weekday_weekend, fiscal_year_qtr
-        from ranked r join dates on o_orderdate = full_date
+        select r.* exclude (place), d.*
+        from ranked r join dates d on o_orderdate = full_date
         where place = 1
     """,
     "merge_null_safe": """
         with o as (
-            select case when o_orderpriority <> '1-URGENT' then o_custkey end as custkey,
-                   count(*) as n_x
-            from orders group by 1
+            select * exclude (o_custkey) replace (cast(o_orderdate as date) as o_orderdate),
+                   case when o_orderpriority <> '1-URGENT' then o_custkey end as custkey
+            from orders
         ),
         u as (
-            select case when c_mktsegment <> 'BUILDING' then c_custkey end as custkey,
-                   count(*) as n_y
-            from customer group by 1
+            select * exclude (c_custkey), nullif(c_custkey, 1) as other from customer
         )
-        select o.custkey, n_x, n_y from o join u on o.custkey is not distinct from u.custkey
+        select * exclude (other) from o join u on custkey is not distinct from other
     """,
     "merge_suffixes": """
-        select o_orderkey, c_custkey as custkey, o_orderpriority as label_x,
-               c_name, c_mktsegment as label_y
+        select o_orderkey, o_custkey as custkey, o_orderstatus, o_totalprice,
+               cast(o_orderdate as date) as o_orderdate, o_orderpriority as label_x,
+               c_name, c_nationkey, c_acctbal, c_mktsegment as label_y
         from orders join customer on o_custkey = c_custkey
     """,
     "key_violation_report": """
@@ -154,12 +152,10 @@ ORACLE_SQL: dict[str, str] = {
         from orders group by 1 having o_custkey is null or count(*) > 1
     """,
     "numbered_events": """
-        select event_type, count(*) as n, min(event_key) as first_key, max(event_key) as last_key
-        from (select event_type, row_number() over (order by event_type) as event_key from events)
-        group by 1
+        select *, row_number() over (order by event_type, event_id) as event_key from events
     """,
     "first_event_per_user": """
-        select event_id, ts, user_id, event_type from events
+        select * from events
         qualify row_number() over (partition by user_id order by ts, event_id) = 1
     """,
     "reshaped_orders": """
@@ -169,8 +165,7 @@ ORACLE_SQL: dict[str, str] = {
         from orders
     """,
     "coerced_prices": """
-        select p_partkey, case when p_size >= 10 then p_size end as p_size, p_retailprice
-        from part
+        select * replace (case when p_size >= 10 then p_size end as p_size) from part
     """,
     "order_preview": f"{_ORDERS} order by o_orderkey limit 5",
     "ingest_summary": """
@@ -180,11 +175,39 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "csv_text": _DOCUMENTS_AS_TEXT,
     "csv_typed": _ORDERS,
+    "csv_ragged": f"""
+        select doc_id, text, lang,
+               case when cast(doc_id as bigint) % 3 <> 1 then source end as source,
+               case when cast(doc_id as bigint) % 3 <> 1 then n_chars end as n_chars,
+               case when cast(doc_id as bigint) % 3 = 2 then 'x,"y"|' || doc_id end as rest
+        from ({_DOCUMENTS_AS_TEXT})
+    """,
+    "csv_inferred": """
+        select * replace (case when p_size >= 10 then cast(p_size as double) end as p_size)
+        from part
+    """,
     "csv_as_json": _DOCUMENTS_AS_TEXT,
-    "json_lines": f"select * exclude (o_orderdate) from ({_ORDERS})",
+    "json_lines": f"""
+        select * replace (cast(o_orderdate as varchar) as o_orderdate) from ({_ORDERS})
+    """,
     "json_array": "select doc_id, text, lang, source, n_chars from documents",
     "json_split": "select * from part",
+    "json_split_nested": """
+        select *, p_brand as detail_brand, p_size as detail_size,
+               p_type as first_word, p_name as second_word
+        from part
+    """,
     "converted_orders": _ORDERS,
+    "converted_events": f"""
+        with {_EVENTS}
+        select device, event_id as order_id, event_name, event_previous_timestamp,
+               event_timestamp, 'city ' || user_id as city, event_id as item, 1 as item_count,
+               traffic_source, user_first_touch_timestamp, user_id
+        from (
+            select bronze.*, cast(json_extract(ecommerce, '$.order') as bigint) as event_id
+            from bronze
+        )
+    """,
     "replaced_documents": "select * from part",
     "appended_documents": f"""
         select *, c_name as _id from ({_USERS})
@@ -193,7 +216,7 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "matching_documents": f"select * from ({_USERS}) where c_mktsegment = 'BUILDING'",
     "updated_table": _USERS,
-    "foreign_table": "select l_orderkey, l_linenumber, l_partkey, l_suppkey from lineitem",
+    "foreign_table": "select * from lineitem",
     "events_bronze": f"with {_EVENTS} select * from bronze",
     "events_silver": f"with {_EVENTS} select * from silver",
     "events_gold": f"""
@@ -205,9 +228,9 @@ ORACLE_SQL: dict[str, str] = {
                count(nullif(event_type, 'error')) as customer_count
         from events group by 1
     """,
-    "stream_static_join": """
-        select cast(user_id as varchar) as user_id, event_type as event_name,
-               epoch_us(ts) as event_timestamp, c_name, c_mktsegment
-        from events join customer on user_id = c_custkey
+    "stream_static_join": f"""
+        with {_EVENTS}
+        select bronze.*, c_name, c_nationkey, c_acctbal, c_mktsegment
+        from bronze join customer on user_id = cast(c_custkey as varchar)
     """,
 }

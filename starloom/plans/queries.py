@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators import (
@@ -82,6 +82,13 @@ PRODUCT_FIELDS = (
     "p_size int, p_retailprice double"
 )
 
+EVENT_FIELDS = (
+    "device string, ecommerce struct<order: bigint>, event_name string, "
+    "event_previous_timestamp bigint, event_timestamp bigint, geo struct<city: string>, "
+    "items array<struct<item: bigint>>, traffic_source string, "
+    "user_first_touch_timestamp bigint, user_id string"
+)
+
 
 def _database(spark: SparkSession) -> str:
     """A new database in the shared folder."""
@@ -175,46 +182,31 @@ def fact_orders_calendar_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         day="o_orderdate",
         unique_order=True,
     )
-    days = dim_date(spark, sf_dir).select(
-        "date_key", "full_date", "day_name_of_week", "weekday_weekend", "fiscal_year_qtr"
-    )
-    return merge(mart.order_fact(joined, "custkey"), days, "date_key")
+    return merge(mart.order_fact(joined, "custkey"), dim_date(spark, sf_dir), "date_key")
 
 
 # Joins, keys and shaping
 
 
 def merge_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys of urgent orders and of building customers are taken as unknown.
+    """Keys of urgent orders, and that of one user, are taken as unknown.
 
-    Each side is aggregated per key first, so that null meets null once.
+    So all urgent orders meet one user, and the result grows with the orders.
     """
     urgent = F.col("o_orderpriority") == "1-URGENT"
-    building = F.col("c_mktsegment") == "BUILDING"
-    order_counts = (
-        stand_ins.orders(spark, sf_dir)
-        .select(F.when(~urgent, F.col("custkey")).alias("custkey"))
-        .groupBy("custkey")
-        .agg(F.count(F.lit(1)).alias("n"))
+    orders = stand_ins.orders(spark, sf_dir).withColumn(
+        "custkey", F.when(~urgent, F.col("custkey"))
     )
-    user_counts = (
-        stand_ins.users(spark, sf_dir)
-        .select(F.when(~building, F.col("custkey")).alias("custkey"))
-        .groupBy("custkey")
-        .agg(F.count(F.lit(1)).alias("n"))
+    users = stand_ins.users(spark, sf_dir).withColumn(
+        "custkey", F.nullif(F.col("custkey"), F.lit(1))
     )
-    return merge(order_counts, user_counts, "custkey")
+    return merge(orders, users, "custkey", null_safe=True)
 
 
 def merge_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = stand_ins.orders(spark, sf_dir).withColumnRenamed("o_orderpriority", "label")
     right = stand_ins.users(spark, sf_dir).withColumnRenamed("c_mktsegment", "label")
-    return merge(
-        left.select("o_orderkey", "custkey", "label"),
-        right.select("custkey", "c_name", "label"),
-        "custkey",
-        null_safe=False,
-    )
+    return merge(left, right, "custkey")
 
 
 def key_violation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,23 +214,13 @@ def key_violation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbered by type, of which there are a few hot ones; ties go by the whole row.
-
-    Which of the tied rows gets which number is Spark's choice, so each type is
-    told by how many numbers it has and where they begin and end.
-    """
-    rows = table(spark, sf_dir, "events").select("event_type", "user_id", "ts")
-    numbered = add_row_number(rows, "event_key", "event_type")
-    return numbered.groupBy("event_type").agg(
-        F.count("event_key").alias("n"),
-        F.min("event_key").alias("first_key"),
-        F.max("event_key").alias("last_key"),
-    )
+    """Numbered by type, of which there are a few hot ones, and within a type by id."""
+    events = table(spark, sf_dir, "events")
+    return add_row_number(events, "event_key", ["event_type", "event_id"])
 
 
 def first_event_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    return keep_first(rows, "user_id", ["ts", "event_id"])
+    return keep_first(table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"])
 
 
 def reshaped_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,7 +233,6 @@ def coerced_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Small sizes are blanked, and blank text becomes a null number."""
     size = F.when(F.col("p_size") < 10, " ").otherwise(F.col("p_size").cast("string"))
     rows = stand_ins.products(spark, sf_dir).withColumn("p_size", size)
-    rows = rows.select("p_partkey", "p_size", "p_retailprice")
     return coerce_numbers(rows, {"p_size": "int", "p_retailprice": "double"})
 
 
@@ -278,6 +259,39 @@ def csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_typed(spark, path, ORDER_FIELDS, multi_line=False)
 
 
+def csv_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the rows end after three fields, another third have two fields more."""
+    options = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    documents = table(spark, sf_dir, "documents")
+
+    def line(*fields) -> Column:
+        return F.to_csv(F.struct(*fields), options)
+
+    third = F.col("doc_id") % 3
+    short = line("doc_id", "text", "lang")
+    full = line(*documents.columns)
+    extra = line(F.lit('x,"y"').alias("x"), F.col("doc_id").alias("y"))
+    written = F.when(third == 1, short).when(third == 2, F.concat_ws(",", full, extra)).otherwise(full)
+    # Files of a thousand ids, each with its header.
+    files = (
+        documents.groupBy(F.floor(F.col("doc_id") / 1000).alias("part"))
+        .agg(F.collect_list(written).alias("lines"))
+        .select(F.concat_ws("\n", F.lit(",".join(documents.columns)), F.col("lines")))
+    )
+    path = scratch_path(spark, "csv")
+    files.write.option("maxRecordsPerFile", 1).text(path)
+    rows = read_csv_text(spark, path, rest="rest")
+    return rows.withColumn("rest", F.array_join("rest", "|"))
+
+
+def csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types are found in the texts; NA stands for small sizes."""
+    size = F.when(F.col("p_size") < 10, "NA").otherwise(F.col("p_size").cast("string"))
+    path = scratch_path(spark, "csv")
+    write_csv(table(spark, sf_dir, "part").withColumn("p_size", size), path)
+    return read_csv_typed(spark, path, multi_line=False)
+
+
 def csv_as_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts from CSV to JSON arrays, every value a string."""
     source, target = scratch_path(spark, "csv"), scratch_path(spark, "json")
@@ -289,9 +303,9 @@ def csv_as_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Types are inferred from the lines."""
+    """Types are inferred from the lines; a date stays text."""
     path = scratch_path(spark, "json")
-    write_json_lines(drop_columns(stand_ins.orders(spark, sf_dir), ["o_orderdate"]), path)
+    write_json_lines(stand_ins.orders(spark, sf_dir), path)
     return read_json_lines(spark, path)
 
 
@@ -308,6 +322,45 @@ def json_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_json_split(spark, path, PRODUCT_FIELDS)
 
 
+def json_split_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A struct and an array among the cells."""
+    path = scratch_path(spark, "json")
+    nested = table(spark, sf_dir, "part").select(
+        "*", F.struct("p_brand", "p_size").alias("detail"), F.array("p_type", "p_name").alias("words")
+    )
+    write_json_split(nested, path)
+    fields = f"{PRODUCT_FIELDS}, detail struct<p_brand: string, p_size: int>, words array<string>"
+    return read_json_split(spark, path, fields).select(
+        "*",
+        F.col("detail.p_brand").alias("detail_brand"),
+        F.col("detail.p_size").alias("detail_size"),
+        F.col("words")[0].alias("first_word"),
+        F.col("words")[1].alias("second_word"),
+    ).drop("detail", "words")
+
+
+def converted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested events as JSON lines, CSV, split JSON and parquet in turn."""
+    steps = ["json", "csv", "json_split", "parquet"]
+    places = {step: scratch_path(spark, step) for step in steps}
+    write_json_lines(stand_ins.events(spark, sf_dir), places["json"])
+    for source, target in zip(steps, steps[1:]):
+        convert(spark, places[source], source, places[target], target, EVENT_FIELDS)
+    return spark.read.parquet(places["parquet"]).select(
+        "device",
+        F.col("ecommerce.order").alias("order_id"),
+        "event_name",
+        "event_previous_timestamp",
+        "event_timestamp",
+        F.col("geo.city").alias("city"),
+        F.col("items")[0]["item"].alias("item"),
+        F.size("items").alias("item_count"),
+        "traffic_source",
+        "user_first_touch_timestamp",
+        "user_id",
+    )
+
+
 def converted_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as CSV, split JSON, JSON arrays, a table, JSON lines and parquet in turn."""
     steps = ["csv", "json_split", "json_array", "table", "json", "parquet"]
@@ -368,8 +421,7 @@ def foreign_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table declared over rows that stay in their files."""
     name = f"{_database(spark)}.lineitem"
     path = f"{sf_dir}/lineitem.parquet"
-    rows = create_foreign_table(spark, name, {"path": path}, provider="parquet")
-    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return create_foreign_table(spark, name, {"path": path}, provider="parquet")
 
 
 # Streams
@@ -395,25 +447,31 @@ def events_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(layout.bronze_path)
 
 
-def _silver(spark: SparkSession, sf_dir: str, layout: Layout) -> DataFrame:
-    bronze_view(spark, _event_files(spark, sf_dir), layout, FILES_PER_TRIGGER)
+def _silver(spark: SparkSession, source: str, layout: Layout) -> DataFrame:
+    bronze_view(spark, source, layout, FILES_PER_TRIGGER)
     finish(start_silver(silver_view(spark, layout), layout, available_now=True))
     return read_table(spark, layout.silver_table)
 
 
 def events_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Time and file of receipt differ from run to run, so only their presence is told."""
-    silver = _silver(spark, sf_dir, _layout(spark))
-    return silver.select(
+    """Time and file of receipt differ from run to run.
+
+    So it is told whether there is a time, and whether the file is one of the stream's.
+    """
+    source = _event_files(spark, sf_dir)
+    silver = _silver(spark, source, _layout(spark))
+    files = spark.read.text(source).select(F.input_file_name().alias("file")).distinct()
+    known = silver.join(files, silver.source_file == files.file, "left")
+    return known.select(
         *[name for name in silver.columns if name not in ("receipt_time", "source_file")],
         F.col("receipt_time").isNotNull().alias("has_receipt_time"),
-        F.col("source_file").endswith(".json").alias("has_source_file"),
+        F.col("file").isNotNull().alias("has_source_file"),
     )
 
 
 def events_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = _layout(spark)
-    _silver(spark, sf_dir, layout)
+    _silver(spark, _event_files(spark, sf_dir), layout)
     finish(start_gold(gold_view(spark, layout), layout, available_now=True))
     return read_table(spark, layout.gold_table)
 
@@ -427,10 +485,9 @@ def gold_null_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_static_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = stream_json_lines(
         spark, _event_files(spark, sf_dir), max_files_per_trigger=FILES_PER_TRIGGER
-    ).select("user_id", "event_name", "event_timestamp")
-    reference = stand_ins.users(spark, sf_dir).select(
-        F.col("custkey").cast("string").alias("user_id"), "c_name", "c_mktsegment"
     )
+    reference = stand_ins.users(spark, sf_dir).withColumnRenamed("custkey", "user_id")
+    reference = reference.withColumn("user_id", F.col("user_id").cast("string"))
     path = scratch_path(spark, "joined")
     checkpoint = scratch_path(spark, "checkpoint")
     joined = join_reference_data(events, reference, "user_id")
@@ -462,11 +519,15 @@ QUERIES: dict[str, Query] = {
         ingest_summary,
         csv_text,
         csv_typed,
+        csv_ragged,
+        csv_inferred,
         csv_as_json,
         json_lines,
         json_array,
         json_split,
+        json_split_nested,
         converted_orders,
+        converted_events,
         replaced_documents,
         appended_documents,
         matching_documents,

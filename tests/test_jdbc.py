@@ -92,6 +92,21 @@ def test_load_checks_before_writing(spark, calls):
         load_database_table(rows(4), URL, "t", "k", {}, "upsert")
 
 
+def test_keys_of_the_target_are_read_in_parts(spark, calls):
+    rows = spark.createDataFrame([(4,)], "k int")
+    load_database_table(rows, URL, "t", "k", {}, "update", ranges=Ranges("k", 0, 9, 3))
+    assert calls[0]["partitionColumn"] == "k" and calls[0]["numPartitions"] == "3"
+    load_database_table(rows, URL, "t", "k", {}, "update", predicates=["k < 5", "k >= 5"])
+    assert calls[2]["predicates"] == ["k < 5", "k >= 5"]
+
+
+def test_a_failing_row_reaches_no_database(spark, calls):
+    rows = spark.range(3).selectExpr("id AS k", "IF(id = 1, raise_error('broken'), 'v') AS v")
+    with pytest.raises(Exception, match="broken"):
+        load_database_table(rows, URL, "t", "k", {})
+    assert calls == []
+
+
 def test_foreign_table_statement(monkeypatch):
     said = []
 

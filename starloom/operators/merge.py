@@ -21,8 +21,9 @@ def merge(
     """Join on equally named keys, which appear once in the result.
 
     Null keys match nothing, or each other with ``null_safe``: then every null row of
-    one side meets every one of the other. Other columns that share a name get the suffixes. No side is hinted: Catalyst broadcasts one
-    only under its size threshold, and adaptive execution splits hot keys.
+    one side meets every one of the other. Other columns that share a name get the
+    suffixes. No side is hinted: Catalyst broadcasts one only under its size
+    threshold, and adaptive execution splits hot keys.
     """
     keys = [on] if isinstance(on, str) else list(on)
     clashing = (set(left.columns) & set(right.columns)) - set(keys)

@@ -15,6 +15,7 @@ from starloom.operators import (
     merge,
 )
 
+# Fixed value: the name of the fact's key.
 FACT_KEY = "fact_purchase_order_key"
 
 

@@ -261,7 +261,11 @@ def csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A third of the rows end after three fields, another third have two fields more."""
-    options = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    options = {
+        "escape": '"',
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
+    }
     documents = table(spark, sf_dir, "documents")
 
     def line(*fields) -> Column:
@@ -271,7 +275,8 @@ def csv_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
     short = line("doc_id", "text", "lang")
     full = line(*documents.columns)
     extra = line(F.lit('x,"y"').alias("x"), F.col("doc_id").alias("y"))
-    written = F.when(third == 1, short).when(third == 2, F.concat_ws(",", full, extra)).otherwise(full)
+    longer = F.concat_ws(",", full, extra)
+    written = F.when(third == 1, short).when(third == 2, longer).otherwise(full)
     # Files of a thousand ids, each with its header.
     files = (
         documents.groupBy(F.floor(F.col("doc_id") / 1000).alias("part"))
@@ -326,7 +331,9 @@ def json_split_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A struct and an array among the cells."""
     path = scratch_path(spark, "json")
     nested = table(spark, sf_dir, "part").select(
-        "*", F.struct("p_brand", "p_size").alias("detail"), F.array("p_type", "p_name").alias("words")
+        "*",
+        F.struct("p_brand", "p_size").alias("detail"),
+        F.array("p_type", "p_name").alias("words"),
     )
     write_json_split(nested, path)
     fields = f"{PRODUCT_FIELDS}, detail struct<p_brand: string, p_size: int>, words array<string>"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,16 +89,16 @@ def write_csv(
     A null is an empty field and an empty text a quoted one. Nested columns are written as JSON
     text. Files are bounded, as those with line breaks in fields are read whole.
     """
-    options = {"ignoreNullFields": "false"}
-    flat = df.select(
-        *[
-            (F.to_json(quoted(f.name), options) if isinstance(f.dataType, NESTED) else F.col(quoted(f.name)))
-            .alias(f.name)
-            for f in df.schema.fields
-        ]
-    )
+
+    def flat(field: T.StructField) -> Column:
+        value = F.col(quoted(field.name))
+        if isinstance(field.dataType, NESTED):
+            value = F.to_json(value, {"ignoreNullFields": "false"})
+        return value.alias(field.name)
+
     (
-        flat.write.mode(mode)
+        df.select(*[flat(field) for field in df.schema.fields])
+        .write.mode(mode)
         .option("header", True)
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
@@ -134,7 +134,8 @@ def write_any(
     elif format == "parquet":
         df.write.mode(mode).options(**_only(options, "compression")).parquet(target)
     elif format == "table":
-        df.write.mode(mode).format(_only(options, "format").get("format", "parquet")).saveAsTable(target)
+        provider = _only(options, "format").get("format", "parquet")
+        df.write.mode(mode).format(provider).saveAsTable(target)
     elif format == "jdbc":
         writer = df.write.format("jdbc").options(**(options or {})).option("dbtable", target)
         writer.mode(mode).save()

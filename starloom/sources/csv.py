@@ -154,7 +154,8 @@ def _inferred(rows: DataFrame, missing: Collection[str]) -> T.StructType:
         failed = [F.count_if(present & ~test) for test in tries.values()]
         return [F.count_if(~present), *failed]
 
-    counts = rows.agg(F.struct(*[F.array(*tests(name)).alias(name) for name in rows.columns])).first()
+    tested = [F.array(*tests(name)).alias(name) for name in rows.columns]
+    counts = rows.agg(F.struct(*tested)).first()
     schema = T.StructType()
     for name, (absent, no_long, no_double, no_boolean) in zip(rows.columns, counts[0]):
         if not no_long and not absent:
@@ -188,9 +189,7 @@ def read_csv_typed(
     like as texts; an empty field that is not quoted is null all the same.
     """
     names, rows = _scan(spark, path, multi_line)
-    texts = rows.select(
-        *[_whole(F.col(quoted(name)), names).alias(name) for name in names]
-    )
+    texts = rows.select(*[_whole(F.col(quoted(name)), names).alias(name) for name in names])
     if schema is None:
         target = _inferred(texts, missing)
     else:

@@ -26,7 +26,8 @@ def _large_star(links: DataFrame) -> DataFrame:
 def _small_star(links: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours to the smallest of them."""
     least = links.groupBy("high").agg(F.min("low").alias("least"))
-    moved = links.join(least, "high").select(F.col("low").alias("high"), F.col("least").alias("low"))
+    joined = links.join(least, "high")
+    moved = joined.select(F.col("low").alias("high"), F.col("least").alias("low"))
     own = least.select("high", F.col("least").alias("low"))
     return moved.union(own).where("high > low").distinct()
 

@@ -181,7 +181,8 @@ def _passing(sizes: list[int], bits):
         for size in sizes:
             made = window_hashes(hashes, kinds, size)
             place = made & (FILTER_BITS - 1)
-            hit = np.frombuffer(bits.value, np.uint8)[place >> 3] >> (place & 7).astype(np.uint8) & 1
+            byte = np.frombuffer(bits.value, np.uint8)[place >> 3]
+            hit = byte >> (place & 7).astype(np.uint8) & 1
             yield size, made, np.flatnonzero(hit.astype(bool) & (made != 0))
 
     return choose
@@ -217,7 +218,8 @@ def find_leaks(
         .dropDuplicates(["key", "hash", "place"]),
         "item_windows",
     )
-    sizes = sorted(row.size_ for row in wanted.select(F.col("size").alias("size_")).distinct().collect())
+    # At most WINDOW different sizes.
+    sizes = sorted(row[0] for row in wanted.select("size").distinct().collect())
     # At most FILTER_BITS places, however many items there are.
     places = wanted.select(F.col("hash").bitwiseAND(FILTER_BITS - 1).alias("bit")).distinct()
     set_bits = np.zeros(FILTER_BITS, dtype=bool)
@@ -263,7 +265,9 @@ def find_leaks(
     )
 
 
-def drop_leaks(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", **settings) -> DataFrame:
+def drop_leaks(
+    docs: DataFrame, items: DataFrame, id_column: str = "doc_id", **settings
+) -> DataFrame:
     """The rows of ``docs`` that hold no item; rows of a null id cannot be told apart and stay."""
     leaks = find_leaks(docs, items, id_column, **settings)
     held = leaks.select(F.col("doc_id").alias("_leak_id")).distinct()

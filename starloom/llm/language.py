@@ -86,10 +86,11 @@ def fit_language_model(
     """Count the n-grams of all rows whose language is not null."""
     ready_workers(df.sparkSession)
     rows = df.where(column(language_column).isNotNull()).select(
-        column(language_column).cast("string").alias("lang"), text_or_empty(text_column).alias("text")
+        column(language_column).cast("string").alias("lang"),
+        text_or_empty(text_column).alias("text"),
     )
-    documents = {row.lang: row.n for row in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(
-        MOST_LANGUAGES + 1).collect()}
+    counted = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1)
+    documents = {row.lang: row.n for row in counted.collect()}
     if len(documents) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     width = BUCKETS // SLICES
@@ -104,13 +105,14 @@ def fit_language_model(
                     totals[lang] += np.bincount(buckets, minlength=BUCKETS)
         for lang, total in totals.items():
             vectors = [total[i * width : (i + 1) * width].tobytes() for i in range(SLICES)]
+            places = pa.array(range(SLICES), pa.int32())
             yield pa.RecordBatch.from_pydict(
-                {"lang": [lang] * SLICES, "slice": pa.array(range(SLICES), pa.int32()), "vector": vectors}
+                {"lang": [lang] * SLICES, "slice": places, "vector": vectors}
             )
 
-    counted = rows.mapInArrow(count, "lang string, slice int, vector binary")
+    vectors = rows.mapInArrow(count, "lang string, slice int, vector binary")
     # At most MOST_LANGUAGES * BUCKETS counts, whatever the corpus.
-    slices = add_vectors(counted, ["lang", "slice"], "int64").collect()
+    slices = add_vectors(vectors, ["lang", "slice"], "int64").collect()
     languages = sorted(documents)
     counts = np.zeros((BUCKETS, len(languages)))
     for row in slices:

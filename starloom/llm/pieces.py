@@ -250,7 +250,8 @@ def encode_pieces(
         return pa.ListArray.from_arrays(offsets, pa.array(values), mask=missing)
 
     text = df.withColumn(text_column, column(text_column).cast("string"))
-    return _added(text, ids_column, T.ArrayType(T.IntegerType()), text_column, lambda: transducer(model), ids)
+    kind = T.ArrayType(T.IntegerType())
+    return _added(text, ids_column, kind, text_column, lambda: transducer(model), ids)
 
 
 def decode_pieces(

@@ -33,7 +33,9 @@ STATISTICS = (
 )
 
 
-def with_statistics(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def with_statistics(
+    df: DataFrame, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
     """``doc_id`` and ``STATISTICS`` (doubles) of every row, over its whole text.
 
     Shares are of the text's characters, words or lines. All are zero for a null or empty text.

@@ -119,7 +119,8 @@ def near_links(distinct: DataFrame, distance: int = 2, block_count: int = 4) ->
     ).distinct()
     hubs = near.groupBy("middle").agg(F.min("fingerprint").alias("hub"))
     stars = near.join(hubs, "middle").where("hub < fingerprint")
-    return links.union(stars.select(F.col("hub").alias("left"), F.col("fingerprint").alias("right")))
+    starred = stars.select(F.col("hub").alias("left"), F.col("fingerprint").alias("right"))
+    return links.union(starred)
 
 
 def as_hex(fingerprint: Column) -> Column:

@@ -94,4 +94,5 @@ def decode(words: np.ndarray, table: np.ndarray) -> np.ndarray:
     return values
 
 
-_SMALL = np.searchsorted(_LIMITS, np.arange(1 << 17, dtype=np.uint64), side="right").astype(np.uint8)
+_FEW = np.arange(1 << 17, dtype=np.uint64)
+_SMALL = np.searchsorted(_LIMITS, _FEW, side="right").astype(np.uint8)

@@ -148,7 +148,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, prior: float | None = None)
     """
     ready_workers(docs.sparkSession)
     order = F.xxhash64("doc_id")
-    marked = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = labels.where(F.col("toxic").isNotNull())
+    marked = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     if prior is None:
         prior = marked.agg(F.avg(F.col("toxic").cast("double"))).first()[0] or 0.0
     prior = min(max(prior, 0.001), 0.999)

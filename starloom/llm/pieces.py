@@ -214,44 +214,59 @@ def transducer(path: str) -> Transducer:
     return _transducers[path]
 
 
-def _added(df: DataFrame, name: str, kind: T.DataType, source: str, of, arrow) -> DataFrame:
-    """``df`` with a column made from another; a column of that name is replaced."""
+def _added(df: DataFrame, kinds: dict[str, T.DataType], source: str, of, arrow) -> DataFrame:
+    """``df`` with columns made from another; columns of these names are replaced."""
     ready_workers(df.sparkSession)
     source = next(c for c in df.columns if c.lower() == source.lower())
-    others = [c for c in df.columns if c.lower() != name.lower()]
+    others = [c for c in df.columns if c.lower() not in {name.lower() for name in kinds}]
     fields = [df.schema[c] for c in others]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = of()
         for part in arrow_slices(batches, [source], 4 << 20):
             made = arrow(make, part[source])
-            yield pa.RecordBatch.from_arrays([*(part[c] for c in others), made], [*others, name])
+            columns = [*(part[c] for c in others), *made]
+            yield pa.RecordBatch.from_arrays(columns, [*others, *kinds])
 
-    schema = T.StructType(fields).add(name, kind)
+    schema = T.StructType(fields)
+    for name, kind in kinds.items():
+        schema = schema.add(name, kind)
     return df.mapInArrow(run, schema)
 
 
 def encode_pieces(
-    df: DataFrame, model: str, text_column: str = "text", ids_column: str = "ids"
+    df: DataFrame,
+    model: str,
+    text_column: str = "text",
+    ids_column: str = "ids",
+    decoded_column: str | None = None,
 ) -> DataFrame:
     """``df`` with the ids of its texts, an ``array<int>``, as a model file encodes them.
 
     A null text has null ids, an empty one none. Long texts are encoded whole, rows are
     independent, and an empty table stays empty. A column that has the name of ``ids_column``
-    is replaced, all others are kept.
+    is replaced, all others are kept. ``decoded_column`` adds what :func:`decode_pieces` makes
+    of the ids, in the same pass.
     """
 
-    def ids(make: Transducer, texts: pa.Array) -> pa.Array:
+    def ids(make: Transducer, texts: pa.Array) -> list[pa.Array]:
         found = [None if text is None else make.encode(text) for text in texts.to_pylist()]
         sizes = np.array([0, *(len(x or b"") // 4 for x in found)], dtype=np.int64)
         values = np.frombuffer(b"".join(x or b"" for x in found), dtype="<i4")
         missing = pa.array([x is None for x in found], pa.bool_())
         offsets = pa.array(np.cumsum(sizes), pa.int32())
-        return pa.ListArray.from_arrays(offsets, pa.array(values), mask=missing)
+        made = [pa.ListArray.from_arrays(offsets, pa.array(values), mask=missing)]
+        if decoded_column:
+            lists = [None if x is None else np.frombuffer(x, dtype="<i4") for x in found]
+            decoded = [None if x is None else make.decode(x) for x in lists]
+            made.append(pa.array(decoded, pa.string()))
+        return made
 
     text = df.withColumn(text_column, column(text_column).cast("string"))
-    kind = T.ArrayType(T.IntegerType())
-    return _added(text, ids_column, kind, text_column, lambda: transducer(model), ids)
+    kinds: dict[str, T.DataType] = {ids_column: T.ArrayType(T.IntegerType())}
+    if decoded_column:
+        kinds[decoded_column] = T.StringType()
+    return _added(text, kinds, text_column, lambda: transducer(model), ids)
 
 
 def decode_pieces(
@@ -259,16 +274,14 @@ def decode_pieces(
 ) -> DataFrame:
     """``df`` with the texts that ids stand for; null ids have a null text."""
 
-    def texts(make: Transducer, lists: pa.Array) -> pa.Array:
+    def texts(make: Transducer, lists: pa.Array) -> list[pa.Array]:
         values = lists.values.to_numpy(zero_copy_only=False)
         offsets = lists.offsets.to_pylist()
         valid = lists.is_valid().to_pylist()
-        return pa.array(
-            [
-                make.decode(values[start:end]) if known else None
-                for start, end, known in zip(offsets, offsets[1:], valid)
-            ],
-            pa.string(),
-        )
-
-    return _added(df, text_column, T.StringType(), ids_column, lambda: transducer(model), texts)
+        decoded = [
+            make.decode(values[start:end]) if known else None
+            for start, end, known in zip(offsets, offsets[1:], valid)
+        ]
+        return [pa.array(decoded, pa.string())]
+
+    return _added(df, {text_column: T.StringType()}, ids_column, lambda: transducer(model), texts)

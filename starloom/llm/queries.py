@@ -11,7 +11,7 @@ from starloom.llm.common import read
 from starloom.llm.decontaminate import find_leaks
 from starloom.llm.exact_dedup import exact_dedup
 from starloom.llm.language import identify_language
-from starloom.llm.pieces import decode_pieces, encode_pieces
+from starloom.llm.pieces import encode_pieces
 from starloom.llm.pseudo_likelihood import score_documents
 from starloom.llm.quality import score_quality
 from starloom.llm.simhash import as_hex, simhash_components
@@ -35,9 +35,8 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = tokenizer_file("piece_bpe_32k.model")
     documents = read(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = encode_pieces(documents, model).drop("text")
-    counted = encoded.withColumn("n_ids", F.size("ids").cast("long"))
-    return decode_pieces(counted, model)
+    encoded = encode_pieces(documents, model, decoded_column="decoded").drop("text")
+    return encoded.withColumn("n_ids", F.size("ids").cast("long"))
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

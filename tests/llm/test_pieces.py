@@ -94,6 +94,9 @@ def test_nulls_empty_long_and_clashing_columns(spark):
     rest = {r.doc_id: (r.ids, r.decoded) for r in found.where("doc_id < 3").collect()}
     assert rest == {1: (None, None), 2: ([], "")}
     assert decode_pieces(encode_pieces(documents(spark, []), FILE), FILE).count() == 0
+    once = encode_pieces(df, FILE, decoded_column="decoded")
+    assert once.columns == found.columns
+    assert sorted(map(str, once.collect())) == sorted(map(str, found.collect()))
 
 
 def test_query(spark, sf_dir):

@@ -41,17 +41,17 @@ def exact_dedup(
         F.octet_length(text).alias("length"),
         F.xxhash64(lower_ascii(F.substring(text, 1, PREFIX_CHARS))).alias("prefix"),
     )
-    sketches = rows.select("length", "prefix")
-    lengths = sketches.groupBy("length").count().where("count > 1").select("length")
+    # Counted before they are shuffled, so that a hot group is a row per task.
+    counts = rows.groupBy("length", "prefix").agg(F.count("*").alias("size"))
+    lengths = counts.groupBy("length").agg(F.sum("size").alias("size")).where("size > 1")
     prefixes = (
-        sketches.join(lengths, "length", "left_semi")
-        .groupBy("length", "prefix")
-        .count()
-        .where("count > 1")
+        counts.join(lengths.select("length"), "length", "left_semi")
+        .where("size > 1")
         .select("length", "prefix", F.lit(True).alias("contested"))
     )
+    prefixes = stored(prefixes, "prefixes")
     contested = F.coalesce("contested", F.lit(False))
-    # The joins below may split a hot group: their other side has a row per key.
+    # Each join's other side has a row per key and is a table, so Spark may split a hot group.
     hashed = stored(
         rows.join(prefixes, ["length", "prefix"], "left").select(
             "doc_id",
@@ -66,6 +66,7 @@ def exact_dedup(
         .agg(F.max("doc_id").alias("largest"), F.count("*").alias("size"))
         .where("size > 1")
     )
+    groups = stored(groups, "groups")
     grouped = hashed.join(groups, hashed.digest == groups.same, "left")
     keep = F.when(F.col("size").isNull(), F.col("doc_id")).otherwise(F.col("largest"))
     return grouped.select(
@@ -82,7 +83,8 @@ def keep_one_copy(df: DataFrame, id_column: str = "doc_id", text_column: str = "
 
     Of rows repeated with their id and text, one stays.
     """
-    found = exact_dedup(df, id_column, text_column, digest_all=True)
+    # Written first: with an aggregation behind it, Spark would not split a hot group's join.
+    found = stored(exact_dedup(df, id_column, text_column, digest_all=True), "decisions")
     dropped = found.where("not kept").select(
         F.col("doc_id").alias("_dropped_id"), F.col("text_sha256").alias("_dropped_text")
     ).distinct()

@@ -14,7 +14,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.common import arrow_slices, column, ready_workers, text_or_empty
+from starloom.llm.common import arrow_slices, column, ready_workers, stored, text_or_empty
 from starloom.llm.files import read_files, write_files
 
 #: Records are gathered into a frame until it holds so many bytes, frames into a bundle.
@@ -212,8 +212,8 @@ def write_warc(
         .select("digest", "largest")
     )
     revisit = ~F.col("page_id").eqNullSafe(F.col("largest")) & F.col("largest").isNotNull()
-    # A hot payload may be split here: the other side has a row per payload.
-    marked = rows.join(groups, "digest", "left").select(
+    # The other side has a row per payload and is a table, so Spark may split a hot payload.
+    marked = rows.join(stored(groups, "payloads"), "digest", "left").select(
         "page_id",
         "url",
         "payload",

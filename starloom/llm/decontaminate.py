@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import re
 import struct
+from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -188,6 +190,74 @@ def _passing(sizes: list[int], bits):
     return choose
 
 
+def _tokens_of(places: list[int], size: int) -> int:
+    """Tokens under windows at sorted places."""
+    return sum(min(b - a, size) for a, b in zip(places, places[1:])) + size if places else 0
+
+
+def consistent_tokens(windows: list[tuple[int, list[tuple[int, int]]]], size: int) -> int:
+    """The most tokens under windows whose slots map one to one.
+
+    ``windows`` has places and ``(slot, doc_slot)`` pairs. Tried are the windows without a
+    changed value, those that agree with the most frequent pairs, and every run of windows.
+    """
+    windows = sorted((place, frozenset(pairs)) for place, pairs in windows)
+    counts = Counter(pair for _, pairs in windows for pair in pairs)
+    chosen, taken = {}, set()
+    for a, b in sorted(counts, key=lambda pair: (-counts[pair], pair[0] != pair[1], pair)):
+        if a not in chosen and b not in taken:
+            chosen[a] = b
+            taken.add(b)
+    same = [place for place, pairs in windows if all(a == b for a, b in pairs)]
+    agreeing = [place for place, pairs in windows if all(chosen.get(a) == b for a, b in pairs)]
+    best = max(_tokens_of(same, size), _tokens_of(agreeing, size))
+    steps = [0, *(min(b[0] - a[0], size) for a, b in zip(windows, windows[1:]))]
+    before = list(accumulate(steps))
+    held, sides, clashes, first = Counter(), Counter(), 0, 0
+    for last, (_, pairs) in enumerate(windows):
+        for a, b in pairs:
+            held[a, b] += 1
+            if held[a, b] == 1:
+                for side in ((0, a), (1, b)):
+                    clashes += sides[side] > 0
+                    sides[side] += 1
+        while clashes:
+            for a, b in windows[first][1]:
+                held[a, b] -= 1
+                if held[a, b] == 0:
+                    for side in ((0, a), (1, b)):
+                        sides[side] -= 1
+                        clashes -= sides[side] > 0
+            first += 1
+        if first <= last:
+            best = max(best, before[last] - before[first] + size)
+    return best
+
+
+def _cut_at_clashes(aligned: DataFrame) -> DataFrame:
+    """``covered`` found anew for alignments that have ``windows``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            covered = part["covered"].to_pylist()
+            for row, (windows, size) in enumerate(zip(part["windows"], part["size"])):
+                if windows.is_valid:
+                    made = [
+                        (w["place"], [(p["slots"], p["doc_slots"]) for p in w["pairs"]])
+                        for w in windows.as_py()
+                    ]
+                    covered[row] = consistent_tokens(made, size.as_py())
+            names = [*kept, "covered"]
+            columns = [*(part[name] for name in kept), pa.array(covered, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    kept = ["doc_id", "item_id", "tokens"]
+    fields = [f"{name} {aligned.schema[name].dataType.simpleString()}" for name in kept]
+    return aligned.select(*kept, "size", "covered", "windows").mapInArrow(
+        run, ", ".join([*fields, "covered int"])
+    )
+
+
 def _texts(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return df.select(column(id_column).alias("key"), text_or_empty(text_column).alias("text"))
 
@@ -199,6 +269,7 @@ def find_leaks(
     text_column: str = "text",
     item_column: str = "item_id",
     item_text_column: str = "text",
+    cut_clashes: bool = False,
 ) -> DataFrame:
     """``doc_id, item_id, matched_tokens, item_tokens`` of documents that hold an item.
 
@@ -242,6 +313,7 @@ def find_leaks(
     ).agg(
         F.sort_array(F.collect_set("place")).alias("places"),
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
+        *([F.collect_set(F.struct("place", "pairs")).alias("windows")] if cut_clashes else []),
     )
     one_to_one = (
         F.size("pairs") == F.size(F.array_distinct(F.col("pairs.slots")))
@@ -253,9 +325,14 @@ def find_leaks(
     )
     covered = F.aggregate(steps, F.col("size"), lambda total, step: total + step)
     enough = F.least(F.lit(COVERED_TOKENS), F.ceil(F.col("tokens") * COVERED_SHARE))
+    aligned = aligned.withColumn("covered", covered)
+    if cut_clashes:
+        clashing = F.when(~one_to_one, F.col("windows"))
+        aligned = _cut_at_clashes(aligned.withColumn("windows", clashing))
+    else:
+        aligned = aligned.where(one_to_one)
     return (
-        aligned.where(one_to_one)
-        .withColumn("covered", covered)
+        aligned
         .where(F.col("covered") >= enough)
         .groupBy("doc_id", "item_id")
         .agg(

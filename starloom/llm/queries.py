@@ -40,7 +40,8 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    documents, items = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    return find_leaks(documents, items, cut_clashes=True)
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

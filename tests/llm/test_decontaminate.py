@@ -3,7 +3,17 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.llm.decontaminate import NAME, NUMBER, UNIT, WORD, drop_leaks, find_leaks, template
+import corpus_pipeline
+from starloom.llm.decontaminate import (
+    NAME,
+    NUMBER,
+    UNIT,
+    WORD,
+    consistent_tokens,
+    drop_leaks,
+    find_leaks,
+    template,
+)
 from starloom.llm.queries import QUERIES
 from tests.llm.brute import documents, words
 
@@ -98,3 +108,33 @@ def test_query_finds_verbatim_items_only(spark, sf_dir, folder):
         item, text = words(items[item_id]), " ".join(words(docs[doc_id]))
         runs = (" ".join(item[i : i + 7]) for i in range(len(item) - 6))
         assert any(run in text for run in runs)
+
+
+def query_leaks(spark, tmp_path, docs, items=((1, QUESTION),)):
+    """What op3 reports, and what the pipeline's stage leaves."""
+    table = documents(spark, docs)
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(list(items), ITEMS).write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = {(r.doc_id, r.item_id) for r in QUERIES["op3_decontamination"](spark, str(tmp_path)).collect()}
+    stage = dict(corpus_pipeline.STAGES)["decontamination"]
+    left = {r.doc_id for r in stage(spark, table, str(tmp_path)).collect()}
+    assert left == {i for i, _ in docs} - {i for i, _ in found}
+    return found
+
+
+def test_one_edited_value_does_not_hide_a_passage(spark, tmp_path):
+    docs = [
+        (1, CLEAN + QUESTION.replace("gives 3 apples to Tom", "gives 3 apples to Eva")),
+        (2, QUESTION.replace("7 red", "12 red")),
+        (3, changed(Tom="Peter", Anna="Maria").replace("to Peter. How", "to Eva. How")),
+        (4, CLEAN),
+    ]
+    assert query_leaks(spark, tmp_path, docs) == {(1, 1), (2, 1), (3, 1)}
+
+
+def test_consistent_tokens():
+    a, b, c = (1, 1), (1, 2), (2, 2)
+    assert consistent_tokens([(0, [a]), (1, [a]), (9, [b])], 8) == 9
+    assert consistent_tokens([(0, [b]), (8, [b, (3, 4)]), (30, [c])], 8) == 16
+    assert consistent_tokens([(0, [(1, 5)]), (4, [(1, 6)]), (5, [(1, 6)])], 8) == 9
+    assert consistent_tokens([(0, [a, b])], 8) == 0 and consistent_tokens([], 8) == 0

@@ -99,12 +99,18 @@ def _token_records(word: str) -> bytes:
 _records = Memory(_token_records, MEMO_ENTRIES)
 
 
-def template(text: str) -> tuple[np.ndarray, np.ndarray]:
+def template(text: str, opening_names: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """A hash of each token in lower case, and its type.
 
-    A name is a capitalised word inside a sentence; a unit is a unit word behind a number, or a
-    percent or money sign.
+    A name is a capitalised word inside a sentence, or anywhere with ``opening_names``; a unit is
+    a unit word behind a number, or a percent or money sign.
     """
+    hashes, kinds, opening = _typed(text)
+    return hashes, np.where(opening, NAME, kinds) if opening_names else kinds
+
+
+def _typed(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The template, and where words are capitalised that open a sentence."""
     parts = [b"".join([_records[word] for word in block]) for block in text_blocks(text)]
     tokens = np.frombuffer(b"".join(parts), dtype=_RECORD)
     flags = tokens["flags"]
@@ -117,10 +123,12 @@ def template(text: str) -> tuple[np.ndarray, np.ndarray]:
     kinds = np.where((flags & _CAPITAL != 0) & ~opening, NAME, WORD)
     kinds[(flags & _SIGN != 0) | (flags & _UNIT_WORD != 0) & behind] = UNIT
     kinds[number] = NUMBER
-    return hashes, kinds
+    return hashes, kinds, (flags & _CAPITAL != 0) & opening & (kinds == WORD)
 
 
-def window_hashes(hashes: np.ndarray, kinds: np.ndarray, size: int) -> np.ndarray:
+def window_hashes(
+    hashes: np.ndarray, kinds: np.ndarray, size: int, least_words: int = WINDOW_WORDS
+) -> np.ndarray:
     """A hash per window, placeholders counting by type; zero for windows of few words."""
     count = len(hashes) - size + 1
     if count < 1:
@@ -131,18 +139,33 @@ def window_hashes(hashes: np.ndarray, kinds: np.ndarray, size: int) -> np.ndarra
         total = total * _FACTOR + coded[place : place + count]
     total ^= total >> np.uint64(29)
     words = np.concatenate([[0], np.cumsum(kinds == WORD)])
-    total[words[size:] - words[:count] < WINDOW_WORDS] = 0
+    total[words[size:] - words[:count] < least_words] = 0
     return total.view(np.int64)
 
 
 _FIELDS = "key {kind}, hash long, place int, tokens int, size int, slots array<long>"
 
 
-def _windows(df: DataFrame, choose) -> DataFrame:
+def _readings(text: str, all_readings: bool):
+    """``hashes, kinds, least_words`` of a text's readings.
+
+    The template is the first. The others have capitals that open a sentence as names, and all
+    tokens as they are in lower case, where windows need no words.
+    """
+    hashes, kinds, opening = _typed(text)
+    yield hashes, kinds, WINDOW_WORDS
+    if all_readings:
+        if opening.any():
+            yield hashes, np.where(opening, NAME, kinds), WINDOW_WORDS
+        yield hashes, np.full(len(hashes), WORD), 0
+
+
+def _windows(df: DataFrame, choose, all_readings: bool) -> DataFrame:
     """``key, hash, place, tokens, size, slots`` of the windows that are chosen.
 
-    ``choose`` gives ``(size, hashes, places)`` for a template. ``slots`` has the value of each
-    placeholder, typed, and zero for words.
+    ``choose`` gives ``(hashes, places)`` for tokens, their types, a size and the fewest words.
+    ``slots`` has the value of each placeholder, typed, and zero for words. A window that is the
+    same in several readings is given once.
     """
     ready_workers(df.sparkSession)
 
@@ -150,12 +173,16 @@ def _windows(df: DataFrame, choose) -> DataFrame:
         for part in arrow_slices(batches, ["text"], 4 << 20):
             found: list[tuple] = []
             for row, text in enumerate(part["text"]):
-                hashes, kinds = template(text.as_py())
-                for size, made, places in choose(hashes, kinds):
+                seen: dict[int, list[np.ndarray]] = {}
+                for hashes, kinds, least_words in _readings(text.as_py(), all_readings):
                     slots = np.where(kinds == WORD, 0, hashes * 4 + kinds.astype(np.uint64))
-                    for place in places.tolist():
-                        values = slots[place : place + size].astype(np.uint64).view(np.int64)
-                        found.append((row, int(made[place]), place, len(hashes), size, values))
+                    for size, made, places in choose(hashes, kinds, least_words):
+                        for other in seen.get(size, []):
+                            places = places[made[places] != other[places]]
+                        seen.setdefault(size, []).append(made)
+                        for place in places.tolist():
+                            values = slots[place : place + size].astype(np.uint64).view(np.int64)
+                            found.append((row, int(made[place]), place, len(hashes), size, values))
             rows, *columns = zip(*found) if found else [()] * 6
             kinds_of = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
@@ -170,18 +197,18 @@ def _windows(df: DataFrame, choose) -> DataFrame:
     return df.mapInArrow(run, _FIELDS.format(kind=kind))
 
 
-def _whole_or_windows(hashes: np.ndarray, kinds: np.ndarray):
+def _whole_or_windows(hashes: np.ndarray, kinds: np.ndarray, least_words: int):
     size = min(WINDOW, len(hashes))
-    made = window_hashes(hashes, kinds, size)
+    made = window_hashes(hashes, kinds, size, least_words) if size else hashes.view(np.int64)
     yield size, made, np.flatnonzero(made)
 
 
 def _passing(sizes: list[int], bits):
     """Windows of the given sizes whose bit is set in the filter."""
 
-    def choose(hashes: np.ndarray, kinds: np.ndarray):
+    def choose(hashes: np.ndarray, kinds: np.ndarray, least_words: int):
         for size in sizes:
-            made = window_hashes(hashes, kinds, size)
+            made = window_hashes(hashes, kinds, size, least_words)
             place = made & (FILTER_BITS - 1)
             byte = np.frombuffer(bits.value, np.uint8)[place >> 3]
             hit = byte >> (place & 7).astype(np.uint8) & 1
@@ -270,6 +297,7 @@ def find_leaks(
     item_column: str = "item_id",
     item_text_column: str = "text",
     cut_clashes: bool = False,
+    all_readings: bool = False,
 ) -> DataFrame:
     """``doc_id, item_id, matched_tokens, item_tokens`` of documents that hold an item.
 
@@ -279,13 +307,15 @@ def find_leaks(
     alignment counts.
 
     Windows of fewer than ``WINDOW_WORDS`` words say too little and are left out, so items of
-    fewer words are never found. Null and empty texts hold nothing. Rows with a null id are
+    fewer words are never found, unless ``all_readings`` asks for more: then texts also meet in
+    windows of equal tokens in lower case, however few words these have, and in templates that
+    take a capital which opens a sentence for a name's. Null and empty texts hold nothing. Rows with a null id are
     reported with it; rows repeated with their id are one document. Empty tables give an empty
     result; other columns are not looked at.
     """
     spark = docs.sparkSession
     wanted = stored(
-        _windows(_texts(items, item_column, item_text_column), _whole_or_windows)
+        _windows(_texts(items, item_column, item_text_column), _whole_or_windows, all_readings)
         .dropDuplicates(["key", "hash", "place"]),
         "item_windows",
     )
@@ -296,7 +326,7 @@ def find_leaks(
     set_bits = np.zeros(FILTER_BITS, dtype=bool)
     set_bits[places.toArrow()["bit"].to_numpy()] = True
     bits = spark.sparkContext.broadcast(np.packbits(set_bits, bitorder="little").tobytes())
-    met = _windows(_texts(docs, id_column, text_column), _passing(sizes, bits))
+    met = _windows(_texts(docs, id_column, text_column), _passing(sizes, bits), all_readings)
     met = met.select(
         F.col("key").alias("doc_id"), "hash", "size",
         F.col("place").alias("doc_place"), F.col("slots").alias("doc_slots"),

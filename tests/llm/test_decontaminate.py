@@ -138,3 +138,22 @@ def test_consistent_tokens():
     assert consistent_tokens([(0, [b]), (8, [b, (3, 4)]), (30, [c])], 8) == 16
     assert consistent_tokens([(0, [(1, 5)]), (4, [(1, 6)]), (5, [(1, 6)])], 8) == 9
     assert consistent_tokens([(0, [a, b])], 8) == 0 and consistent_tokens([], 8) == 0
+
+
+def test_items_of_few_words_and_capitals_are_found(spark, tmp_path):
+    items = [
+        (1, "What is 12 + 30?"),
+        (2, "3 1 4 1 5 9 2 6 5 3 5 8 9 7 9 3"),
+        (3, "What is the capital city of France"),
+        (4, "Tom Anna Peter Maria Paul Eva Otto Ida Max Lena Karl Rosa Emil Jana"),
+        (5, "Which river flows through the old town of Prague"),
+    ]
+    docs = [
+        (1, CLEAN + "what is 12 + 30? Nobody knew."),
+        (2, CLEAN + "so 3 1 4 1 5 9 2 6 5 3 5 8 9 7 9 3 it went"),
+        (3, "Question: What is the capital city of France"),
+        (4, CLEAN + items[3][1].lower()),
+        (5, "Question: Which river flows through the old town of Dresden"),
+        (6, CLEAN + "3 1 4 1 5 9 2 7 and 12 and 30"),
+    ]
+    assert query_leaks(spark, tmp_path, docs, items) == {(i, i) for i in range(1, 6)}

@@ -1,0 +1,174 @@
+"""Source divergence against a plain version and against SQL."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from starloom.llm import divergence
+from starloom.llm.divergence import Block, _PairSums, _totals, merge_runs, source_divergence
+from tests.llm.brute import documents, lower_ascii
+
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def terms(text):
+    return TERM.findall(lower_ascii(text or ""))
+
+
+def share(count, total, kept):
+    return 1 + 1_000_000_000 * (count + 2) // (total + 2 * kept)
+
+
+def apart(p, q):
+    return (p - q) ** 2 // (p + q)
+
+
+def expected(rows, least=10, ranks=10):
+    """Of (text, lang, source) rows."""
+    counts, seen = defaultdict(Counter), defaultdict(Counter)
+    sources = defaultdict(set)
+    for text, lang, source in rows:
+        lang, source = lang or "", source or ""
+        sources[lang].add(source)
+        counts[lang, source].update(terms(text))
+        seen[lang].update(set(terms(text)))
+    found = []
+    for lang, names in sources.items():
+        kept = [term for term, n in seen[lang].items() if n >= least]
+        whole = Counter()
+        for name in names:
+            whole.update({t: counts[lang, name][t] for t in kept})
+        p = {}
+        for name in names:
+            total = sum(counts[lang, name][t] for t in kept)
+            p[name] = {t: share(counts[lang, name][t], total, len(kept)) for t in kept}
+        q = {t: share(whole[t], whole.total(), len(kept)) for t in kept}
+        for name in names:
+            pairs = [
+                (-sum(apart(p[name][t], p[other][t]) for t in kept), other.encode(), other)
+                for other in names
+                if other != name
+            ]
+            own = [
+                (-apart(p[name][t], q[t]), t.encode(), t)
+                for t in kept
+                if counts[lang, name][t] and p[name][t] > q[t]
+            ]
+            for part, items in (("pair", sorted(pairs)), ("term", sorted(own)[:ranks])):
+                found += [
+                    (lang, name, part, item, -value, rank)
+                    for rank, (value, _, item) in enumerate(items, 1)
+                ]
+    return sorted(found)
+
+
+def table(spark, rows):
+    return spark.createDataFrame(
+        [(i, *row) for i, row in enumerate(rows)], "doc_id bigint, text string, lang string, source string"
+    )
+
+
+def check(spark, rows, **settings):
+    found = source_divergence(table(spark, rows), **settings)
+    assert found.columns == ["lang", "source", "part", "item", "value", "rank"]
+    made = sorted(tuple(row) for row in found.collect())
+    least, ranks = settings.get("least_documents", 10), settings.get("term_ranks", 10)
+    assert made == expected(rows, least, ranks)
+
+
+def corpus(size, seed=2):
+    draw = random.Random(seed)
+    pool = [f"{a}{b}" for a in ("ka", "Lo", "été", "mü", "日", "x") for b in ("n", "r", "st", "Ä", "")]
+    rows = []
+    for _ in range(size):
+        source = draw.choice(["s1", "s1", "s1", "s2", "s3", "é", "Z", None])
+        chosen = pool[: 6 + 4 * len(source or "")] if draw.random() < 0.7 else pool
+        text = draw.choice(" .1\n").join(draw.choice(chosen) for _ in range(draw.randrange(40)))
+        rows.append((text, draw.choice(["en", "en", "fr", None]), source))
+    return rows
+
+
+def test_equals_plain_version(spark):
+    rows = corpus(300)
+    rows += [(None, "en", "s1"), ("", "de", "alone"), ("123 ...", "de", "other"), ("ein wort", "de", "x"),
+             ("solo", "it", "only"), ("en", "", ""), ("a\x00b", "l\x00l", "s\x00")] * 2
+    check(spark, rows)
+    check(spark, rows, least_documents=1, term_ranks=3)
+    check(spark, rows, least_documents=10_000)
+
+
+def test_spilled_and_merged_runs(spark, monkeypatch):
+    """A block per document, many shards, sums handed on all the time."""
+    monkeypatch.setattr(divergence, "SPILL_BYTES", 1)
+    monkeypatch.setattr(divergence, "HELD_PAIRS", 0)
+    check(spark, corpus(120, 4), least_documents=2)
+
+
+def test_long_texts_count_once(spark, monkeypatch):
+    monkeypatch.setattr("starloom.llm.common.BLOCK_BYTES", 50)
+    check(spark, [("wort " * 100 + "ende", "de", "a"), ("wort", "de", "b")], least_documents=2)
+    monkeypatch.undo()
+    check(spark, [("lang und breit " * 200_000, "de", "a"), ("y" * 2_000_000, "de", "b")], least_documents=1)
+
+
+def test_empty_table_and_other_columns(spark):
+    assert source_divergence(table(spark, [])).collect() == []
+    df = documents(spark, [(i, f"wort und {i}", "de") for i in range(12)] * 2)
+    for name in ("term", "value", "rank", "p", "q", "n", "total", "terms", "item", "part"):
+        df = df.withColumn(name, F.lit("x"))
+    renamed = df.withColumnsRenamed({"text": "body", "lang": "l", "source": "s"})
+    found = source_divergence(renamed, "body", "l", "s").collect()
+    assert sorted(map(tuple, found)) == expected([(r.text, r.lang, r.source) for r in df.collect()])
+
+
+def test_large_counts_are_exact(spark):
+    """Products beyond 64 bits."""
+    df = spark.createDataFrame([(10**13, 3 * 10**13, 10**6)], "n long, total long, terms long")
+    found = df.select(divergence._probability("n", "total", "terms")).first()[0]
+    assert found == share(10**13, 3 * 10**13, 10**6)
+
+
+def test_runs_are_sorted_and_sharded():
+    draw = random.Random(7)
+    whole = defaultdict(Counter)
+    runs = []
+    for _ in range(5):
+        block = Block()
+        for _ in range(20):
+            lang, source = draw.choice([b"en", b"de"]), draw.choice([b"a", b"b", b"c"])
+            words = [draw.choice("abcdefghijkl") * draw.randrange(1, 4) for _ in range(30)]
+            block.add(lang, source, " ".join(words).encode())
+            for word, n in Counter(words).items():
+                whole[lang + b"\0" + word.encode()].update({(source, "n"): n, "documents": 1})
+        runs += block.runs(3)
+    assert {shard for shard, _, _ in runs} == {0, 1, 2}
+    assert all(run[1] <= key for run in runs for key, _ in divergence._entries(run[2]))
+    runs.sort(key=lambda run: run[:2])
+    opened = list(merge_runs(iter(runs)))
+    made = list(_totals(iter(opened)))
+    assert len(made) == len(whole) == len({key for key, _, _ in made})
+    for key, counts, seen in made:
+        assert seen == whole[key]["documents"]
+        assert counts == {s: whole[key][s, "n"] for s in (b"a", b"b", b"c") if whole[key][s, "n"]}
+    assert list(merge_runs(iter([]))) == [] and list(Block().runs(3)) == []
+
+
+def test_pair_sums_grow():
+    sums, plain = _PairSums(), Counter()
+    draw = random.Random(3)
+    for _ in range(60):
+        names = draw.sample([f"s{i}" for i in range(50)], 5)
+        values = np.array([[draw.randrange(-9, 9) for _ in names] for _ in names])
+        sums.add("en", names, names, values)
+        for i, one in enumerate(names):
+            for j, other in enumerate(names):
+                if i != j:
+                    plain[one, other] += int(values[i, j])
+    assert sums.held == sum(len(x) for x in sums._rows.values())
+    made = {(one, other): n for rows in sums.drain() for _, one, other, n in rows}
+    assert made == {pair: n for pair, n in plain.items() if n} and sums.held == 0

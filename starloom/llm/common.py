@@ -39,6 +39,33 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, LETTERS.upper(), LETTERS)
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def row_key(id_column: str, text_column: str) -> Column:
+    """What a row is known by where decisions are taken: its id, which may be null, and its text."""
+    text = F.md5(text_or_empty(text_column).cast("binary"))
+    return F.struct(column(id_column).alias("doc_id"), text.alias("text_md5"))
+
+
+def without_rows(
+    df: DataFrame, dropped: DataFrame, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """The rows of ``df`` whose :func:`row_key` is not in ``dropped``, a frame of one column.
+
+    Null ids are equal here, so rows that have none follow decisions too.
+    """
+    name = unused("dropped", df)
+    key, gone = row_key(id_column, text_column), F.col(name)
+    same = key["doc_id"].eqNullSafe(gone["doc_id"]) & (key["text_md5"] == gone["text_md5"])
+    return df.join(dropped.distinct().toDF(name), same, "left_anti")
+
+
 def held_out(name: str) -> Column:
     """Whether a row lies in the fold that no model learns from (a null id does)."""
     remainder = F.crc32(column(name).cast("string").cast("binary")) % 5

@@ -19,13 +19,15 @@ def _large_star(links: DataFrame) -> DataFrame:
         links.select(F.col("low").alias("node"), F.col("high").alias("other"))
     )
     least = both.groupBy("node").agg(F.least("node", F.min("other")).alias("least"))
+    # Written, so that the join has an exchange of its own and Spark may split a hub.
+    least = stored(least, "least")
     larger = both.where("other > node").join(least, "node")
     return larger.select(F.col("other").alias("high"), F.col("least").alias("low")).distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours to the smallest of them."""
-    least = links.groupBy("high").agg(F.min("low").alias("least"))
+    least = stored(links.groupBy("high").agg(F.min("low").alias("least")), "least")
     joined = links.join(least, "high")
     moved = joined.select(F.col("low").alias("high"), F.col("least").alias("low"))
     own = least.select("high", F.col("least").alias("low"))

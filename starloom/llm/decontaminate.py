@@ -25,9 +25,11 @@ from starloom.llm.common import (
     arrow_slices,
     column,
     ready_workers,
+    row_key,
     stored,
     text_blocks,
     text_or_empty,
+    without_rows,
 )
 
 #: Tokens a window. Items that are shorter are one window.
@@ -373,9 +375,20 @@ def find_leaks(
 
 
 def drop_leaks(
-    docs: DataFrame, items: DataFrame, id_column: str = "doc_id", **settings
+    docs: DataFrame,
+    items: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    **settings,
 ) -> DataFrame:
-    """The rows of ``docs`` that hold no item; rows of a null id cannot be told apart and stay."""
-    leaks = find_leaks(docs, items, id_column, **settings)
-    held = leaks.select(F.col("doc_id").alias("_leak_id")).distinct()
-    return docs.join(held, column(id_column) == F.col("_leak_id"), "left_anti")
+    """The rows of ``docs`` that hold no item, as :func:`find_leaks` finds them.
+
+    A row is known by its id, which may be null, and its text; rows repeated with both share a
+    decision. Null and empty texts stay. Long texts are searched whole. An empty table stays
+    empty, and without items every row stays. Columns may have any names.
+    """
+    keyed = docs.select(
+        row_key(id_column, text_column).alias("key"), text_or_empty(text_column).alias("text")
+    )
+    leaks = find_leaks(keyed, items, "key", "text", **settings)
+    return without_rows(docs, leaks.select("doc_id"), id_column, text_column)

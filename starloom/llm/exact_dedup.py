@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import column, lower_ascii, stored, text_or_empty
+from starloom.names import quoted
 
 #: Characters of the second step's hash.
 PREFIX_CHARS = 256
@@ -16,6 +17,28 @@ def text_digest(text: Column) -> Column:
     return F.sha2(lower_ascii(text).cast("binary"), 256)
 
 
+def _refined(text: Column) -> list[Column]:
+    """The first two steps: the length, and a hash of the first characters."""
+    start = lower_ascii(F.substring(text, 1, PREFIX_CHARS))
+    return [F.octet_length(text).alias("length"), F.xxhash64(start).alias("prefix")]
+
+
+def _contested(rows: DataFrame) -> DataFrame:
+    """``length, prefix, contested`` of the groups that more than one row has.
+
+    Only what shares its length is grouped by prefix. Rows are counted before they are shuffled,
+    so that a hot group is a row per task.
+    """
+    counts = rows.groupBy("length", "prefix").agg(F.count("*").alias("size"))
+    lengths = counts.groupBy("length").agg(F.sum("size").alias("size")).where("size > 1")
+    prefixes = (
+        counts.join(lengths.select("length"), "length", "left_semi")
+        .where("size > 1")
+        .select("length", "prefix", F.lit(True).alias("contested"))
+    )
+    return stored(prefixes, "prefixes")
+
+
 def exact_dedup(
     df: DataFrame,
     id_column: str = "doc_id",
@@ -35,21 +58,8 @@ def exact_dedup(
     the input are not looked at.
     """
     text = text_or_empty(text_column)
-    rows = df.select(
-        column(id_column).alias("doc_id"),
-        text.alias("text"),
-        F.octet_length(text).alias("length"),
-        F.xxhash64(lower_ascii(F.substring(text, 1, PREFIX_CHARS))).alias("prefix"),
-    )
-    # Counted before they are shuffled, so that a hot group is a row per task.
-    counts = rows.groupBy("length", "prefix").agg(F.count("*").alias("size"))
-    lengths = counts.groupBy("length").agg(F.sum("size").alias("size")).where("size > 1")
-    prefixes = (
-        counts.join(lengths.select("length"), "length", "left_semi")
-        .where("size > 1")
-        .select("length", "prefix", F.lit(True).alias("contested"))
-    )
-    prefixes = stored(prefixes, "prefixes")
+    rows = df.select(column(id_column).alias("doc_id"), text.alias("text"), *_refined(text))
+    prefixes = _contested(rows)
     contested = F.coalesce("contested", F.lit(False))
     # Each join's other side has a row per key and is a table, so Spark may split a hot group.
     hashed = stored(
@@ -81,19 +91,31 @@ def exact_dedup(
 def keep_one_copy(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``df`` without exact copies, as :func:`exact_dedup` decides.
 
-    Of rows repeated with their id and text, one stays.
+    Rows of a length and start of their own are passed on as they are; only the others are
+    hashed, once. Of rows repeated with their id and text one stays, and one of a group without
+    ids. Null texts count as empty. Texts may be of any length and columns have any names; an
+    empty table stays empty.
     """
-    # Written first: with an aggregation behind it, Spark would not split a hot group's join.
-    found = stored(exact_dedup(df, id_column, text_column, digest_all=True), "decisions")
-    dropped = found.where("not kept").select(
-        F.col("doc_id").alias("_dropped_id"), F.col("text_sha256").alias("_dropped_text")
-    ).distinct()
-    marked = df.withColumn("_text_digest", text_digest(text_or_empty(text_column)))
-    same = (column(id_column).eqNullSafe(F.col("_dropped_id"))) & (
-        F.col("_text_digest") == F.col("_dropped_text")
+    text = text_or_empty(text_column)
+    whole = F.struct(*[F.col(quoted(name)) for name in df.columns]).alias("row")
+    rows = df.select(whole, column(id_column).alias("doc_id"), text.alias("text"), *_refined(text))
+    prefixes = _contested(rows.select("length", "prefix"))
+    groups = ["length", "prefix"]
+    alone = rows.join(prefixes, groups, "left_anti").select("row")
+    contested = rows.join(prefixes, groups, "left_semi").select(
+        "row", "doc_id", text_digest(F.col("text")).alias("digest")
     )
-    return (
-        marked.join(dropped, same, "left_anti")
-        .dropDuplicates([id_column, "_text_digest"])
-        .drop("_text_digest")
+    contested = stored(contested, "contested")
+    # A row per id and digest, so that no text is grouped.
+    copies = contested.groupBy("digest", "doc_id").agg(F.count("*").alias("size"))
+    last = F.max(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "size"))
+    decided = copies.groupBy("digest").agg(last.alias("last"), F.sum("size").alias("all"))
+    decided = stored(decided.where(F.col("all") > 1), "decided")
+    settled = contested.join(decided, "digest", "left").where(
+        F.col("last").isNull() | F.col("doc_id").eqNullSafe(F.col("last.doc_id"))
     )
+    repeated = F.coalesce(F.col("last.size") > 1, F.lit(False))
+    # Whole rows are compared only where one id has one text several times.
+    once = settled.where(repeated).groupBy("digest").agg(F.first("row").alias("row"))
+    kept = alone.unionByName(settled.where(~repeated).select("row")).unionByName(once.select("row"))
+    return kept.select("row.*")

@@ -13,7 +13,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import column, held_out, stored, text_or_empty
+from starloom.llm.common import (
+    column,
+    held_out,
+    row_key,
+    stored,
+    text_or_empty,
+    without_rows,
+)
 
 #: The bound of the labelled sample that the rules are fitted on: the smallest hashes of ids.
 MOST_LABELLED = 20_000
@@ -221,6 +228,17 @@ def fit_quality(statistics: DataFrame, labels: DataFrame) -> QualityModel:
     return fit_rules(rows[:, :-1], rows[:, -1])
 
 
+def _fitted(docs: DataFrame, labels: DataFrame, key: Column) -> tuple[QualityModel, DataFrame]:
+    """The model, and ``key, doc_id`` and the statistics of every row."""
+    keyed = docs.select(key.alias("key"), text_or_empty("text").alias("text"))
+    found = with_statistics(keyed, "key").withColumnRenamed("doc_id", "key")
+    statistics = stored(found.withColumn("doc_id", F.col("key.doc_id")), "statistics")
+    learned = ~held_out("doc_id")
+    return fit_quality(
+        statistics.where(learned), labels.where(learned).select("doc_id", "quality")
+    ), statistics
+
+
 def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every row of ``docs``.
 
@@ -229,13 +247,11 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows are rows like any other. Without labels all scores are 0.5. Other columns of ``docs``
     are not looked at.
     """
-    statistics = stored(with_statistics(docs), "statistics")
-    fold = held_out("doc_id")
-    model = fit_quality(statistics.where(~fold), labels.where(~fold).select("doc_id", "quality"))
+    model, statistics = _fitted(docs, labels, F.struct("doc_id"))
     score = model.column()
     return statistics.select(
         "doc_id",
-        fold.alias("held_out"),
+        held_out("doc_id").alias("held_out"),
         score.alias("score"),
         (score >= ACCEPTED_AT).cast("int").alias("predicted"),
     )
@@ -244,13 +260,11 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def drop_low_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not rejected.
 
-    Rows that share their id are rejected only together; rows of a null id stay.
+    A row is known by its id, which may be null, and its text, and decided by its own score, as
+    :func:`score_quality` gives it; rows repeated with both share the decision. A null or empty
+    text has zero statistics. Long texts are scored whole. An empty table stays empty, and
+    without labels no row is rejected. Columns may have any names.
     """
-    scored = score_quality(docs, labels)
-    rejected = (
-        scored.groupBy("doc_id")
-        .agg(F.max("predicted").alias("best"))
-        .where("best = 0")
-        .select(F.col("doc_id").alias("_rejected_id"))
-    )
-    return docs.join(rejected, F.col("doc_id") == F.col("_rejected_id"), "left_anti")
+    model, statistics = _fitted(docs, labels, row_key("doc_id", "text"))
+    rejected = statistics.where(model.column() < ACCEPTED_AT).select("key")
+    return without_rows(docs, rejected)

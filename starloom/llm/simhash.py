@@ -16,9 +16,11 @@ from starloom.llm.common import (
     arrow_slices,
     column,
     ready_workers,
+    row_key,
     shingles,
     stored,
     text_or_empty,
+    without_rows,
 )
 from starloom.llm.components import components
 
@@ -167,17 +169,39 @@ def simhash_components(
 
 
 def keep_one_of_component(
-    df: DataFrame, id_column: str = "doc_id", text_column: str = "text", **settings
+    df: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    words: int = 3,
+    distance: int = 2,
 ) -> DataFrame:
     """The rows of ``df`` with one document per component, that of the smallest id.
 
-    Rows repeated with their id are one document and stay together. Rows of a null id cannot
-    be told apart; they stay.
+    A document is a row's id and text: rows repeated with both stay or go together, and of
+    several texts with a component's smallest id, that of the smallest digest stays. Null ids
+    lose against any other; in a component that has no other, one document stays. Null texts
+    count as empty, and texts without words are one component. Long texts are read in blocks.
+    An empty table stays empty. Columns may have any names.
     """
-    found = simhash_components(df, id_column, text_column, **settings)
-    dropped = (
-        found.where("doc_id <> component_id")
-        .select(F.col("doc_id").alias("_dropped_id"))
-        .distinct()
+    keyed = df.select(
+        row_key(id_column, text_column).alias("key"), text_or_empty(text_column).alias("text")
+    )
+    rows = stored(fingerprints(keyed, "key", "text", words), "fingerprints")
+    rows = rows.select(F.col("doc_id").alias("key"), "fingerprint")
+    rank = F.struct(
+        F.col("key.doc_id").isNull().alias("no_id"),
+        F.col("key.doc_id").alias("doc_id"),
+        F.col("key.text_md5").alias("text_md5"),
+    )
+    least = rows.groupBy("fingerprint").agg(F.min(rank).alias("least"))
+    classes = stored(least, "classes")
+    rooted = components(near_links(classes.select("fingerprint"), distance))
+    named = classes.join(rooted.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
+    named = stored(named.withColumn("root", F.coalesce("root", "fingerprint")), "rooted")
+    first = named.groupBy("root").agg(F.min("least").alias("first"))
+    chosen = stored(named.join(first, "root").select("fingerprint", "first"), "chosen")
+    dropped = rows.join(chosen, "fingerprint").where(
+        ~F.col("key.doc_id").eqNullSafe(F.col("first.doc_id"))
+        | (F.col("key.text_md5") != F.col("first.text_md5"))
     )
-    return df.join(dropped, column(id_column) == F.col("_dropped_id"), "left_anti")
+    return without_rows(df, dropped.select("key"), id_column, text_column)

@@ -89,11 +89,14 @@ def test_short_and_empty_items(spark):
 
 
 def test_leaks_are_dropped(spark):
-    docs = documents(spark, [(1, QUESTION), (2, CLEAN), (None, QUESTION)]).withColumn("hash", F.lit(1))
-    docs = docs.withColumn("size", F.lit("x")).withColumn("key", F.lit(2))
+    rows = [(1, QUESTION), (2, CLEAN), (None, QUESTION), (None, CLEAN), (2, QUESTION), (3, None)]
+    docs = documents(spark, rows)
+    for name in ("hash", "size", "key", "dropped", "doc_id_", "item_id", "place"):
+        docs = docs.withColumn(name, F.lit("x"))
     items = spark.createDataFrame([(1, QUESTION)], ITEMS)
     left = drop_leaks(docs, items)
-    assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == {2, None}
+    assert left.columns == docs.columns
+    assert {(r.doc_id, r.text) for r in left.collect()} == {(2, CLEAN), (None, CLEAN), (3, None)}
 
 
 @pytest.mark.parametrize("folder", ["sf0.001", "sf0.01"])

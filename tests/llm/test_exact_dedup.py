@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.exact_dedup import exact_dedup, keep_one_copy
 from tests.llm.brute import documents, lower_ascii
+from tests.plans import plan_of
 
 COLUMNS = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
 LONG = "word " * 60_000
@@ -71,6 +72,8 @@ def test_hot_group_and_clashing_columns(spark):
         F.col("id").alias("doc_id"),
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("text"),
         F.lit(1).alias("kept"), F.lit("x").alias("digest"), F.lit(2).alias("length"),
+        F.lit("x").alias("row"), F.lit("x").alias("_text_digest"), F.lit("x").alias("a.b"),
+        F.lit("x").alias("prefix"), F.lit("x").alias("last"), F.lit("x").alias("_dropped_id"),
     )
     rows = exact_dedup(df).where("group_size > 1").collect()
     assert len(rows) == 1000 and {row.keep_id for row in rows} == {2997}
@@ -85,3 +88,14 @@ def test_one_copy_stays(spark):
         [(9, "same text"), (3, "Été"), (4, "été"), (6, ""), (8, LONG.upper()), (10, LONG[:-2] + "x "),
          (11, "same test"), (None, "alone"), (12, "twice"), (None, "no ids")]
     )
+
+
+def test_other_texts_are_neither_hashed_nor_sorted(spark):
+    df = documents(spark, [(i, f"text {i}") for i in range(50)] + [(7, "x" * 3_000_000)] * 2)
+    left = keep_one_copy(df)
+    plan = plan_of(left)
+    # What is contested has been hashed and written before; whole rows are only grouped where
+    # one id has one text several times.
+    assert "sha2(" not in plan and plan.count("SortAggregate") == 2
+    assert plan.count("first(row") == 2
+    assert left.count() == 51 and left.where("length(text) = 3000000").count() == 1

@@ -116,7 +116,7 @@ def test_rejected_documents_go(spark):
     df = documents(spark, rows).withColumn("best", F.lit(0)).withColumn("predicted", F.lit(0))
     left = drop_low_quality(df, spark.createDataFrame(labels, LABELS))
     assert left.columns == df.columns
-    assert {r.doc_id for r in left.collect()} == {i for i, _ in rows if i is None or i % 4}
+    assert {r.doc_id for r in left.collect()} == {i for i, _ in rows if i is not None and i % 4}
     none = spark.createDataFrame([], LABELS)
     assert drop_low_quality(documents(spark, rows[:3]), none).count() == 3
     assert score_quality(documents(spark, []), none).count() == 0

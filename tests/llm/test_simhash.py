@@ -95,11 +95,33 @@ def test_empty_repeated_and_null_ids(spark):
 
 
 def test_one_of_each_component_stays(spark):
-    rows = [(3, "a b c d"), (1, "A b C d"), (2, "something else entirely here"), (None, "a b c d")]
-    df = documents(spark, rows).withColumn("component_id", F.lit(9)).withColumn("fingerprint", F.lit(1))
+    rows = [(3, "a b c d"), (1, "A b C d"), (2, "something else entirely here"), (None, "a b c d"),
+            (1, "A b C d"), (None, "of no id"), (None, "of no id"), (1, "a b c D")]
+    df = documents(spark, rows)
+    for name in ("component_id", "fingerprint", "key", "dropped", "root", "node", "text_md5"):
+        df = df.withColumn(name, F.lit(1))
     left = keep_one_of_component(df)
     assert left.columns == df.columns
-    assert {row.doc_id for row in left.collect()} == {1, 2, None}
+    # Of two texts of the smallest id, one; of its repeated rows, both or none.
+    kept = sorted((str(row.doc_id), row.text) for row in left.collect())
+    first = [("1", "a b c D")] if ("1", "a b c D") in kept else [("1", "A b C d")] * 2
+    assert kept == [*first, ("2", rows[2][1]), ("None", "of no id"), ("None", "of no id")]
+    assert keep_one_of_component(documents(spark, [])).count() == 0
+
+
+def test_long_and_empty_texts_stay_or_go_together(spark):
+    long = "w1 w2 w3 w4 " * 300_000
+    rows = [(1, long), (2, long.upper()), (3, None), (4, ""), (5, " "), (6, "other words")]
+    left = keep_one_of_component(documents(spark, rows)).select("doc_id").collect()
+    assert {row.doc_id for row in left} == {1, 3, 6}
+
+
+def test_hubs_are_not_one_task(spark, settings):
+    """The joins of star links have exchanges that Spark may split."""
+    settings({"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    links = [(0, i) for i in range(1, 3000)] + [(i, i + 5000) for i in range(1, 50)]
+    found = dict(components(spark.createDataFrame(links, "a long, b long")).collect())
+    assert found == {i: 0 for pair in links for i in pair if i}
 
 
 def test_query(spark, sf_dir):

@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from starloom.llm.common import read, stored
 from starloom.llm.decontaminate import drop_leaks
 from starloom.llm.exact_dedup import keep_one_copy
-from starloom.llm.near_copies import keep_one_near_copy
 from starloom.llm.pieces import encode_pieces
 from starloom.llm.quality import drop_low_quality
 from starloom.llm.queries import tokenizer_file
+from starloom.llm.simhash import keep_one_of_component
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,8 +28,11 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies, the one with the smallest id stays."""
-    return keep_one_near_copy(docs)
+    """Of each component of near fingerprints, the document with the smallest id stays.
+
+    The settings are those of ``op10``: shingles of three words, at most two differing bits.
+    """
+    return keep_one_of_component(docs, words=3, distance=2)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -175,6 +175,7 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "csv_text": _DOCUMENTS_AS_TEXT,
     "csv_typed": _ORDERS,
+    "csv_multiline": "select * from documents",
     "csv_ragged": f"""
         select doc_id, text, lang,
                case when cast(doc_id as bigint) % 3 <> 1 then source end as source,

@@ -256,7 +256,15 @@ def csv_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "csv")
     write_csv(stand_ins.orders(spark, sf_dir), path)
-    return read_csv_typed(spark, path, ORDER_FIELDS, multi_line=False)
+    return read_csv_typed(spark, path, ORDER_FIELDS)
+
+
+def csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with line breaks from files of any size, typed; an absent text stays apart from none."""
+    path = scratch_path(spark, "csv")
+    write_csv(table(spark, sf_dir, "documents"), path)
+    fields = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    return read_csv_typed(spark, path, fields, missing=())
 
 
 def csv_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -294,7 +302,7 @@ def csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.when(F.col("p_size") < 10, "NA").otherwise(F.col("p_size").cast("string"))
     path = scratch_path(spark, "csv")
     write_csv(table(spark, sf_dir, "part").withColumn("p_size", size), path)
-    return read_csv_typed(spark, path, multi_line=False)
+    return read_csv_typed(spark, path)
 
 
 def csv_as_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -526,6 +534,7 @@ QUERIES: dict[str, Query] = {
         ingest_summary,
         csv_text,
         csv_typed,
+        csv_multiline,
         csv_ragged,
         csv_inferred,
         csv_as_json,

@@ -46,18 +46,17 @@ def read_any(
 
     Nothing is dropped on the way: broken lines, surplus fields and unknown columns are errors,
     and in CSV an empty field is null, a quoted one an empty text. CSV without a schema is text
-    throughout. ``options`` are ``multi_line`` and ``missing`` for CSV, ``mode`` for JSON lines,
+    throughout. ``options`` are ``missing`` for CSV, ``mode`` for JSON lines,
     and for ``jdbc``, whose source is the table or aliased query, those of the connection. An
     option, or a schema, that does not apply is an error.
     """
     if schema is not None and format in ("parquet", "table", "jdbc"):
         raise ValueError(f"{format} has a schema of its own")
     if format == "csv":
-        given = _only(options, "multi_line", "missing")
-        multi_line = given.get("multi_line", True)
+        given = _only(options, "missing")
         if schema is None:
-            return read_csv_text(spark, source, multi_line, empty_is_null=True)
-        return read_csv_typed(spark, source, schema, multi_line, given.get("missing", ()))
+            return read_csv_text(spark, source, empty_is_null=True)
+        return read_csv_typed(spark, source, schema, given.get("missing", ()))
     if format == "json":
         mode = _only(options, "mode").get("mode", "FAILFAST")
         return read_json_lines(spark, source, schema, mode)
@@ -87,7 +86,7 @@ def write_csv(
     """CSV with a header, quotes doubled inside quoted fields, blanks kept.
 
     A null is an empty field and an empty text a quoted one. Nested columns are written as JSON
-    text. Files are bounded, as those with line breaks in fields are read whole.
+    text. Files are bounded.
     """
 
     def flat(field: T.StructField) -> Column:

@@ -146,14 +146,13 @@ def csv_to_json(
     csv_path: str,
     json_path: str,
     layout: str = "array",
-    multi_line: bool = True,
     rest: str | None = None,
 ) -> None:
     """Convert CSV to JSON with every value a string, as arrays or as lines.
 
     Surplus fields are an error, or an array under the name ``rest``.
     """
-    rows = read_csv_text(spark, csv_path, multi_line, rest)
+    rows = read_csv_text(spark, csv_path, rest)
     if layout == "array":
         write_json_array(rows, json_path)
     elif layout == "lines":

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from starloom.functions import to_number
 from starloom.names import quoted
+from starloom.sources.records import CsvLines, find_splits, read_records
 
 # Texts that count as missing in a typed scan.
 MISSING_TEXTS = [
@@ -69,32 +70,82 @@ def _fields(record: Column) -> Column:
     return F.transform(plain, unquoted)
 
 
-def _scan(spark: SparkSession, path: str, multi_line: bool) -> tuple[list[str], DataFrame]:
-    """The header's names, and all rows as text with the fields of those of another length."""
-    options = _options(multi_line)
-    names = spark.read.options(**options).csv(path).columns
-    fields = [T.StructField(name, T.StringType()) for name in names]
-    corrupt = T.StructField(_CORRUPT, T.StringType())
-    rows = spark.read.options(**options).schema(T.StructType([*fields, corrupt])).csv(path)
+def _scan(spark: SparkSession, path: str) -> tuple[list[str], DataFrame]:
+    """The header's names, and all rows as text with the fields of those of another length.
+
+    A pass over the lines that hold quotes tells whether any field has line breaks. Without,
+    every line is a record; else records are cut out first. Either way large files are read in
+    many tasks, and Spark parses the fields.
+    """
+    grammar = CsvLines()
+    splits = find_splits(spark, path, grammar)
+    options = _options(splits.broken_lines)
+    if splits.broken_lines:
+        names, records = _headed(read_records(spark, path, grammar, splits))
+        rows = _parsed(records, names, options)
+    else:
+        names = spark.read.options(**options).csv(path).columns
+        fields = [T.StructField(name, T.StringType()) for name in names]
+        corrupt = T.StructField(_CORRUPT, T.StringType())
+        rows = spark.read.options(**options).schema(T.StructType([*fields, corrupt])).csv(path)
     # Rows with too few or too many fields come with their own text.
     ragged = F.when(F.col(_CORRUPT).isNotNull(), _fields(F.col(_CORRUPT)))
     return names, rows.select(*[quoted(name) for name in names], ragged.alias(_FIELDS))
 
 
+def _headed(records: DataFrame) -> tuple[list[str], DataFrame]:
+    """The names of the first record, and ``text`` of all records but the files' first ones.
+
+    Those must be alike in all files. As in Spark's own scan, a name that is missing or repeated
+    is made from its place.
+    """
+    line = F.when(F.endswith("text", F.lit("\r")), F.expr("left(text, length(text) - 1)"))
+    records = records.withColumn("text", F.coalesce(line, "text"))
+    header = _fields(F.regexp_replace("text", "^\ufeff", ""))
+    found = records.where("first").select(header).first()[0]
+    seen = [name.lower() for name in found]
+    names = [
+        f"_c{place}" if not name else f"{name}{place}" if seen.count(name.lower()) > 1 else name
+        for place, name in enumerate(found)
+    ]
+    told = F.concat(F.lit("another header than the first file's: "), "text")
+    other = F.col("first") & (header != F.array(*[F.lit(name) for name in found]))
+    failed = F.when(other, F.raise_error(told).cast("boolean"))
+    return names, records.where(F.coalesce(failed, ~F.col("first"))).select("text")
+
+
+def _parsed(records: DataFrame, names: list[str], options: dict) -> DataFrame:
+    schema = ", ".join([*(f"f{i} string" for i in range(len(names))), f"{_CORRUPT} string"])
+    given = {
+        **{k: str(options[k]).lower() for k in ("multiLine",)},
+        **{k: options[k] for k in ("nullValue", "emptyValue", "quote", "escape")},
+        "lineSep": "\n",
+        "columnNameOfCorruptRecord": _CORRUPT,
+    }
+    row = records.select(F.from_csv("text", schema, given).alias("row"))
+    return row.select(
+        *[F.col(f"row.f{i}").alias(name) for i, name in enumerate(names)],
+        F.col(f"row.{_CORRUPT}").alias(_CORRUPT),
+    )
+
+
 def _surplus(names: list[str]) -> Column:
     return F.size(_FIELDS) > len(names)
 
 
-def _whole(value: Column, names: list[str]) -> Column:
-    """``value``, but an error in a row with more fields than the header."""
-    told = F.concat(F.lit(f"more than {len(names)} fields: "), F.to_json(_FIELDS))
-    return F.when(_surplus(names), F.raise_error(told).cast("string")).otherwise(value)
+def _whole(rows: DataFrame, names: list[str]) -> DataFrame:
+    """``rows``, but an error if one has more fields than the header."""
+    # Spark wants a field to be read beside the record's own text.
+    told = F.concat_ws(
+        " ", F.lit(f"more than {len(names)} fields:"), F.to_json(_FIELDS), F.left(quoted(names[0]), F.lit(0))
+    )
+    failed = F.when(_surplus(names), F.raise_error(told).cast("boolean"))
+    return rows.where(F.coalesce(failed, F.lit(True)))
 
 
 def read_csv_text(
     spark: SparkSession,
     path: str,
-    multi_line: bool = True,
     rest: str | None = None,
     empty_is_null: bool = False,
 ) -> DataFrame:
@@ -103,18 +154,19 @@ def read_csv_text(
     An empty field is an empty string, or null with ``empty_is_null`` unless it is quoted; a
     field missing from a short row is null. Surplus fields are an error unless ``rest`` names a
     column for them, an ``array<string>`` that is null in other rows. Blank lines are skipped. A
-    file with another header than the first one's is an error. With ``multi_line`` fields may
-    hold line breaks, at the price of one task per file; turn it off for files without such
-    fields, so that large ones are split.
+    file with another header than the first one's is an error, and so is one that ends inside a
+    quoted field. Lines end with a line feed, with or without a carriage return; fields may hold
+    line breaks, and large files are read in many tasks all the same.
     """
-    names, rows = _scan(spark, path, multi_line)
+    names, rows = _scan(spark, path)
+    rows = rows if rest else _whole(rows, names)
 
     def field(place: int, name: str) -> Column:
         text = F.col(quoted(name))
         if not empty_is_null:
             missing = F.coalesce(F.size(_FIELDS) <= place, F.lit(False))
             text = F.when(~missing, F.coalesce(text, F.lit("")))
-        return (text if rest else _whole(text, names)).alias(name)
+        return text.alias(name)
 
     columns = [field(place, name) for place, name in enumerate(names)]
     if rest:
@@ -174,22 +226,21 @@ def read_csv_typed(
     spark: SparkSession,
     path: str,
     schema: T.StructType | str | None = None,
-    multi_line: bool = True,
     missing: Collection[str] = MISSING_TEXTS,
 ) -> DataFrame:
     """Fields as the types of ``schema``, with the texts of ``missing`` as null.
 
     Columns are matched to the header by name, and come in the order of ``schema``; a name that
-    only one of them has is an error, and so are a file with another header and a row with
-    surplus fields. Numeric text that does not parse fails the job. Nested columns are read from
+    only one of them has is an error, and so are a file with another header or one that ends
+    inside a quoted field, and a row with surplus fields. Large files are read in many tasks. Numeric text that does not parse fails the job. Nested columns are read from
     JSON text.
 
     Without a schema the types are found in an extra pass over the texts: whole numbers,
     numbers, booleans, or text, which stays as it is. Pass ``missing=()`` to keep ``NA`` and the
     like as texts; an empty field that is not quoted is null all the same.
     """
-    names, rows = _scan(spark, path, multi_line)
-    texts = rows.select(*[_whole(F.col(quoted(name)), names).alias(name) for name in names])
+    names, rows = _scan(spark, path)
+    texts = _whole(rows, names).select(*[quoted(name) for name in names])
     if schema is None:
         target = _inferred(texts, missing)
     else:

@@ -192,6 +192,7 @@ ORACLE_SQL: dict[str, str] = {
         select * replace (cast(o_orderdate as varchar) as o_orderdate) from ({_ORDERS})
     """,
     "json_array": "select doc_id, text, lang, source, n_chars from documents",
+    "json_array_split": "select doc_id, text, lang, source, n_chars from documents",
     "json_split": "select * from part",
     "json_split_nested": """
         select *, p_brand as detail_brand, p_size as detail_size,

@@ -329,6 +329,14 @@ def json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_json_array(spark, path, fields)
 
 
+def json_array_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Array files of over a megabyte, cut into their elements by many tasks."""
+    path = scratch_path(spark, "json")
+    write_json_array(table(spark, sf_dir, "documents"), path, bytes_per_file=1 << 30)
+    fields = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    return read_json_array(spark, path, fields, split_bytes=1 << 20)
+
+
 def json_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "json") + ".gz"
     write_json_split(table(spark, sf_dir, "part"), path)
@@ -540,6 +548,7 @@ QUERIES: dict[str, Query] = {
         csv_as_json,
         json_lines,
         json_array,
+        json_array_split,
         json_split,
         json_split_nested,
         converted_orders,

@@ -1,0 +1,117 @@
+"""Large JSON arrays, cut into elements by many tasks."""
+
+from __future__ import annotations
+
+import json
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from starloom.sources import read_json_array
+from starloom.sources.records import JsonElements, followed
+
+FIELDS = "k bigint, s string, deep struct<a: array<string>, b: struct<c: string>>, n array<bigint>"
+PARTS = ["", "x", "é", '"', "\\", "{", "}", "[", "]", "},{", ",", "\n", ":", "日", '\\"']
+
+
+def element(dice, k):
+    def text():
+        return "".join(dice.choices(PARTS, k=dice.randrange(9)))
+
+    deep = {"a": [text() for _ in range(dice.randrange(3))], "b": {"c": text()}}
+    return {"k": k, "s": text(), "deep": deep, "n": [1, 2][: dice.randrange(3)]}
+
+
+def as_dict(row):
+    return json.loads(json.dumps(row.asDict(recursive=True)))
+
+
+def tiny(settings, size):
+    settings({"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "0"})
+
+
+@pytest.mark.parametrize("indent, size", [(None, 400), (2, 900), (None, 61), (4, 5000)])
+def test_one_file_in_many_tasks(spark, tmp_path, settings, indent, size):
+    dice = random.Random(size)
+    rows = [element(dice, k) for k in range(60 if size < 100 else 400)]
+    path = tmp_path / "array.json"
+    path.write_text(json.dumps(rows, indent=indent, ensure_ascii=False) + "\n", encoding="utf-8")
+    tiny(settings, size)
+    found = read_json_array(spark, str(path), FIELDS)
+    assert found.rdd.getNumPartitions() > 10
+    assert sorted(map(as_dict, found.collect()), key=lambda row: row["k"]) == rows
+
+
+def test_elements_longer_than_splits_and_escapes(spark, tmp_path, settings):
+    rows = [{"k": k, "s": '\\"}{' * (300 * (k % 3))} for k in range(9)]
+    path = tmp_path / "array.json"
+    path.write_text("\ufeff " + json.dumps(rows), encoding="utf-8")
+    tiny(settings, 100)
+    found = read_json_array(spark, str(path), "k bigint, s string").collect()
+    assert sorted((r.k, r.s) for r in found) == [(r["k"], r["s"]) for r in rows]
+
+
+def test_large_and_small_files_with_an_inferred_schema(spark, tmp_path, settings):
+    (tmp_path / "1.json").write_text(json.dumps([{"k": i, "s": "a\nb"} for i in range(200)], indent=1))
+    (tmp_path / "2.json").write_text('[{"k": 0.5, "t": true}]')
+    (tmp_path / "3.json").write_text("[]")
+    tiny(settings, 500)
+    found = read_json_array(spark, str(tmp_path))
+    assert dict(found.dtypes) == {"k": "double", "s": "string", "t": "boolean"}
+    assert found.count() == 201 and found.where("t").count() == 1
+    (tmp_path / "2.json").unlink()
+    again = read_json_array(spark, str(tmp_path))
+    assert dict(again.dtypes) == {"k": "bigint", "s": "string"} and again.count() == 200
+    assert {row.s for row in again.collect()} == {"a\nb"}
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["[{}", "[{}]]", "[{}] x", '[{"k": 1} {"k": 2}]', "[{},]", "{}", '[1, {"k": 1}]', '[{"k": }]',
+     '[{"s": "a]', "[[{}]]", ',{"k": 1}]', "x[{}]"],
+)
+def test_broken_files_fail(spark, tmp_path, settings, text):
+    path = tmp_path / "broken.json"
+    path.write_text(text)
+    tiny(settings, 4)
+    with pytest.raises(Exception):
+        read_json_array(spark, str(path), "k bigint, s string", split_bytes=0).collect()
+
+
+def test_empty_arrays_and_space(spark, tmp_path, settings):
+    for place, text in enumerate(["[]", " [ ] \n", "[{}]", "\n[ {} , {} ]\n"]):
+        (tmp_path / f"{place}.json").write_text(text)
+    tiny(settings, 3)
+    assert read_json_array(spark, str(tmp_path), "k bigint", split_bytes=0).count() == 3
+
+
+def test_steps_of_elements():
+    """Against a plain walk over the characters."""
+    def walk(chunk, inside):
+        depth, escaped = 0, False
+        for char in chunk:
+            if escaped:
+                escaped = False
+            elif char == "\\":
+                escaped = True
+            elif char == '"':
+                inside = not inside
+            elif not inside:
+                depth += (char in "{[") - (char in "]}")
+        return int(inside), depth - (not inside)
+
+    dice = random.Random(2)
+    chunks = []
+    for _ in range(500):
+        parts = dice.choices(['"', '\\"', "\\\\", "{", "[", "]", "a", "é"], k=dice.randrange(9))
+        chunks.append("".join(parts))
+    # As a slice, as tasks meet them.
+    array = pa.array(["skipped}", *chunks])[1:]
+    ends0, ends1, depths0, depths1 = (x.tolist() for x in JsonElements().steps(array))
+    for place, chunk in enumerate(chunks):
+        assert (ends0[place], depths0[place]) == walk(chunk, False), chunk
+        assert (ends1[place], depths1[place]) == walk(chunk, True), chunk
+    states = followed(np.array(ends0), np.array(ends1), 0)
+    assert states[-1] == sum(ends0) % 2

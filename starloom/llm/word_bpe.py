@@ -42,9 +42,9 @@ LEXICON_WORDS = 1 << 17
 #: It has none that occurs less often.
 LEAST_COUNT = 3
 #: Bytes of text that are encoded together.
-SLICE_BYTES = 8 << 20
-#: Entries of each layer of a worker's memory of merged words.
-MEMO_ENTRIES = 200_000
+SLICE_BYTES = 3 << 20
+#: Entries of each layer of a worker's memory of merged words, and of pieces of words.
+MEMO_ENTRIES = 100_000
 #: Words of more symbols are merged with a heap.
 SHORT = 128
 #: Steps a doubling of the frequencies by which the lexicon's least one is found.
@@ -104,7 +104,7 @@ class WordBpe:
             self._ranks[vocabulary[left], vocabulary[right]] = rank
             self._made.append(vocabulary[left + right])
         #: Pieces of words, as words differ in capitals and marks more than in letters.
-        self._known = Memory(self._merged, MEMO_ENTRIES)
+        self._known = Memory(self._merged, MEMO_ENTRIES // 2)
         known = self._tokenizer.get_vocab(with_added_tokens=True)
         self.written = [b""] * (max(known.values()) + 1)
         for token, number in known.items():

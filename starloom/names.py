@@ -19,7 +19,13 @@ def column(name: str | Column) -> Column:
     return F.col(name if name.startswith("`") and name.endswith("`") else quoted(name))
 
 
+def parts_of(table: str) -> list[str]:
+    """The names that a table's name is made of, without quotes."""
+    found = re.findall(r"`(?:[^`]|``)*`|[^.`]+", table)
+    return [x[1:-1].replace("``", "`") if x.startswith("`") else x for x in found]
+
+
 def sibling(table: str, suffix: str) -> str:
     """The name of a table beside ``table``, in the same database."""
-    *outer, last = re.findall(r"`(?:[^`]|``)*`|[^.`]+", table)
-    return ".".join([*outer, quoted(last.strip("`").replace("``", "`") + suffix)])
+    *outer, last = parts_of(table)
+    return ".".join(map(quoted, [*outer, last + suffix]))

@@ -6,6 +6,7 @@ from starloom.sinks.json import (
     write_json_split,
 )
 from starloom.sinks.tables import (
+    append_once,
     create_database,
     drop_database,
     load_database_table,
@@ -13,8 +14,10 @@ from starloom.sinks.tables import (
     primary_key_statement,
     recreate_table,
 )
+from starloom.sinks.versions import restore
 
 __all__ = [
+    "append_once",
     "convert",
     "create_database",
     "csv_to_json",
@@ -24,6 +27,7 @@ __all__ = [
     "primary_key_statement",
     "read_any",
     "recreate_table",
+    "restore",
     "write_any",
     "write_csv",
     "write_json_array",

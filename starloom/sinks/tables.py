@@ -2,17 +2,28 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from starloom.names import sibling
+from starloom.names import quoted
 from starloom.operators.keys import check_new_keys, check_primary_key
 from starloom.scratch import drop_folder, scratch_path
+from starloom.sinks.versions import (
+    drop_replaced,
+    live_version,
+    location,
+    new_version,
+    publish,
+    restore,
+    versions_base,
+)
 from starloom.sources.jdbc import Ranges, read_database, sql_text
 
+#: The column by which tables of :func:`append_once` are partitioned.
+TOKEN = "load_token"
+
 
 def create_database(
     spark: SparkSession, name: str, location: str | None = None, use: bool = False
@@ -34,13 +45,26 @@ def drop_database(spark: SparkSession, name: str) -> None:
 def recreate_table(
     spark: SparkSession, table: str, schema: T.StructType, format: str = "parquet"
 ) -> None:
-    """Drop the table if there is one and create it empty."""
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    columns = ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}"
-        for f in schema.fields
-    )
-    spark.sql(f"CREATE TABLE {table} ({columns}) USING {format}")
+    """Make a table empty, with these columns; rows and columns that it had are gone.
+
+    A table of the same columns is pointed to an empty folder in one statement, so that it is
+    never missing; a definition that cannot be written leaves it as it was.
+    """
+    restore(spark, table)
+    base, before = versions_base(spark, table), location(spark, table)
+    folder = new_version(base)
+    spark.createDataFrame([], schema).write.format(format).save(folder)
+    _publish(spark, table, folder, schema, format, base, before)
+
+
+def _publish(spark, table, folder, schema, format, base, before) -> None:
+    try:
+        publish(spark, table, folder, schema, format)
+    finally:
+        # A statement that fails may have done its work.
+        if not folder.endswith(f"/{live_version(spark, table)}"):
+            drop_folder(spark, folder)
+    drop_replaced(spark, table, before, base)
 
 
 def load_table(
@@ -52,36 +76,77 @@ def load_table(
 ) -> None:
     """Replace (``insert``) or extend (``update``) a table with rows of unique key.
 
-    The rows are computed once, into a table beside the target. Their keys are checked there,
-    reading the key columns only, and these very rows are published: by renaming, or by one
-    append. Until then the target stays as it was, whatever fails. A replaced table is missing
-    between two renames, and is put back if the second one fails.
+    The rows are computed once, into a folder of their own. Their keys are checked there, reading
+    the key columns only, and these very rows are published: a table is pointed to the folder in
+    one statement, or gets the rows in one append. Until then it stays as it was, whatever fails.
     """
     spark = df.sparkSession
     if operation not in ("insert", "update"):
         raise ValueError(f"operation is insert or update, not {operation}")
-    attempt = uuid.uuid4().hex
-    staged, former = sibling(table, f"__load_{attempt}"), sibling(table, f"__former_{attempt}")
+    restore(spark, table)
+    base, before = versions_base(spark, table), location(spark, table)
+    appended = operation == "update" and before is not None
+    folder = scratch_path(spark, "load") if appended else new_version(base)
     try:
-        df.write.format(format).saveAsTable(staged)
-        rows = spark.table(staged)
+        df.write.format(format).save(folder)
+        rows = spark.read.format(format).schema(df.schema).load(folder)
         check_primary_key(rows, key)
-        exists = spark.catalog.tableExists(table)
-        if operation == "update" and exists:
+        if appended:
             check_new_keys(rows, spark.table(table), key)
             rows.write.format(format).mode("append").saveAsTable(table)
+            drop_folder(spark, folder)
             return
-        if exists:
-            spark.sql(f"ALTER TABLE {table} RENAME TO {former}")
-        try:
-            spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
-        except Exception:
-            if exists:
-                spark.sql(f"ALTER TABLE {former} RENAME TO {table}")
-            raise
-        spark.sql(f"DROP TABLE IF EXISTS {former}")
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+    except Exception:
+        drop_folder(spark, folder)
+        raise
+    _publish(spark, table, folder, rows.schema, format, base, before)
+
+
+def append_once(
+    df: DataFrame,
+    table: str,
+    key: str | Sequence[str],
+    token: str,
+    format: str = "parquet",
+) -> bool:
+    """Add rows to a table unless rows of this ``token`` are there; whether they were added.
+
+    The table is partitioned by a column ``load_token``. Every attempt writes to a folder of its
+    own, and the statement that adds it as the token's partition is both the commit of the rows
+    and the note that they are in, so a load that is repeated, after a crash at any point too,
+    adds nothing twice. Keys are checked as :func:`load_table` checks them.
+    """
+    spark = df.sparkSession
+    if TOKEN in df.columns:
+        raise ValueError(f"column exists already: {TOKEN}")
+    if not spark.catalog.tableExists(table):
+        schema = T.StructType([*df.schema.fields, T.StructField(TOKEN, T.StringType())])
+        columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {format} "
+            f"PARTITIONED BY ({quoted(TOKEN)})"
+        )
+    elif TOKEN not in spark.table(table).columns:
+        raise ValueError(f"no table of tokens: {table}")
+    partition = f"PARTITION ({quoted(TOKEN)} = {sql_text(token)})"
+    if spark.sql(f"SHOW PARTITIONS {table} {partition}").take(1):
+        return False
+    expected = [f for f in spark.table(table).schema.fields if f.name != TOKEN]
+    if [f.name for f in expected] != df.columns:
+        df = df.select(*[quoted(f.name) for f in expected])
+    folder = new_version(versions_base(spark, table))
+    try:
+        df.write.format(format).save(folder)
+        rows = spark.read.format(format).schema(df.schema).load(folder)
+        check_primary_key(rows, key)
+        check_new_keys(rows, spark.table(table), key)
+        spark.sql(f"ALTER TABLE {table} ADD {partition} LOCATION {sql_text(folder)}")
+    except Exception:
+        if not spark.sql(f"SHOW PARTITIONS {table} {partition}").take(1):
+            drop_folder(spark, folder)
+        raise
+    spark.catalog.refreshTable(table)
+    return True
 
 
 def load_database_table(

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from starloom.scratch import drop_folder
+from starloom.sinks.versions import drop_former
 from starloom.sources.jdbc import sql_text
 
 DEFAULT_INTERVAL = "5 seconds"
@@ -79,48 +79,26 @@ def replace_table(
     session = stream.sparkSession
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        folder = f"version={batch_id}-{uuid.uuid4().hex}"
-        place = f"{path}/{folder}"
+        place = f"{path}/version={batch_id}-{uuid.uuid4().hex}"
         batch.write.format(format).save(place)
         if session.catalog.tableExists(table):
-            _note_versions(session, table, [*_versions(session, table), folder])
             session.sql(f"ALTER TABLE {table} SET LOCATION {sql_text(place)}")
         else:
             session.catalog.createTable(table, path=place, source=format, schema=batch.schema)
-            _note_versions(session, table, [folder])
         session.catalog.refreshTable(table)
 
     writer = _writer(stream, checkpoint, "complete", name, interval, available_now)
     return writer.foreachBatch(publish).start()
 
 
-_VERSIONS = "starloom.versions"
-
-
-def _versions(spark: SparkSession, table: str) -> list[str]:
-    """The folders that a table has been pointed to, oldest first."""
-    for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect():
-        if row.key == _VERSIONS:
-            return row.value.split(",")
-    return []
-
-
-def _note_versions(spark: SparkSession, table: str, folders: list[str]) -> None:
-    noted = sql_text(",".join(folders))
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_VERSIONS}' = {noted})")
-
-
-def drop_versions(spark: SparkSession, table: str, path: str, keep: int = 1) -> None:
+def drop_versions(spark: SparkSession, table: str, path: str, keep: int = 1) -> list[str]:
     """Delete the folders of :func:`replace_table` but the ``keep`` latest ones.
 
-    Call it when no reader that began before the kept ones is left.
+    Which one is live is read from the table itself, and what there is from the folders, so that
+    nothing is noted per batch and no crash can make the two disagree. Call it when no reader
+    that began before the kept ones is left.
     """
-    if keep < 1:
-        raise ValueError("the version that is live is kept")
-    folders = _versions(spark, table)
-    for folder in folders[:-keep]:
-        drop_folder(spark, f"{path}/{folder}")
-    _note_versions(spark, table, folders[-keep:])
+    return drop_former(spark, table, path.rstrip("/"), keep)
 
 
 def wait_until_ready(query: StreamingQuery, timeout: float = 60.0) -> None:

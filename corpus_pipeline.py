@@ -38,7 +38,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold an item of the benchmark go."""
     items = read(spark, sf_dir, "benchmark")
-    return drop_leaks(docs, items, cut_clashes=True, all_readings=True)
+    return drop_leaks(docs, items)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,10 +28,10 @@ from starloom.llm.common import (
     ready_workers,
     row_key,
     stored,
-    text_blocks,
     text_or_empty,
     without_rows,
 )
+from starloom.llm.lexicon import ragged
 
 #: Tokens a window. Items that are shorter are one window.
 WINDOW = 8
@@ -39,6 +40,10 @@ WINDOW_WORDS = 4
 #: A document holds an item when one alignment meets so much of its tokens, or so many of them.
 COVERED_SHARE = 0.5
 COVERED_TOKENS = 13
+#: Items of fewer tokens say too little inside a text; they count where a line is just that.
+LEAST_TOKENS = 4
+#: Bytes of text that are looked at together.
+SLICE_BYTES = 2 << 20
 #: Bits of the filter that keeps other windows from being shuffled; its size is fixed.
 FILTER_BITS = 1 << 23
 #: Entries of each layer of a worker's memory of words.
@@ -63,25 +68,33 @@ SIGNS = "%$€£"
 _TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*|[%$€£]|[.!?\n]")
 WORD, NUMBER, NAME, UNIT = 0, 1, 2, 3
 # What is known of a token without its neighbours.
-_NUMBER, _SIGN, _UNIT_WORD, _CAPITAL, _ENDS, _NO_TOKEN = 1, 2, 4, 8, 16, 32
+_NUMBER, _SIGN, _UNIT_WORD, _CAPITAL, _ENDS, _NO_TOKEN, _BREAKS = 1, 2, 4, 8, 16, 32, 64
 _RECORD = np.dtype([("hash", "<u8"), ("flags", "<u8")])
 _RECORD_BYTES = struct.Struct("<QQ")
+# An odd number, and what it is multiplied with to give 1 in 64 bits.
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _PLACEHOLDERS = np.array([0, 0x51ED270B, 0x2545F491, 0x6C62272E], dtype=np.uint64)
 
 
 def _token_records(word: str) -> bytes:
     """The tokens of what stands between two spaces, as records."""
     core = word.rstrip(".,")
-    ends = "." in word[len(core) :]
-    tokens = [core] if core.isalpha() else _TOKEN.findall(word)
+    if core.isalpha():
+        low = core.lower()
+        flag = _NUMBER if low in NUMBER_WORDS else _UNIT_WORD if low in UNITS else 0
+        if flag != _NUMBER and core[0] != low[0] and len(core) > 1 and core[1:] == low[1:]:
+            flag |= _CAPITAL
+        if len(core) < len(word) and "." in word[len(core) :]:
+            flag |= _ENDS
+        return _RECORD_BYTES.pack(xxhash.xxh64_intdigest(low), flag)
     records: list[list[int]] = []
-    for token in tokens:
+    for token in _TOKEN.findall(word):
         first, low = token[0], token.lower()
         if first in ".!?\n":
             if not records:
                 records.append([0, _NO_TOKEN])
-            records[-1][1] |= _ENDS
+            records[-1][1] |= _ENDS | (_BREAKS if first == "\n" else 0)
             continue
         flag = 0
         if first.isdigit() or low in NUMBER_WORDS:
@@ -93,128 +106,190 @@ def _token_records(word: str) -> bytes:
             if first != low[0] and len(token) > 1 and token[1:] == low[1:]:
                 flag |= _CAPITAL
         records.append([xxhash.xxh64_intdigest(low), flag])
-    if ends and tokens == [core]:
-        records[-1][1] |= _ENDS
     return b"".join([_RECORD_BYTES.pack(*record) for record in records])
 
 
 _records = Memory(_token_records, MEMO_ENTRIES)
 
 
+class Tokens:
+    """The tokens of some texts behind each other."""
+
+    def __init__(self, texts: pa.Array) -> None:
+        # The words of all texts, each different one looked up once.
+        lists = pc.split_pattern(texts, " ")
+        words = lists.values.dictionary_encode()
+        known = [_records[word] for word in words.dictionary.to_numpy(zero_copy_only=False)]
+        counts = np.array([len(x) for x in known], dtype=np.int64) // _RECORD.itemsize
+        which = words.indices.to_numpy()
+        pool = np.frombuffer(b"".join(known), dtype=_RECORD)
+        tokens = ragged(pool, (np.cumsum(counts) - counts)[which], counts[which])
+        ends = np.concatenate([[0], np.cumsum(counts[which])])[lists.offsets.to_numpy()]
+        row = np.repeat(np.arange(len(texts)), np.diff(ends))
+        flags = tokens["flags"]
+        begins = np.concatenate([[True], row[1:] != row[:-1]])[: len(row)]
+        opening = begins | _behind(flags & _ENDS != 0)
+        line = np.cumsum(begins | _behind(flags & _BREAKS != 0))
+        real = flags & _NO_TOKEN == 0
+        #: Of each token: a hash in lower case, and its text, line and place.
+        self.hashes, flags, self.row = tokens["hash"][real], flags[real], row[real]
+        self.line, opening = line[real], opening[real]
+        self.counts = np.bincount(self.row, minlength=len(texts))
+        self.place = np.arange(len(self.row)) - (np.cumsum(self.counts) - self.counts)[self.row]
+        number, capital = flags & _NUMBER != 0, flags & _CAPITAL != 0
+        after_number = _behind(number) & (self.place > 0)
+        #: Its type: a name is a capitalised word inside a sentence; a unit is a unit word behind
+        #: a number, or a percent or money sign.
+        self.kinds = np.where(capital & ~opening, NAME, WORD)
+        self.kinds[(flags & _SIGN != 0) | (flags & _UNIT_WORD != 0) & after_number] = UNIT
+        self.kinds[number] = NUMBER
+        #: Where words are capitalised that open a sentence.
+        self.opening = capital & opening & (self.kinds == WORD)
+
+    def readings(self) -> Iterator[tuple[np.ndarray, int]]:
+        """Types of tokens, and the least number of words in a window.
+
+        The template is the first. The others have capitals that open a sentence as names, and
+        all tokens as they are in lower case, where windows need no words.
+        """
+        yield self.kinds, WINDOW_WORDS
+        if self.opening.any():
+            yield np.where(self.opening, NAME, self.kinds), WINDOW_WORDS
+        yield np.zeros(len(self.kinds), dtype=self.kinds.dtype), 0
+
+
+def _behind(marks: np.ndarray) -> np.ndarray:
+    """Whether the one before is marked."""
+    return np.concatenate([[False], marks[:-1]])[: len(marks)]
+
+
 def template(text: str, opening_names: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """A hash of each token in lower case, and its type.
 
-    A name is a capitalised word inside a sentence, or anywhere with ``opening_names``; a unit is
-    a unit word behind a number, or a percent or money sign.
+    With ``opening_names`` a capitalised word is a name anywhere.
     """
-    hashes, kinds, opening = _typed(text)
-    return hashes, np.where(opening, NAME, kinds) if opening_names else kinds
-
-
-def _typed(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The template, and where words are capitalised that open a sentence."""
-    parts = [b"".join([_records[word] for word in block]) for block in text_blocks(text)]
-    tokens = np.frombuffer(b"".join(parts), dtype=_RECORD)
-    flags = tokens["flags"]
-    ends = flags & _ENDS != 0
-    opening = np.concatenate([[True], ends[:-1]]) if len(ends) else ends
-    real = flags & _NO_TOKEN == 0
-    hashes, flags, opening = tokens["hash"][real], flags[real], opening[real]
-    number = flags & _NUMBER != 0
-    behind = np.concatenate([[False], number[:-1]]) if len(number) else number
-    kinds = np.where((flags & _CAPITAL != 0) & ~opening, NAME, WORD)
-    kinds[(flags & _SIGN != 0) | (flags & _UNIT_WORD != 0) & behind] = UNIT
-    kinds[number] = NUMBER
-    return hashes, kinds, (flags & _CAPITAL != 0) & opening & (kinds == WORD)
-
-
-def window_hashes(
-    hashes: np.ndarray, kinds: np.ndarray, size: int, least_words: int = WINDOW_WORDS
-) -> np.ndarray:
-    """A hash per window, placeholders counting by type; zero for windows of few words."""
-    count = len(hashes) - size + 1
-    if count < 1:
-        return np.zeros(0, dtype=np.int64)
-    coded = np.where(kinds == WORD, hashes, _PLACEHOLDERS[kinds])
-    total = np.full(count, size, dtype=np.uint64)
-    for place in range(size):
-        total = total * _FACTOR + coded[place : place + count]
-    total ^= total >> np.uint64(29)
-    words = np.concatenate([[0], np.cumsum(kinds == WORD)])
-    total[words[size:] - words[:count] < least_words] = 0
-    return total.view(np.int64)
+    tokens = Tokens(pa.array([text], pa.string()))
+    kinds = np.where(tokens.opening, NAME, tokens.kinds) if opening_names else tokens.kinds
+    return tokens.hashes, kinds
+
+
+_powers = [np.ones(1, dtype=np.uint64)] * 2
+
+
+def _powers_of(count: int) -> list[np.ndarray]:
+    """The powers of a factor and of its inverse, kept as far as they were needed."""
+    if len(_powers[0]) < count:
+        for place, factor in enumerate((_FACTOR, _INVERSE)):
+            made = np.full(2 * count, factor, dtype=np.uint64)
+            made[0] = 1
+            _powers[place] = np.multiply.accumulate(made)
+    return _powers
+
+
+class Windows:
+    """Hashes of the windows of one reading, of any size, from sums over the tokens before."""
+
+    def __init__(self, tokens: Tokens, kinds: np.ndarray, least_words: int) -> None:
+        self._row, self._least = tokens.row, least_words
+        coded = np.where(kinds == WORD, tokens.hashes, _PLACEHOLDERS[kinds])
+        powers, self._inverse = _powers_of(len(coded) + 1)
+        zero = np.zeros(1, dtype=np.uint64)
+        self._sums = np.concatenate([zero, np.cumsum(coded * powers[: len(coded)], dtype=np.uint64)])
+        self._words = np.concatenate([[0], np.cumsum(kinds == WORD)]) if least_words else None
+
+    def hashes(self, size: int) -> np.ndarray:
+        """A hash per first token; zero where a window would leave its text or has few words."""
+        count = len(self._row) - size + 1
+        made = np.zeros(len(self._row), dtype=np.uint64)
+        if count < 1 or size < 1:
+            return made.view(np.int64)
+        total = (self._sums[size:] - self._sums[:count]) * self._inverse[:count]
+        total ^= total >> np.uint64(29)
+        total = total * _FACTOR + np.uint64(size)
+        total ^= total >> np.uint64(32)
+        total[self._row[size - 1 :] != self._row[:count]] = 0
+        if self._words is not None:
+            total[self._words[size:] - self._words[:count] < self._least] = 0
+        made[:count] = total
+        return made.view(np.int64)
 
 
 _FIELDS = "key {kind}, hash long, place int, tokens int, size int, slots array<long>"
 
 
-def _readings(text: str, all_readings: bool):
-    """``hashes, kinds, least_words`` of a text's readings.
-
-    The template is the first. The others have capitals that open a sentence as names, and all
-    tokens as they are in lower case, where windows need no words.
-    """
-    hashes, kinds, opening = _typed(text)
-    yield hashes, kinds, WINDOW_WORDS
-    if all_readings:
-        if opening.any():
-            yield hashes, np.where(opening, NAME, kinds), WINDOW_WORDS
-        yield hashes, np.full(len(hashes), WORD), 0
-
-
-def _windows(df: DataFrame, choose, all_readings: bool) -> DataFrame:
+def _windows(df: DataFrame, choose) -> DataFrame:
     """``key, hash, place, tokens, size, slots`` of the windows that are chosen.
 
-    ``choose`` gives ``(hashes, places)`` for tokens, their types, a size and the fewest words.
-    ``slots`` has the value of each placeholder, typed, and zero for words. A window that is the
-    same in several readings is given once.
+    ``choose`` gives ``size, mask`` for tokens and what makes hashes of a size. ``slots`` has the
+    value of each placeholder, typed, and zero for words. A window that is the same in several
+    readings is given once.
     """
     ready_workers(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in arrow_slices(batches, ["text"], 4 << 20):
-            found: list[tuple] = []
-            for row, text in enumerate(part["text"]):
-                seen: dict[int, list[np.ndarray]] = {}
-                for hashes, kinds, least_words in _readings(text.as_py(), all_readings):
-                    slots = np.where(kinds == WORD, 0, hashes * 4 + kinds.astype(np.uint64))
-                    for size, made, places in choose(hashes, kinds, least_words):
-                        for other in seen.get(size, []):
-                            places = places[made[places] != other[places]]
-                        seen.setdefault(size, []).append(made)
-                        for place in places.tolist():
-                            values = slots[place : place + size].astype(np.uint64).view(np.int64)
-                            found.append((row, int(made[place]), place, len(hashes), size, values))
-            rows, *columns = zip(*found) if found else [()] * 6
-            kinds_of = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part["key"].take(pa.array(rows, pa.int64())),
-                    *(pa.array(list(x), kind) for x, kind in zip(columns, kinds_of)),
-                ],
-                ["key", "hash", "place", "tokens", "size", "slots"],
-            )
+        for part in arrow_slices(batches, ["text"], SLICE_BYTES):
+            tokens = Tokens(part["text"].cast(pa.string()))
+            seen: dict[int, list[np.ndarray]] = {}
+            for kinds, least_words in tokens.readings():
+                windows = Windows(tokens, kinds, least_words)
+                slots = None
+                for size, made, chosen in choose(tokens, windows):
+                    for other in seen.get(size, []):
+                        chosen = chosen[made[chosen] != other[chosen]]
+                    seen.setdefault(size, []).append(made)
+                    if not len(chosen):
+                        continue
+                    if slots is None:
+                        typed = tokens.hashes * np.uint64(4) + kinds.astype(np.uint64)
+                        slots = np.where(kinds == WORD, np.uint64(0), typed).view(np.int64)
+                    values = slots[chosen[:, None] + np.arange(size)].ravel()
+                    edges = pa.array(np.arange(len(chosen) + 1) * size, pa.int32())
+                    row = tokens.row[chosen]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            part["key"].take(pa.array(row)),
+                            pa.array(made[chosen]),
+                            pa.array(tokens.place[chosen], pa.int32()),
+                            pa.array(tokens.counts[row], pa.int32()),
+                            pa.array(np.full(len(chosen), size), pa.int32()),
+                            pa.ListArray.from_arrays(edges, pa.array(values)),
+                        ],
+                        ["key", "hash", "place", "tokens", "size", "slots"],
+                    )
 
     kind = df.schema["key"].dataType.simpleString()
     return df.mapInArrow(run, _FIELDS.format(kind=kind))
 
 
-def _whole_or_windows(hashes: np.ndarray, kinds: np.ndarray, least_words: int):
-    size = min(WINDOW, len(hashes))
-    made = window_hashes(hashes, kinds, size, least_words) if size else hashes.view(np.int64)
-    yield size, made, np.flatnonzero(made)
+def _of_items(tokens: Tokens, windows: Windows):
+    """All windows, or a whole text of fewer tokens."""
+    sizes = np.minimum(tokens.counts, WINDOW)
+    of = sizes[tokens.row]
+    for size in np.unique(sizes[sizes > 0]).tolist():
+        made = windows.hashes(size)
+        yield size, made, np.flatnonzero((made != 0) & (of == size))
 
 
 def _passing(sizes: list[int], bits):
-    """Windows of the given sizes whose bit is set in the filter."""
+    """Windows of the given sizes whose bit is set in the filter.
+
+    Where an item has fewer than ``LEAST_TOKENS``, only a line that is just that counts.
+    """
 
-    def choose(hashes: np.ndarray, kinds: np.ndarray, least_words: int):
+    def choose(tokens: Tokens, windows: Windows):
+        filled = np.frombuffer(bits.value, np.uint8)
         for size in sizes:
-            made = window_hashes(hashes, kinds, size, least_words)
+            made = windows.hashes(size)
             place = made & (FILTER_BITS - 1)
-            byte = np.frombuffer(bits.value, np.uint8)[place >> 3]
-            hit = byte >> (place & 7).astype(np.uint8) & 1
-            yield size, made, np.flatnonzero(hit.astype(bool) & (made != 0))
+            hit = filled[place >> 3] >> (place & 7).astype(np.uint8) & 1
+            chosen = np.flatnonzero(hit.astype(bool) & (made != 0))
+            if size < LEAST_TOKENS and len(chosen):
+                line = np.concatenate([[-1], tokens.line, [-1]])
+                last = chosen + size - 1
+                whole = line[chosen + 1] == line[last + 1]
+                whole &= (line[chosen] != line[chosen + 1]) & (line[last + 2] != line[last + 1])
+                chosen = chosen[whole]
+            yield size, made, chosen
 
     return choose
 
@@ -298,26 +373,28 @@ def find_leaks(
     text_column: str = "text",
     item_column: str = "item_id",
     item_text_column: str = "text",
-    cut_clashes: bool = False,
-    all_readings: bool = False,
 ) -> DataFrame:
     """``doc_id, item_id, matched_tokens, item_tokens`` of documents that hold an item.
 
     Windows of ``WINDOW`` template tokens are joined by hash. All that a document shares with an
     item at one distance is an alignment; its slots must map one to one, and it must cover
-    ``COVERED_TOKENS`` of the item's tokens or ``COVERED_SHARE`` of them. The pair's best
-    alignment counts.
-
-    Windows of fewer than ``WINDOW_WORDS`` words say too little and are left out, so items of
-    fewer words are never found, unless ``all_readings`` asks for more: then texts also meet in
-    windows of equal tokens in lower case, however few words these have, and in templates that
-    take a capital which opens a sentence for a name's. Null and empty texts hold nothing. Rows with a null id are
-    reported with it; rows repeated with their id are one document. Empty tables give an empty
-    result; other columns are not looked at.
+    ``COVERED_TOKENS`` of the item's tokens or ``COVERED_SHARE`` of them. Where slots clash, the
+    part that is consistent counts, so one edited value hides no passage. The pair's best
+    alignment is reported.
+
+    Windows of fewer than ``WINDOW_WORDS`` words say too little as templates. So texts also meet
+    in windows of equal tokens in lower case, however few words these have, and in templates that
+    take a capital which opens a sentence for a name's. An item of fewer than ``WINDOW`` tokens
+    is one window, and one of fewer than ``LEAST_TOKENS`` is found only where a line of the
+    document holds nothing else.
+
+    Null and empty texts hold nothing. Very long ones are searched whole. Rows with a null id are
+    reported with it; rows repeated with their id are one document, repeated items one item.
+    Empty tables give an empty result; other columns are not looked at.
     """
     spark = docs.sparkSession
     wanted = stored(
-        _windows(_texts(items, item_column, item_text_column), _whole_or_windows, all_readings)
+        _windows(_texts(items, item_column, item_text_column), _of_items)
         .dropDuplicates(["key", "hash", "place"]),
         "item_windows",
     )
@@ -328,7 +405,7 @@ def find_leaks(
     set_bits = np.zeros(FILTER_BITS, dtype=bool)
     set_bits[places.toArrow()["bit"].to_numpy()] = True
     bits = spark.sparkContext.broadcast(np.packbits(set_bits, bitorder="little").tobytes())
-    met = _windows(_texts(docs, id_column, text_column), _passing(sizes, bits), all_readings)
+    met = _windows(_texts(docs, id_column, text_column), _passing(sizes, bits))
     met = met.select(
         F.col("key").alias("doc_id"), "hash", "size",
         F.col("place").alias("doc_place"), F.col("slots").alias("doc_slots"),
@@ -345,7 +422,7 @@ def find_leaks(
     ).agg(
         F.sort_array(F.collect_set("place")).alias("places"),
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
-        *([F.collect_set(F.struct("place", "pairs")).alias("windows")] if cut_clashes else []),
+        F.collect_set(F.struct("place", "pairs")).alias("windows"),
     )
     one_to_one = (
         F.size("pairs") == F.size(F.array_distinct(F.col("pairs.slots")))
@@ -358,11 +435,8 @@ def find_leaks(
     covered = F.aggregate(steps, F.col("size"), lambda total, step: total + step)
     enough = F.least(F.lit(COVERED_TOKENS), F.ceil(F.col("tokens") * COVERED_SHARE))
     aligned = aligned.withColumn("covered", covered)
-    if cut_clashes:
-        clashing = F.when(~one_to_one, F.col("windows"))
-        aligned = _cut_at_clashes(aligned.withColumn("windows", clashing))
-    else:
-        aligned = aligned.where(one_to_one)
+    clashing = F.when(~one_to_one, F.col("windows"))
+    aligned = _cut_at_clashes(aligned.withColumn("windows", clashing))
     return (
         aligned
         .where(F.col("covered") >= enough)
@@ -379,7 +453,6 @@ def drop_leaks(
     items: DataFrame,
     id_column: str = "doc_id",
     text_column: str = "text",
-    **settings,
 ) -> DataFrame:
     """The rows of ``docs`` that hold no item, as :func:`find_leaks` finds them.
 
@@ -390,5 +463,5 @@ def drop_leaks(
     keyed = docs.select(
         row_key(id_column, text_column).alias("key"), text_or_empty(text_column).alias("text")
     )
-    leaks = find_leaks(keyed, items, "key", "text", **settings)
+    leaks = find_leaks(keyed, items, "key", "text")
     return without_rows(docs, leaks.select("doc_id"), id_column, text_column)

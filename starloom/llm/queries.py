@@ -44,7 +44,7 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, items = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
-    return find_leaks(documents, items, cut_clashes=True, all_readings=True)
+    return find_leaks(documents, items)
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -256,7 +256,8 @@ def encode_texts(texts: list[bytes], bpe: WordBpe, known: Lexicon, merged: Memor
         starts, sizes = edges[:-1].astype(np.int64), np.diff(edges).astype(np.int64)
         found, counts, ids = known.look_up(data, starts, sizes)
         others = np.flatnonzero(~found)
-        unseen = [merged[word] for word in different.take(pa.array(others)).to_pylist()]
+        words_of = different.take(pa.array(others)).to_numpy(zero_copy_only=False)
+        unseen = [merged[word] for word in words_of]
         pool = np.concatenate([ids, np.frombuffer(b"".join(unseen), dtype="<u4")])
         places = np.zeros(len(different), dtype=np.int64)
         places[found] = np.cumsum(counts[found]) - counts[found]

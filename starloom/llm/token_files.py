@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import struct
 import zlib
 from array import array
@@ -37,7 +38,8 @@ _FOOTER = struct.Struct("<6Q")
 MAGIC = b"\xffS8B"
 
 _UNSAFE = re.compile(r"\s ")
-_TAIL = ".,;:!?"
+#: Marks that may close a word; an apostrophe may begin a piece together with letters.
+_TAIL = "".join(sorted(set(string.punctuation) - {"'"}))
 
 
 class _Letters(dict):
@@ -52,6 +54,13 @@ class _Letters(dict):
         self[code] = made = self._step.pre_tokenize_str(chr(code))[0][0]
         return made
 
+_LINES = re.compile(r"\S+(?:\n\S+)+")
+
+
+def _mapped(letters: str, table: _Letters) -> str:
+    """Letters as the model has them; ASCII ones are as they are."""
+    return letters if letters.isascii() else letters.translate(table)
+
 
 class TextEncoder:
     """Encodes texts with a tokenizer file, remembering the ids of words.
@@ -81,27 +90,45 @@ class TextEncoder:
         )
         self._special = [x.content for x in self._tokenizer.get_added_tokens_decoder().values()]
         self._letters = _Letters()
+        self._model, self._space = self._tokenizer.model, self._letters[ord(" ")]
         self._words = Memory(self._word, MEMO_ENTRIES)
         self._cores = Memory(self._core, MEMO_ENTRIES)
-        self._tails = Memory(self.whole, MEMO_ENTRIES)
+        self._lines = Memory(self._line, MEMO_ENTRIES // 2)
+        self._tails = Memory(self.whole, MEMO_ENTRIES // 2)
 
     def whole(self, text: str) -> bytes:
         ids = self._tokenizer.encode(text, add_special_tokens=False).ids
         return array("I", ids).tobytes()
 
+    def _piece(self, letters: str) -> bytes:
+        return array("I", [piece.id for piece in self._model.tokenize(letters)]).tobytes()
+
     def _core(self, letters: str) -> bytes:
         """A space and letters, which the tokenizer takes as one word."""
-        pieces = self._tokenizer.model.tokenize((" " + letters).translate(self._letters))
-        return array("I", [piece.id for piece in pieces]).tobytes()
+        return self._piece(self._space + _mapped(letters, self._letters))
+
+    def _line(self, word: str) -> bytes:
+        """What stands behind a line break."""
+        core = word.rstrip(_TAIL)
+        if not core.isalpha():
+            return self.whole(word)
+        return self._piece(_mapped(core, self._letters)) + self._tails[word[len(core) :]]
 
     def _word(self, word: str) -> bytes:
         """What stands behind a space, and the space."""
         core = word.rstrip(_TAIL)
-        if not core.isalpha():
-            return self.whole(" " + word)
-        if len(core) == len(word):
-            return self._cores[core]
-        return self._cores[core] + self._tails[word[len(core) :]]
+        if core.isalpha():
+            if len(core) == len(word):
+                return self._cores[core]
+            return self._cores[core] + self._tails[word[len(core) :]]
+        lines = word.split("\n")
+        if len(lines) > 1 and _LINES.fullmatch(word):
+            # A single line break is a piece of its own.
+            made = [self._words[lines[0]]]
+            for line in lines[1:]:
+                made += (self._tails["\n"], self._lines[line])
+            return b"".join(made)
+        return self.whole(" " + word)
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian 32-bit integers."""

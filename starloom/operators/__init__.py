@@ -5,6 +5,7 @@ from starloom.operators.keys import (
     add_row_number,
     check_new_keys,
     check_primary_key,
+    grow_keys,
     keep_first,
     key_violations,
 )
@@ -33,6 +34,7 @@ __all__ = [
     "date_span",
     "drop_columns",
     "first_rows",
+    "grow_keys",
     "ingestion_summary",
     "insert_first",
     "keep_first",

@@ -128,6 +128,34 @@ def add_row_number(
     )
 
 
+def grow_keys(
+    df: DataFrame, existing: DataFrame | None, key: str, natural: str | Sequence[str]
+) -> DataFrame:
+    """All members of a dimension: those of ``df`` and those that ``existing`` alone has.
+
+    ``existing`` has the members so far, with their numbers in column ``key``. A member that is
+    known by its ``natural`` key keeps its number and takes the values of ``df``; new ones get
+    the numbers above the highest so far, without gaps, in the order of their natural keys; one
+    that ``df`` no longer has stays as it was, as facts may refer to it. Nothing is renumbered.
+    A natural key that is null or repeated in ``df`` is an error. Columns are matched by name.
+    """
+    names = _names(natural)
+    check_primary_key(df, names)
+    if existing is None:
+        return add_row_number(df, key, names, unique_order=True)
+    columns = [key, *df.columns]
+    if sorted(existing.columns) != sorted(columns):
+        raise ValueError(f"columns {sorted(existing.columns)} are not {sorted(columns)}")
+    on = [quoted(name) for name in names]
+    highest = existing.agg(F.max(column(key))).first()[0] or 0
+    numbered = existing.select(quoted(key), *on)
+    known = df.join(numbered, names).select(*map(quoted, columns))
+    fresh = df.join(numbered.select(*on), names, "left_anti")
+    fresh = add_row_number(fresh, key, names, start=highest + 1, unique_order=True)
+    gone = existing.join(df.select(*on), names, "left_anti").select(*map(quoted, columns))
+    return known.unionByName(fresh).unionByName(gone)
+
+
 def add_date_key(
     df: DataFrame,
     name: str = "date_key",
@@ -184,10 +212,43 @@ def check_primary_key(df: DataFrame, key: str | Sequence[str]) -> None:
         raise KeyViolation(f"null or repeated keys, e.g. {[tuple(row) for row in found]}")
 
 
+#: So many new keys are listed to the scan, as many as Spark by default hands on one by one.
+LISTED_KEYS = 10
+
+
+def _may_hold(existing: DataFrame, df: DataFrame, names: list) -> DataFrame:
+    """``existing`` without rows whose key lies outside the range of the new ones.
+
+    The condition reaches the scan, where it is compared with the ranges that files keep of their
+    columns, and a list of few keys with their Bloom filters, so files and row groups that hold
+    none of the keys are not read.
+    """
+    simple = (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    for name in names:
+        kinds = {type(frame.select(column(name)).schema[0].dataType) for frame in (existing, df)}
+        if len(kinds) != 1 or not issubclass(kinds.pop(), simple):
+            continue
+        least, most = df.agg(F.min(column(name)), F.max(column(name))).first()
+        if least is None or least != least or most != most:
+            continue
+        existing = existing.where(column(name).between(F.lit(least), F.lit(most)))
+    if len(names) == 1:
+        listed = df.select(column(names[0]).alias("key")).limit(LISTED_KEYS + 1).collect()
+        if len(listed) <= LISTED_KEYS and all(row.key is not None for row in listed):
+            existing = existing.where(column(names[0]).isin([row.key for row in listed]))
+    return existing
+
+
 def check_new_keys(df: DataFrame, existing: DataFrame, key: str | Sequence[str]) -> None:
-    """Raise :class:`KeyViolation` if a key of ``df`` is in ``existing`` already."""
-    keys = [column(k).alias(f"key_{place}") for place, k in enumerate(_names(key))]
-    names = [f"key_{place}" for place in range(len(keys))]
-    found = existing.select(*keys).join(df.select(*keys), names, "left_semi").take(5)
+    """Raise :class:`KeyViolation` if a key of ``df`` is in ``existing`` already.
+
+    Only what may hold a key of ``df`` is read: see :func:`starloom.sinks.write_by_key` for files
+    whose ranges do not overlap. ``df`` is read twice more, its key columns only.
+    """
+    names = _names(key)
+    keys = [column(k).alias(f"key_{place}") for place, k in enumerate(names)]
+    aliases = [f"key_{place}" for place in range(len(keys))]
+    held = _may_hold(existing, df, names).select(*keys)
+    found = held.join(df.select(*keys), aliases, "left_semi").take(5)
     if found:
         raise KeyViolation(f"keys present already, e.g. {[tuple(row) for row in found]}")

@@ -110,6 +110,16 @@ ORACLE_SQL: dict[str, str] = {
     "dim_users": f"""
         select row_number() over (order by custkey) as user_key, * from ({_USERS})
     """,
+    "dim_users_grown": f"""
+        with first as (
+            select row_number() over (order by custkey) as user_key, *
+            from ({_USERS}) where c_acctbal < 0
+        )
+        select * from first
+        union all
+        select (select count(*) from first) + row_number() over (order by custkey), *
+        from ({_USERS}) where not coalesce(c_acctbal < 0, false)
+    """,
     "dim_products": """
         select row_number() over (order by p_partkey) as product_key,
                p_partkey, p_name, p_brand, p_size, p_retailprice
@@ -194,6 +204,10 @@ ORACLE_SQL: dict[str, str] = {
     "json_array": "select doc_id, text, lang, source, n_chars from documents",
     "json_array_split": "select doc_id, text, lang, source, n_chars from documents",
     "json_split": "select * from part",
+    "json_split_indexed": f"""
+        select row_number() over (order by o_orderdate, o_orderkey) - 1 as place, *
+        from ({_ORDERS})
+    """,
     "json_split_nested": """
         select *, p_brand as detail_brand, p_size as detail_size,
                p_type as first_word, p_name as second_word
@@ -216,6 +230,13 @@ ORACLE_SQL: dict[str, str] = {
         union all
         select *, c_name as _id from ({_USERS})
     """,
+    "appended_once": f"""
+        select *, case when coalesce(c_acctbal < 0, false) then 'first' else 'second' end
+                      as load_token, 'table' as kept_in
+        from ({_USERS})
+        union all
+        select *, '-', 'store' from ({_USERS})
+    """,
     "matching_documents": f"select * from ({_USERS}) where c_mktsegment = 'BUILDING'",
     "updated_table": _USERS,
     "foreign_table": "select * from lineitem",
@@ -225,6 +246,19 @@ ORACLE_SQL: dict[str, str] = {
         with {_EVENTS}
         select event_name, count(event_name) as customer_count from silver group by 1
     """,
+    "events_quarantine": f"""
+        with {_EVENTS}
+        select *, null::varchar as text from bronze
+        union all by name
+        select '{{"device": "none", "event_name": "' || event_id as text
+        from events where event_id % 10 = 0
+    """,
+    "cleaned_up": f"""
+        with {_EVENTS}
+        select count(event_name) as counted, 4::int as views, 2::int as tables,
+               0::int as views_left, 0::int as databases_left, 0::int as running
+        from silver
+    """,
     "gold_null_group": """
         select nullif(event_type, 'error') as event_name,
                count(nullif(event_type, 'error')) as customer_count

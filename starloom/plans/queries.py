@@ -18,6 +18,7 @@ from starloom.operators import (
     date_span,
     drop_columns,
     first_rows,
+    grow_keys,
     ingestion_summary,
     insert_first,
     keep_first,
@@ -29,6 +30,7 @@ from starloom.plans import mart, stand_ins
 from starloom.plans.stand_ins import table
 from starloom.scratch import scratch_path
 from starloom.sinks import (
+    append_once,
     convert,
     create_database,
     csv_to_json,
@@ -56,14 +58,19 @@ from starloom.streaming import (
     Layout,
     append_to_files,
     bronze_view,
+    clean_up,
     create_layout,
     finish,
     gold_view,
     join_reference_data,
+    read_accepted,
+    read_quarantined,
     silver_view,
     start_bronze,
     start_gold,
     start_silver,
+    start_with_quarantine,
+    stream_checked_lines,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -146,6 +153,17 @@ def dim_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def dim_users_grown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Indebted users are members first; with the others the dimension grows, numbers stay."""
+    users = stand_ins.users(spark, sf_dir)
+    in_debt = F.coalesce(F.col("c_acctbal") < 0, F.lit(False))
+    name = f"{_database(spark)}.dim_users"
+    first = grow_keys(users.where(in_debt), None, "user_key", "custkey")
+    load_table(first, name, "user_key", sort_by_key=True)
+    load_table(grow_keys(users, spark.table(name), "user_key", "custkey"), name, "user_key")
+    return spark.table(name)
+
+
 def dim_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mart.dimension(
         stand_ins.products(spark, sf_dir),
@@ -343,6 +361,13 @@ def json_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_json_split(spark, path, PRODUCT_FIELDS)
 
 
+def json_split_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by date and number, each with its position among all of them."""
+    path = scratch_path(spark, "json")
+    write_json_split(stand_ins.orders(spark, sf_dir), path, order_by=["o_orderdate", "o_orderkey"])
+    return read_json_split(spark, path, ORDER_FIELDS, position="place")
+
+
 def json_split_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A struct and an array among the cells."""
     path = scratch_path(spark, "json")
@@ -421,6 +446,20 @@ def appended_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def appended_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two uploads to a table and to a collection, each repeated; all rows are there once."""
+    rows = stand_ins.users(spark, sf_dir)
+    in_debt = F.coalesce(F.col("c_acctbal") < 0, F.lit(False))
+    table_name, store = f"{_database(spark)}.users", scratch_path(spark, "store")
+    for token, part in (("first", rows.where(in_debt)), ("second", rows.where(~in_debt))) * 2:
+        append_once(part, table_name, "custkey", token)
+        append_documents(part, store, "users", token=token)
+    loaded = spark.table(table_name).withColumn("kept_in", F.lit("table"))
+    documents = read_collection(spark, store, "users", schema=USER_FIELDS)
+    documents = documents.withColumn("load_token", F.lit("-")).withColumn("kept_in", F.lit("store"))
+    return loaded.unionByName(documents)
+
+
 def matching_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = scratch_path(spark, "store")
     append_documents(stand_ins.users(spark, sf_dir), store, "users")
@@ -499,6 +538,44 @@ def events_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, layout.gold_table)
 
 
+def events_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A line in eleven breaks off. The stream is started twice; every line is kept once."""
+    source = scratch_path(spark, "events")
+    lines = stand_ins.events(spark, sf_dir).select(
+        F.to_json(F.struct("*")).alias("value"), F.col("ecommerce.order").alias("number")
+    )
+    broken = lines.where(F.col("number") % 10 == 0).select(
+        F.format_string('{"device": "none", "event_name": "%d', "number").alias("value")
+    )
+    lines.select("value").unionByName(broken).write.text(source)
+    path, checkpoint = scratch_path(spark, "checked"), scratch_path(spark, "checkpoint")
+    for _ in range(2):
+        checked = stream_checked_lines(spark, source, max_files_per_trigger=FILES_PER_TRIGGER)
+        finish(start_with_quarantine(checked, path, checkpoint, available_now=True))
+    kept = read_accepted(spark, path).withColumn("text", F.lit(None).cast("string"))
+    return kept.unionByName(
+        read_quarantined(spark, path).select("text"), allowMissingColumns=True
+    )
+
+
+def cleaned_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What all stages held, and what is left of them after the clean-up."""
+    layout = _layout(spark)
+    _silver(spark, _event_files(spark, sf_dir), layout)
+    finish(start_gold(gold_view(spark, layout), layout, available_now=True))
+    gold = spark.table(layout.gold_table).agg(F.sum("customer_count")).first()[0]
+    views = [t.name for t in spark.catalog.listTables() if t.name.startswith(layout.prefix)]
+    before = (gold, len(views), len(spark.catalog.listTables(layout.database)) - len(views))
+    clean_up(spark, layout)
+    left = [t.name for t in spark.catalog.listTables() if t.name.startswith(layout.prefix)]
+    running = sum(query.isActive for query in layout.queries)
+    exists = spark.catalog.databaseExists(layout.database)
+    return spark.createDataFrame(
+        [(*before, len(left), int(exists), running)],
+        "counted bigint, views int, tables int, views_left int, databases_left int, running int",
+    )
+
+
 def gold_null_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Errors lose their name; their group counts 0."""
     name = F.nullif(F.col("event_type"), F.lit("error")).alias("event_name")
@@ -527,6 +604,7 @@ QUERIES: dict[str, Query] = {
         dim_date_extend,
         dim_date_first_20,
         dim_users,
+        dim_users_grown,
         dim_products,
         fact_orders_joined,
         fact_orders,
@@ -550,17 +628,21 @@ QUERIES: dict[str, Query] = {
         json_array,
         json_array_split,
         json_split,
+        json_split_indexed,
         json_split_nested,
         converted_orders,
         converted_events,
         replaced_documents,
         appended_documents,
+        appended_once,
         matching_documents,
         updated_table,
         foreign_table,
         events_bronze,
         events_silver,
         events_gold,
+        events_quarantine,
+        cleaned_up,
         gold_null_group,
         stream_static_join,
     ]

@@ -13,6 +13,7 @@ from starloom.sinks.tables import (
     load_table,
     primary_key_statement,
     recreate_table,
+    write_by_key,
 )
 from starloom.sinks.versions import restore
 
@@ -29,6 +30,7 @@ __all__ = [
     "recreate_table",
     "restore",
     "write_any",
+    "write_by_key",
     "write_csv",
     "write_json_array",
     "write_json_lines",

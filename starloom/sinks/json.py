@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.operators.keys import add_row_number
 from starloom.sources.csv import read_csv_text
 
 # File name extensions and the codecs they stand for.
@@ -65,23 +68,40 @@ def write_json_array(
     """
 
     # Defined here so that it travels to executors that lack this package.
-    def arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[str] = []
-        size, written = 0, False
+    def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Array] = []
+        rows = size = 0
+        written = False
+
+        def array() -> pa.RecordBatch:
+            records = pa.concat_arrays([pa.array([], pa.string()), *held])
+            whole = pa.ListArray.from_arrays(pa.array([0, len(records)], pa.int32()), records)
+            text = pc.binary_join(whole, ",\n")[0].as_py()
+            return pa.RecordBatch.from_arrays([pa.array([f"[{text}]"])], ["value"])
+
         for batch in batches:
-            for record in batch["value"]:
-                length = len(record.encode()) + 2
-                if held and (len(held) == rows_per_file or size + length > bytes_per_file):
-                    yield pd.DataFrame({"value": ["[" + ",\n".join(held) + "]"]})
-                    held, size, written = [], 0, True
-                held.append(record)
-                size += length
-        if held or not written:
-            yield pd.DataFrame({"value": ["[" + ",\n".join(held) + "]"]})
+            records = batch.column(0)
+            # The bytes up to each record, with what stands between two.
+            ends = np.cumsum(pc.binary_length(records).to_numpy() + 2, dtype=np.int64)
+            start = 0
+            while start < len(records):
+                before = int(ends[start - 1]) if start else 0
+                fitting = int(np.searchsorted(ends, before + bytes_per_file - size, "right"))
+                end = min(start + rows_per_file - rows, fitting)
+                if end <= start and not rows:
+                    end = start + 1  # One that is longer than a file should be.
+                if end > start:
+                    held.append(records.slice(start, end - start))
+                    rows, size, start = rows + end - start, size + int(ends[end - 1]) - before, end
+                if start < len(records):
+                    yield array()
+                    held, rows, size, written = [], 0, 0, True
+        if rows or not written:
+            yield array()
 
     records = df.select(_record(df, pretty).alias("value"))
     (
-        records.mapInPandas(arrays, "value string")
+        records.mapInArrow(arrays, "value string")
         .write.mode(mode)
         .option("maxRecordsPerFile", 1)  # A record is a whole array here.
         .option("compression", codec_for(path, compression))
@@ -106,35 +126,54 @@ def write_json_split(
     compression: str = "infer",
     rows_per_document: int = 1000,
     mode: str = "errorifexists",
+    order_by: str | Sequence[str | Column] | None = None,
 ) -> None:
     """Documents of column names, row positions and rows of values, one per line.
 
-    A document holds at most ``rows_per_document`` rows, so that none outgrows
-    memory and the files stay splittable; positions count within a document.
+    A document holds at most ``rows_per_document`` rows, so that none outgrows memory and the
+    files stay splittable. With ``order_by`` positions count all rows from 0 in that order, over
+    all documents, and a document holds rows that follow each other; without, they count within
+    a document.
     """
     columns = json.dumps(df.columns)
-
-    def documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def document(rows: list[str]) -> str:
-            index = list(range(len(rows)))
-            return f'{{"columns":{columns},"index":{index},"data":[{",".join(rows)}]}}'
-
-        held: list[str] = []
+    cells = _cells(df).alias("value")
+    if order_by is None:
+        rows = df.select(cells, F.lit(None).cast("long").alias("position"))
+    else:
+        name = "position"
+        while name in df.columns:
+            name += "_"
+        numbered = add_row_number(df, name, order_by, start=0)
+        rows = numbered.select(cells, F.col(name).alias("position"))
+
+    def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made(values: pa.Array, positions: pa.Array) -> pa.RecordBatch:
+            sizes = [min(rows_per_document, len(values) - i) for i in range(0, len(values), rows_per_document)]
+            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), pa.int32())
+            if positions.null_count:
+                positions = pa.array(np.concatenate([np.arange(n) for n in sizes]), pa.int64())
+            texts = [
+                pc.binary_join(pa.ListArray.from_arrays(offsets, part), ",")
+                for part in (positions.cast(pa.string()), values)
+            ]
+            parts = [f'{{"columns":{columns},"index":[', texts[0], '],"data":[', texts[1], "]}", ""]
+            return pa.RecordBatch.from_arrays([pc.binary_join_element_wise(*parts)], ["value"])
+
+        held: list[tuple[pa.Array, pa.Array]] = []
+        rows = 0
         for batch in batches:
-            held += batch["value"].tolist()
-            full = len(held) - len(held) % rows_per_document
-            starts = range(0, full, rows_per_document)
-            yield pd.DataFrame(
-                {"value": [document(held[i : i + rows_per_document]) for i in starts]},
-                dtype="object",
-            )
-            held = held[full:]
-        if held:
-            yield pd.DataFrame({"value": [document(held)]})
+            held.append((batch["value"], batch["position"]))
+            rows += batch.num_rows
+            if rows >= rows_per_document:
+                values, positions = (pa.concat_arrays(x) for x in zip(*held))
+                full = rows - rows % rows_per_document
+                yield made(values.slice(0, full), positions.slice(0, full))
+                held, rows = [(values.slice(full), positions.slice(full))], rows - full
+        if rows:
+            yield made(*(pa.concat_arrays(x) for x in zip(*held)))
 
     (
-        df.select(_cells(df).alias("value"))
-        .mapInPandas(documents, "value string")
+        rows.mapInArrow(documents, "value string")
         .write.mode(mode)
         .option("compression", codec_for(path, compression))
         .text(path)

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from starloom.names import quoted
+from starloom.names import column, quoted
 from starloom.operators.keys import check_new_keys, check_primary_key
 from starloom.scratch import drop_folder, scratch_path
 from starloom.sinks.versions import (
@@ -67,18 +67,36 @@ def _publish(spark, table, folder, schema, format, base, before) -> None:
     drop_replaced(spark, table, before, base)
 
 
+def write_by_key(df: DataFrame, key: str | Sequence[str], format: str = "parquet"):
+    """A writer of files that are sorted by key and whose ranges of it do not overlap.
+
+    Parquet files get Bloom filters of the key columns too. Checks of new keys, and joins on few
+    keys, then read only the files that may hold them.
+    """
+    names = [key] if isinstance(key, str) else list(key)
+    columns = [column(name) for name in names]
+    writer = df.repartitionByRange(*columns).sortWithinPartitions(*columns).write.format(format)
+    if format == "parquet":
+        for name in names:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{name}", True)
+    return writer
+
+
 def load_table(
     df: DataFrame,
     table: str,
     key: str | Sequence[str],
     operation: str = "insert",
     format: str = "parquet",
+    sort_by_key: bool = False,
 ) -> None:
     """Replace (``insert``) or extend (``update``) a table with rows of unique key.
 
     The rows are computed once, into a folder of their own. Their keys are checked there, reading
     the key columns only, and these very rows are published: a table is pointed to the folder in
     one statement, or gets the rows in one append. Until then it stays as it was, whatever fails.
+    ``sort_by_key`` writes them as :func:`write_by_key` does, which costs a shuffle and saves
+    reading the whole table at later updates.
     """
     spark = df.sparkSession
     if operation not in ("insert", "update"):
@@ -86,19 +104,31 @@ def load_table(
     restore(spark, table)
     base, before = versions_base(spark, table), location(spark, table)
     appended = operation == "update" and before is not None
-    folder = scratch_path(spark, "load") if appended else new_version(base)
+    folder = new_version(base)
+    # Ranges are sampled before rows are written, so what is sorted has to be computed before.
+    aside = appended or sort_by_key
+    staged = scratch_path(spark, "load") if aside else folder
+
+    def writer(rows: DataFrame):
+        return write_by_key(rows, key, format) if sort_by_key else rows.write.format(format)
+
     try:
-        df.write.format(format).save(folder)
-        rows = spark.read.format(format).schema(df.schema).load(folder)
+        df.write.format(format).save(staged)
+        rows = spark.read.format(format).schema(df.schema).load(staged)
         check_primary_key(rows, key)
         if appended:
             check_new_keys(rows, spark.table(table), key)
-            rows.write.format(format).mode("append").saveAsTable(table)
-            drop_folder(spark, folder)
-            return
+            writer(rows).mode("append").saveAsTable(table)
+        elif aside:
+            writer(rows).save(folder)
     except Exception:
         drop_folder(spark, folder)
         raise
+    finally:
+        if aside:
+            drop_folder(spark, staged)
+    if appended:
+        return
     _publish(spark, table, folder, rows.schema, format, base, before)
 
 

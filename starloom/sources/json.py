@@ -116,17 +116,37 @@ def _bytes_of(size: str) -> int:
     return int(digits) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
 
 
-def read_json_split(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+def read_json_split(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str,
+    position: str | None = None,
+) -> DataFrame:
     """Documents of the form ``{"columns": [...], "data": [[...], ...]}``, one per line.
 
     Each column's position is looked up once per document. Cells are cast to ``schema``, nested
-    ones parsed. A column that a document lacks is null; a broken document fails.
+    ones parsed. A column that a document lacks is null; a broken document fails. ``position``
+    names a column, put in front, for the rows' positions in ``index``; a document with more or
+    fewer positions than rows fails then. Rows of a document keep their order.
     """
     target = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if position in target.names:
+        raise ValueError(f"column exists already: {position}")
     layout = "columns array<string>, data array<array<string>>"
+    if position:
+        layout += ", index array<bigint>"
     documents = spark.read.schema(layout).option("mode", "FAILFAST").json(path)
     places = F.array(*[F.array_position("columns", F.lit(f.name)) for f in target.fields])
-    rows = documents.select(places.alias("places"), F.explode("data").alias("cells"))
+    if position:
+        told = F.lit("a document has more or fewer positions than rows")
+        positions = F.when(F.size("index") == F.size("data"), F.col("index")).otherwise(
+            F.raise_error(told).cast("array<bigint>")
+        )
+        paired = documents.select(places.alias("places"), positions.alias("index"), "data")
+        rows = paired.select("places", F.explode(F.arrays_zip("index", "data")).alias("row"))
+        rows = rows.select("places", "row.index", F.col("row.data").alias("cells"))
+    else:
+        rows = documents.select(places.alias("places"), F.explode("data").alias("cells"))
 
     def value(place: int, field: T.StructField) -> Column:
         at = F.col("places")[place]
@@ -135,7 +155,8 @@ def read_json_split(spark: SparkSession, path: str, schema: T.StructType | str)
             return F.from_json(cell, field.dataType, {"mode": "FAILFAST"}).alias(field.name)
         return cell.cast(field.dataType).alias(field.name)
 
-    return rows.select(*[value(place, field) for place, field in enumerate(target.fields)])
+    first = [F.col("index").alias(position)] if position else []
+    return rows.select(*first, *[value(place, field) for place, field in enumerate(target.fields)])
 
 
 def stream_json_lines(

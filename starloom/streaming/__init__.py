@@ -10,6 +10,12 @@ from starloom.streaming.medallion import (
     start_gold,
     start_silver,
 )
+from starloom.streaming.quarantine import (
+    read_accepted,
+    read_quarantined,
+    start_with_quarantine,
+    stream_checked_lines,
+)
 from starloom.streaming.sinks import (
     append_to_files,
     append_to_table,
@@ -31,11 +37,15 @@ __all__ = [
     "finish",
     "gold_view",
     "join_reference_data",
+    "read_accepted",
+    "read_quarantined",
     "replace_table",
     "silver_view",
     "start_bronze",
     "start_gold",
     "start_silver",
+    "start_with_quarantine",
     "stop_all",
+    "stream_checked_lines",
     "wait_until_ready",
 ]

@@ -23,6 +23,13 @@ from starloom.streaming.sinks import (
     replace_table,
 )
 
+# The names of the views and of the gold table.
+BRONZE_VIEW = "bronze_temp"
+ENHANCED_VIEW = "bronze_enhanced_temp"
+SILVER_VIEW = "silver_temp"
+COUNTS_VIEW = "customer_count_by_event_name_temp"
+GOLD_TABLE = "gold_customer_count_by_event_name"
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -56,7 +63,7 @@ class Layout:
 
     @property
     def gold_table(self) -> str:
-        return f"{self.database}.gold_customer_count_by_event_name"
+        return f"{self.database}.{GOLD_TABLE}"
 
     def checkpoint(self, stage: str) -> str:
         return f"{self.location}/checkpoints/{stage}"
@@ -72,9 +79,11 @@ def create_layout(spark: SparkSession, database: str, location: str, prefix: str
 
 
 def clean_up(spark: SparkSession, layout: Layout) -> None:
-    """Stop the pipeline's streams and remove its tables, files and checkpoints."""
+    """Stop the pipeline's streams and remove its views, tables, files and checkpoints."""
     for query in layout.queries:
         query.stop()
+    for name in (COUNTS_VIEW, SILVER_VIEW, ENHANCED_VIEW, BRONZE_VIEW):
+        spark.catalog.dropTempView(layout.view(name))
     drop_database(spark, layout.database)
 
 
@@ -87,7 +96,7 @@ def bronze_view(
     """The events as they arrive, exposed as the view ``bronze_temp``."""
     events = stream_json_lines(spark, source, max_files_per_trigger=max_files_per_trigger)
     bronze = drop_columns(events, ["_corrupt_record"], strict=False)
-    bronze.createOrReplaceTempView(layout.view("bronze_temp"))
+    bronze.createOrReplaceTempView(layout.view(BRONZE_VIEW))
     return bronze
 
 
@@ -108,9 +117,9 @@ def start_bronze(
 
 def silver_view(spark: SparkSession, layout: Layout) -> DataFrame:
     """Events with a previous event, plus audit columns, as ``bronze_enhanced_temp``."""
-    bronze = spark.table(layout.view("bronze_temp"))
+    bronze = spark.table(layout.view(BRONZE_VIEW))
     silver = with_audit_columns(bronze.where(F.col("event_previous_timestamp") > 0))
-    silver.createOrReplaceTempView(layout.view("bronze_enhanced_temp"))
+    silver.createOrReplaceTempView(layout.view(ENHANCED_VIEW))
     return silver
 
 
@@ -135,9 +144,9 @@ def start_silver(
 def gold_view(spark: SparkSession, layout: Layout) -> DataFrame:
     """Number of silver events per name, as ``customer_count_by_event_name_temp``."""
     silver = stream_table(spark, layout.silver_table)
-    silver.createOrReplaceTempView(layout.view("silver_temp"))
-    gold = count_by(spark.table(layout.view("silver_temp")), "event_name", "customer_count")
-    gold.createOrReplaceTempView(layout.view("customer_count_by_event_name_temp"))
+    silver.createOrReplaceTempView(layout.view(SILVER_VIEW))
+    gold = count_by(spark.table(layout.view(SILVER_VIEW)), "event_name", "customer_count")
+    gold.createOrReplaceTempView(layout.view(COUNTS_VIEW))
     return gold
 
 

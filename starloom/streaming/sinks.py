@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -39,9 +40,12 @@ def append_to_files(
     interval: str | None = DEFAULT_INTERVAL,
     available_now: bool = False,
     format: str = "parquet",
+    partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
     """Add new rows to the files of a directory, each exactly once per checkpoint."""
     writer = _writer(stream, checkpoint, "append", name, interval, available_now)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     return writer.format(format).start(path)
 
 

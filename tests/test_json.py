@@ -238,3 +238,45 @@ def test_array_files_are_bounded_in_bytes(spark, tmp_path):
 def test_archives_are_refused(spark, tmp_path, name):
     with pytest.raises(ValueError, match="no codec"):
         write_json_lines(spark.range(1), str(tmp_path / name))
+
+
+def test_positions_of_all_rows(spark, tmp_path):
+    """Positions count over all documents, as a data frame's own export has them."""
+    source, path = rows(spark, n=53, partitions=4), str(tmp_path / "split")
+    write_json_split(source, path, rows_per_document=5, order_by=[F.desc("k")])
+    documents = [json.loads(line) for text in part_texts(path) for line in text.splitlines()]
+    assert sorted(i for document in documents for i in document["index"]) == list(range(53))
+    assert all(document["index"] == sorted(document["index"]) for document in documents)
+    assert max(len(document["data"]) for document in documents) == 5
+    found = read_json_split(spark, path, FIELDS, position="place")
+    assert found.columns[0] == "place"
+    assert {r.place: r.k for r in found.collect()} == {i: 52 - i for i in range(53)}
+    assert content(found.drop("place")) == content(source)
+
+
+def test_positions_that_do_not_fit(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"columns": ["k"], "index": [0], "data": [[1], [2]]}\n')
+    assert read_json_split(spark, str(tmp_path), "k int").count() == 2
+    with pytest.raises(Exception, match="more or fewer positions"):
+        read_json_split(spark, str(tmp_path), "k int", position="i").collect()
+    with pytest.raises(ValueError, match="exists already"):
+        read_json_split(spark, str(tmp_path), "k int", position="k")
+
+
+def test_a_column_named_position(spark, tmp_path):
+    df = spark.createDataFrame([(2, "x"), (1, "y")], "position int, `b.c` string")
+    write_json_split(df, str(tmp_path / "a"), order_by="position")
+    found = read_json_split(spark, str(tmp_path / "a"), df.schema, position="n").collect()
+    assert sorted(map(tuple, found)) == [(0, 1, "y"), (1, 2, "x")]
+
+
+@pytest.mark.parametrize("bytes_per_file", [1, 50, 120, 10_000])
+def test_arrays_of_bounded_bytes(spark, tmp_path, bytes_per_file):
+    df = spark.range(0, 40, 1, 2).select(F.repeat(F.lit("é"), (F.col("id") % 13).cast("int")).alias("t"))
+    path = str(tmp_path / "array")
+    write_json_array(df, path, pretty=False, rows_per_file=7, bytes_per_file=bytes_per_file)
+    texts = part_texts(path)
+    arrays = [json.loads(text) for text in texts]
+    assert sum(map(len, arrays)) == 40 and all(1 <= len(array) <= 7 for array in arrays)
+    for text, array in zip(texts, arrays):
+        assert len(array) == 1 or len(text.encode()) <= bytes_per_file + 4

@@ -61,6 +61,63 @@ def test_risk_stays_non_negative():
     assert np.isfinite(weights).all() and np.isfinite(bias)
 
 
+def plain_risk(weights, bias, positive, unlabelled, prior):
+    def loss(rows, sign):
+        return np.mean([1 / (1 + np.exp(sign * (row @ weights + bias))) for row in rows])
+
+    rest = loss(unlabelled, -1) - prior * loss(positive, -1)
+    return prior * loss(positive, 1) + max(rest, 0.0)
+
+
+def test_steps_lower_the_plain_risk(monkeypatch):
+    draw = np.random.default_rng(3)
+    positive = (draw.random((80, 12)) < np.linspace(0.8, 0.1, 12)).astype(np.float32)
+    unlabelled = (draw.random((900, 12)) < 0.2).astype(np.float32)
+    found = [fit_non_negative(positive, unlabelled, 0.1, steps=n) for n in (1, 30, 800)]
+    risks = [plain_risk(w, b, positive, unlabelled, 0.1) for w, b in found]
+    assert risks[2] < risks[1] < risks[0] + 1e-9
+    # Rows that are packed, and counted instead of repeated, have the same risk.
+    rows, counts = np.unique(unlabelled, axis=0, return_counts=True)
+    packed = np.packbits(rows.astype(bool), axis=1, bitorder="little")
+    again = fit_non_negative(positive, packed, 0.1, counts, steps=800)
+    assert np.allclose(again[0], found[2][0], atol=0.05) and abs(again[1] - found[2][1]) < 0.05
+    # Chunks take turns, and every one has its turn.
+    monkeypatch.setattr(toxicity, "CHUNK", 100)
+    weights, bias = fit_non_negative(positive, unlabelled, 0.1, steps=800)
+    assert plain_risk(weights, bias, positive, unlabelled, 0.1) < risks[1] + 0.01
+
+
+def test_words_are_counted_over_all_texts(spark):
+    """A toxic word that few of very many texts have is chosen, and long texts cost no more."""
+    rows = [(i, f"common words of text {i % 50} " + ("slurword" if i % 500 == 0 else "")) for i in range(20_000)]
+    labels = [(i, 1, int(i % 500 == 0)) for i in range(0, 20_000, 50)]
+    df = documents(spark, rows).repartition(5)
+    model = fit_toxicity(df, spark.createDataFrame(labels, LABELS))
+    assert set(word_buckets("slurword")) <= set(model.buckets.tolist())
+    assert model.score("a slurword") > 0.5 > model.score("common words")
+    confirmed = spark.createDataFrame([(0,)], "doc_id bigint")
+    counts = toxicity._count_words(df, confirmed)
+    plain = np.zeros(toxicity.BUCKETS, dtype=int)
+    for _, text in rows:
+        plain[word_buckets(text)] += 1
+    assert (counts[False][:-1] == plain).all() and counts[False][-1] == len(rows)
+    assert counts[True][-1] == 1 and set(np.flatnonzero(counts[True][:-1])) == set(word_buckets(rows[0][1]))
+    long = documents(spark, [(i, " ".join(f"w{i}x{j}" for j in range(300_000))) for i in range(2)])
+    held = toxicity._count_words(long, confirmed)
+    assert sum(x.nbytes for x in held.values()) <= 16 * (toxicity.BUCKETS + 1)
+
+
+def test_patterns_score_as_texts_do(spark):
+    texts, labels = made(300)
+    df, marks = documents(spark, texts), spark.createDataFrame(labels, LABELS)
+    fold = df.where(~toxicity.held_out("doc_id"))
+    known = marks.where(~toxicity.held_out("doc_id"))
+    by_text = score_toxicity(df, fit_toxicity(fold, known)).collect()
+    by_pattern = {r.doc_id: r for r in classify_toxicity(df, marks).collect()}
+    agree = [by_pattern[r.doc_id].predicted == r.predicted for r in by_text]
+    assert sum(agree) >= 0.99 * len(agree)
+
+
 def test_classifier_on_held_out_rows(spark):
     texts, labels = made()
     df = documents(spark, texts).withColumn("score", F.lit("x")).withColumn("toxic", F.lit(7))

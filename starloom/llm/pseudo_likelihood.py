@@ -5,10 +5,15 @@ documents are counted for its vocabulary, and it is trained on all documents: ev
 steps over its own documents, masking one position in ``MASKED``, and the tasks' networks are
 averaged by the number of positions they saw, in ``ROUNDS`` rounds. A document's score is the sum
 of the log-probabilities of all its tokens.
+
+The network knows the most frequent tokens one by one and all others by their endings. A token of
+an ending has its share of it, by the counts of all documents, so that every token has a
+probability of its own and those of all tokens sum to one.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -16,6 +21,7 @@ from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +43,11 @@ VOCABULARY = CLASSES * IN_CLASS
 ENDINGS = 256
 WORDS = VOCABULARY - ENDINGS
 ENDING_CHARS = 3
+#: Counts of the tokens outside the vocabulary are kept in at most so many cells, four bytes each;
+#: tokens that share a cell share the mean of their counts.
+CELLS = 1 << 22
+#: Counts as so often if no document has it.
+UNSEEN = 0.5
 #: Stands beyond both ends of a document.
 EDGE = VOCABULARY
 
@@ -255,23 +266,38 @@ def count_tokens(texts: DataFrame) -> DataFrame:
     return rows.groupBy("token").agg(F.sum("count").alias("count"))
 
 
+def ending_of(token: str) -> int:
+    return zlib.crc32(token[-ENDING_CHARS:].encode()) % ENDINGS
+
+
 @dataclass
 class Vocabulary:
     places: dict[str, int]
     counts: np.ndarray
-
-    def ids_of(self, word: str) -> bytes:
-        ids = []
+    #: The mean count of the tokens in each cell, and the sum of these over an ending's tokens.
+    cells: np.ndarray
+    ending_sums: np.ndarray
+
+    def share(self, token: str) -> float:
+        """A token's part of the probability of its ending."""
+        cell = float(self.cells[zlib.crc32(token.encode()) % len(self.cells)])
+        return max(cell, UNSEEN) / max(self.ending_sums[ending_of(token)], UNSEEN)
+
+    def ids_of(self, word: str) -> tuple[bytes, float]:
+        """The places of a word's tokens, and the logarithm of their shares."""
+        ids, shares = [], 0.0
         for token in tokens_of(word):
             place = self.places.get(token)
             if place is None:
-                place = WORDS + zlib.crc32(token[-ENDING_CHARS:].encode()) % ENDINGS
+                place = WORDS + ending_of(token)
+                shares += math.log(self.share(token))
             ids.append(place)
-        return np.array(ids, dtype="<u2").tobytes()
+        return np.array(ids, dtype="<u2").tobytes(), shares
 
 
 def fit_vocabulary(texts: DataFrame) -> Vocabulary:
-    """The ``WORDS`` most frequent tokens, ties by name, and counts of all tokens' places."""
+    """The ``WORDS`` most frequent tokens, ties by name, and counts of all tokens."""
+    spark = texts.sparkSession
     counted = stored(count_tokens(texts), "token_counts")
     best = counted.orderBy(F.desc("count"), "token").limit(WORDS).collect()
     counts = np.zeros(VOCABULARY)
@@ -280,29 +306,51 @@ def fit_vocabulary(texts: DataFrame) -> Vocabulary:
     ending = F.crc32(F.right("token", F.lit(ENDING_CHARS)).cast("binary")) % ENDINGS
     # The vocabulary has a fixed size.
     rest = counted.where(~F.col("token").isin(list(places))) if places else counted
+    size = min(CELLS, 1 << max(8, (16 * rest.count()).bit_length()))
+    cell = F.crc32(F.col("token").cast("binary")) % size
+    rest = rest.select(ending.cast("int").alias("ending"), cell.cast("int").alias("cell"), "count")
     # At most ENDINGS rows.
-    for row in rest.groupBy(ending.alias("ending")).agg(F.sum("count").alias("n")).collect():
+    for row in rest.groupBy("ending").agg(F.sum("count").alias("n")).collect():
         counts[WORDS + row.ending] = row.n
-    return Vocabulary(places, counts)
+    # At most CELLS rows.
+    found = rest.groupBy("cell").agg(F.avg("count").cast("float").alias("mean")).toArrow()
+    cells = np.zeros(size, dtype=np.float32)
+    cells[found["cell"].to_numpy()] = found["mean"].to_numpy()
+    shared = spark.sparkContext.broadcast(cells)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(ENDINGS)
+        for part in batches:
+            means = shared.value[part["cell"].to_numpy()].astype(np.float64)
+            total += np.bincount(part["ending"].to_numpy(), means, ENDINGS)
+        yield pa.RecordBatch.from_pydict({"ending": pa.array(range(ENDINGS), pa.int32()), "n": total})
+
+    summed = rest.select("ending", "cell").mapInArrow(sums, "ending int, n double")
+    ending_sums = np.zeros(ENDINGS)
+    for row in summed.groupBy("ending").agg(F.sum("n").alias("n")).collect():
+        ending_sums[row.ending] = row.n
+    return Vocabulary(places, counts, cells, ending_sums)
 
 
 def encode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``doc_id, ids`` (binary, 16-bit) of ``doc_id, text``."""
+    """``doc_id, ids, shares`` of ``doc_id, text``: binary, 16-bit, and a sum of logarithms."""
     shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Memory(shared.value.ids_of, MEMO_ENTRIES)
         for part in arrow_slices(batches, ["text"], 4 << 20):
-            made = [
-                b"".join(map(known.__getitem__, text.as_py().lower().split()))
-                for text in part["text"]
-            ]
+            made, shares = [], []
+            for text in part["text"]:
+                found = list(map(known.__getitem__, text.as_py().lower().split()))
+                made.append(b"".join([ids for ids, _ in found]))
+                shares.append(math.fsum([share for _, share in found]))
             yield pa.RecordBatch.from_arrays(
-                [part["doc_id"], pa.array(made, pa.binary())], ["doc_id", "ids"]
+                [part["doc_id"], pa.array(made, pa.binary()), pa.array(shares, pa.float64())],
+                ["doc_id", "ids", "shares"],
             )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, ids binary")
+    return rows.mapInArrow(run, f"doc_id {kind}, ids binary, shares double")
 
 
 def _ids(value: pa.Scalar) -> np.ndarray:
@@ -319,8 +367,9 @@ def train_round(encoded: DataFrame, network: Network, turn: int) -> Network:
         for part in arrow_slices(batches, ["ids"], 4 << 20):
             for value in part["ids"]:
                 ids = _ids(value)
-                first = (len(ids) + turn) % MASKED
-                if len(ids) > first:
+                # Of a short text, its last token.
+                first = min((len(ids) + turn) % MASKED, len(ids) - 1)
+                if len(ids):
                     trainer.add(edged(ids), np.arange(first, len(ids), MASKED) + SIDE)
         trainer.step()
         if trainer.places:
@@ -366,7 +415,7 @@ def score_documents(
                 [
                     part["doc_id"],
                     pa.array(sizes, pa.int64()),
-                    pa.array(score_lines(shared.value, lines), pa.float64()),
+                    pc.add(pa.array(score_lines(shared.value, lines), pa.float64()), part["shares"]),
                 ],
                 ["doc_id", "n_tokens", "log_probability"],
             )

@@ -106,8 +106,48 @@ def test_vocabulary_and_endings(spark, monkeypatch):
     for word in ("x", "xyz", "é", "früh"):
         place = 2 + zlib.crc32(word[-3:].encode()) % lm.ENDINGS
         assert made.counts[place] >= 1
-        assert np.frombuffer(made.ids_of(word), "<u2").tolist() == [place]
+        ids, shares = made.ids_of(word)
+        assert np.frombuffer(ids, "<u2").tolist() == [place] and shares <= 0
     assert made.counts.sum() == 9
+    assert made.ids_of("b") == (b"\0\0", 0.0)
+
+
+@pytest.mark.parametrize("cells", [4, 1 << 22])
+def test_all_tokens_share_one(spark, monkeypatch, cells):
+    """Within an ending shares sum to 1, so the probabilities of all tokens do at any place."""
+    monkeypatch.setattr(lm, "WORDS", 20)
+    monkeypatch.setattr(lm, "ENDINGS", lm.VOCABULARY - 20)
+    monkeypatch.setattr(lm, "CELLS", cells)
+    draw = random.Random(4)
+    words = ["".join(draw.choice("abc") for _ in range(draw.randrange(1, 7))) for _ in range(900)]
+    made = fit_vocabulary(spark.createDataFrame([(" ".join(words),)], "text string"))
+    counts = Counter(words)
+    rest = [word for word in counts if word not in made.places]
+    sums = Counter()
+    for word in rest:
+        sums[lm.ending_of(word)] += made.share(word)
+    assert len(rest) > 300 and list(sums.values()) == pytest.approx([1] * len(sums))
+    if cells > 4:
+        # Hardly any two tokens share a cell; there the share is that of the counts.
+        whole = Counter()
+        for word in rest:
+            whole[lm.ending_of(word)] += counts[word]
+        wanted = {w: counts[w] / whole[lm.ending_of(w)] for w in rest}
+        assert sum(made.share(w) == pytest.approx(x, rel=0.4) for w, x in wanted.items()) > 0.9 * len(rest)
+        assert sum(made.share(w) == pytest.approx(x) for w, x in wanted.items()) > 0.1 * len(rest)
+
+
+def test_words_that_nobody_else_uses_score_lower(spark):
+    """Known by their endings only, they would score as the words that they replace."""
+    draw = random.Random(6)
+    common = [f"{draw.choice('bdfg')}{a}{b}" for a in "aeiou" for b in ("ning", "ster", "land", "mony")] * 3
+    common += [f"{c}{w}" for c in "klmnp" for w in common[:20]]
+    monkeypatched = lm.WORDS
+    texts = [" ".join(draw.choice(common) for _ in range(40)) for _ in range(150)]
+    odd = " ".join("zq" + word[-3:] if i % 2 else word for i, word in enumerate(texts[0].split()))
+    found = score_documents(documents(spark, [*enumerate(texts), (1000, odd)])).collect()
+    scores = {r.doc_id: r.log_probability for r in found}
+    assert scores[1000] < scores[0] - 10 and lm.WORDS == monkeypatched
 
 
 def test_fluent_texts_score_higher(spark):

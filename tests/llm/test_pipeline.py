@@ -7,6 +7,7 @@ import random
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from starloom.llm.decontaminate import find_leaks
@@ -80,9 +81,52 @@ def test_clean_documents_stay(spark, sf_dir):
         assert stage(spark, docs, sf_dir).count() == 60, name
 
 
+NAMES = ("kept", "digest", "hash", "key", "best", "size", "fingerprint", "ids", "row", "dropped", "dropped_",
+         "text_md5", "prefix", "length", "contested", "last", "root", "item_id", "place", "_dropped_id",
+         "_leak_id", "_rejected_id", "_text_digest", "predicted", "score", "slots", "component_id")
+
+
 @pytest.mark.parametrize("stage", corpus_pipeline.STAGES[:4])
 def test_extra_columns_with_clashing_names(spark, sf_dir, stage):
-    docs = documents(spark, [(i, plain(i)) for i in range(5)])
-    for name in ("kept", "digest", "hash", "key", "best", "size", "fingerprint", "ids"):
+    docs = documents(spark, [(i, plain(i)) for i in range(5)] + [(None, None)])
+    for name in NAMES:
         docs = docs.selectExpr("*", f"1 AS `{name}`")
-    assert stage[1](spark, docs, sf_dir).columns == docs.columns
+    left = stage[1](spark, docs, sf_dir)
+    assert left.columns == docs.columns
+    assert all(row[name] == 1 for row in left.collect() for name in NAMES)
+
+
+def test_rows_without_ids_follow_decisions(spark, sf_dir):
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first().text
+    stages = dict(corpus_pipeline.STAGES)
+
+    def left(name, rows):
+        return sorted(map(str, ((r.doc_id, r.text) for r in stages[name](spark, documents(spark, rows), sf_dir).collect())))
+
+    def told(*rows):
+        return sorted(map(str, rows))
+
+    a, b = plain(1), plain(2)
+    assert left("exact_dedup", [(None, a), (1, a.upper()), (None, b)]) == told((1, a.upper()), (None, b))
+    rows = [(None, a), (4, a.upper()), (None, b), (None, b)]
+    assert left("simhash_near_dedup", rows) == told((4, a.upper()), (None, b), (None, b))
+    assert left("decontamination", [(None, a + item), (None, b)]) == told((None, b))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    scored = score_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    rejected = docs.join(scored.where("predicted = 0"), "doc_id").select(*docs.columns)
+    nameless = rejected.withColumn("doc_id", F.lit(None).cast("long"))
+    assert nameless.count() > 1
+    kept = stages["quality"](spark, docs.unionByName(nameless), sf_dir)
+    assert kept.where("doc_id is null").count() == 0 < kept.count()
+
+
+@pytest.mark.parametrize("stage", corpus_pipeline.STAGES)
+def test_very_long_texts(spark, sf_dir, stage):
+    draw = random.Random(3)
+    words = [f"word{draw.randrange(9999)}" for _ in range(20_000)]
+    rows = [(i, " ".join(draw.choice(words) for _ in range(400_000 >> i))) for i in range(3)]
+    rows.append((9, "y" * 1_000_000))
+    left = stage[1](spark, documents(spark, rows), sf_dir).collect()
+    assert {r.doc_id for r in left} <= {0, 1, 2, 9}
+    if stage[0] in ("exact_dedup", "simhash_near_dedup", "decontamination"):
+        assert len(left) == 4

@@ -565,7 +565,8 @@ def cleaned_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     finish(start_gold(gold_view(spark, layout), layout, available_now=True))
     gold = spark.table(layout.gold_table).agg(F.sum("customer_count")).first()[0]
     views = [t.name for t in spark.catalog.listTables() if t.name.startswith(layout.prefix)]
-    before = (gold, len(views), len(spark.catalog.listTables(layout.database)) - len(views))
+    tables = [t.name for t in spark.catalog.listTables(layout.database) if not t.isTemporary]
+    before = (gold, len(views), len(tables))
     clean_up(spark, layout)
     left = [t.name for t in spark.catalog.listTables() if t.name.startswith(layout.prefix)]
     running = sum(query.isActive for query in layout.queries)

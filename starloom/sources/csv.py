@@ -232,8 +232,8 @@ def read_csv_typed(
 
     Columns are matched to the header by name, and come in the order of ``schema``; a name that
     only one of them has is an error, and so are a file with another header or one that ends
-    inside a quoted field, and a row with surplus fields. Large files are read in many tasks. Numeric text that does not parse fails the job. Nested columns are read from
-    JSON text.
+    inside a quoted field, and a row with surplus fields. Numeric text that does not parse fails
+    the job. Nested columns are read from JSON text. Large files are read in many tasks.
 
     Without a schema the types are found in an extra pass over the texts: whole numbers,
     numbers, booleans, or text, which stays as it is. Pass ``missing=()`` to keep ``NA`` and the

@@ -172,15 +172,25 @@ def _count_words(docs: DataFrame, confirmed: DataFrame) -> dict[bool, np.ndarray
                 for total in totals if kind else totals[:1]:
                     total[found] += 1
                     total[-1] += 1
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([False, True]), pa.array([x.tobytes() for x in totals], pa.binary())],
-            ["confirmed", "vector"],
-        )
+        for kind, total in zip((False, True), totals):
+            found = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(found), kind)),
+                    pa.array(found.astype(np.int32)),
+                    pa.array(total[found]),
+                ],
+                ["confirmed", "bucket", "n"],
+            )
 
-    counted = rows.mapInArrow(run, "confirmed boolean, vector binary")
-    # Two rows of some 2 MB, however many and however long the texts are.
-    added = add_vectors(counted, ["confirmed"], "int64").collect()
-    return {row.confirmed: np.frombuffer(row.vector, dtype=np.int64) for row in added}
+    counted = rows.mapInArrow(run, "confirmed boolean, bucket int, n long")
+    # A row per bucket and kind, however many and however long the texts are.
+    added = counted.groupBy("confirmed", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    kinds, buckets, n = (added[name].to_numpy() for name in ("confirmed", "bucket", "n"))
+    totals = {kind: np.zeros(BUCKETS + 1, dtype=np.int64) for kind in (False, True)}
+    for kind, total in totals.items():
+        total[buckets[kinds == kind]] = n[kinds == kind]
+    return totals
 
 
 def word_patterns(df: DataFrame, chosen: np.ndarray) -> DataFrame:
@@ -266,7 +276,7 @@ def _choose(
     confirmed = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_POSITIVE)
     confirmed = stored(confirmed, "confirmed")
     counts = _count_words(docs, confirmed)
-    positive, unlabelled = (int(counts[kind][-1]) if counts else 0 for kind in (True, False))
+    positive, unlabelled = int(counts[True][-1]), int(counts[False][-1])
     if not positive:
         return confirmed, np.zeros(0, dtype=np.int64), prior
     chosen = chosen_words(counts[True][:-1], positive, counts[False][:-1], unlabelled)

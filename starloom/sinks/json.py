@@ -21,6 +21,8 @@ CODECS = {
     ".zst": "zstd",
 }
 
+# Bytes that a line of an array file has at least, unless it is the last.
+LINE_BYTES = 1 << 20
 
 # Extensions of compressed files that Spark cannot write.
 OTHER_ARCHIVES = (".zip", ".xz", ".tar", ".tar.gz", ".tar.bz2", ".tar.xz", ".tar.zst", ".7z")
@@ -64,20 +66,29 @@ def write_json_array(
     """Files that are each one array of objects, null fields included.
 
     A file holds at most ``rows_per_file`` objects and, unless one object is longer, about
-    ``bytes_per_file`` bytes, however uneven the partitions are, as a reader parses it whole.
+    ``bytes_per_file`` bytes, however uneven the partitions are, as a reader parses it whole. A
+    task passes it on in lines of about a megabyte, so that its memory does not grow with files.
     """
 
+    # A file is so many lines: all but the last of an array hold that many bytes or more, and empty
+    # ones behind an array that ends early fill it up, as Spark counts lines to begin a file.
+    lines_per_file = max(1, -(-bytes_per_file // LINE_BYTES))
+    line_bytes = LINE_BYTES
+
     # Defined here so that it travels to executors that lack this package.
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Array] = []
-        rows = size = 0
+        held: list[pa.Array] = []  # Of the line that is next.
+        rows = size = line = lines = 0
         written = False
 
-        def array() -> pa.RecordBatch:
+        def values(texts: pa.Array) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([texts], ["value"])
+
+        def joined(end: str) -> pa.RecordBatch:
             records = pa.concat_arrays([pa.array([], pa.string()), *held])
             whole = pa.ListArray.from_arrays(pa.array([0, len(records)], pa.int32()), records)
-            text = pc.binary_join(whole, ",\n")[0].as_py()
-            return pa.RecordBatch.from_arrays([pa.array([f"[{text}]"])], ["value"])
+            text = pc.binary_join(whole, ",\n")
+            return values(pc.binary_join_element_wise("" if lines else "[", text, end, ""))
 
         for batch in batches:
             records = batch.column(0)
@@ -90,20 +101,26 @@ def write_json_array(
                 end = min(start + rows_per_file - rows, fitting)
                 if end <= start and not rows:
                     end = start + 1  # One that is longer than a file should be.
-                if end > start:
-                    held.append(records.slice(start, end - start))
-                    rows, size, start = rows + end - start, size + int(ends[end - 1]) - before, end
-                if start < len(records):
-                    yield array()
-                    held, rows, size, written = [], 0, 0, True
+                if end <= start:
+                    yield joined("]")
+                    yield values(pa.array([""] * (lines_per_file - lines - 1), pa.string()))
+                    held, rows, size, line, lines, written = [], 0, 0, 0, 0, True
+                    continue
+                if line >= line_bytes:
+                    yield joined(",")
+                    held, line, lines = [], 0, lines + 1
+                end = min(end, int(np.searchsorted(ends, before + line_bytes - line)) + 1)
+                held.append(records.slice(start, end - start))
+                taken = int(ends[end - 1]) - before
+                rows, size, line, start = rows + end - start, size + taken, line + taken, end
         if rows or not written:
-            yield array()
+            yield joined("]")
 
     records = df.select(_record(df, pretty).alias("value"))
     (
         records.mapInArrow(arrays, "value string")
         .write.mode(mode)
-        .option("maxRecordsPerFile", 1)  # A record is a whole array here.
+        .option("maxRecordsPerFile", lines_per_file)
         .option("compression", codec_for(path, compression))
         .text(path)
     )

@@ -25,6 +25,9 @@ from starloom.scratch import scratch_path
 # What tasks run travels with them, so that executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Chunks of about so many bytes are looked at together.
+RUN_BYTES = 1 << 20
+
 _PLAIN = r'(?:[^",][^,]*)?'
 _QUOTED = r'"(?:[^"]|"")*"(?:[^,"][^,]*)?'
 _FIELDS = f"(?:(?:{_QUOTED}|{_PLAIN}),)*"
@@ -144,12 +147,18 @@ def _depths(states, start_state, start_depth, change0, change1) -> np.ndarray:
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, pa.Array]]:
-    """``file, start, chunks`` of what belongs to one split, a batch at a time."""
+    """``file, start, chunks`` of what belongs to one split, about a megabyte at a time.
+
+    The steps take many times the bytes of their chunks, and a batch is bounded by rows.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
         file, start = batch["file"].to_numpy(), batch["start"].to_numpy()
-        cuts = np.flatnonzero((np.diff(file) != 0) | (np.diff(start) != 0)) + 1
+        sizes = pc.binary_length(batch["value"]).to_numpy().astype(np.int64)
+        run = np.cumsum(sizes) // RUN_BYTES
+        changed = (np.diff(file) != 0) | (np.diff(start) != 0) | (np.diff(run) != 0)
+        cuts = np.flatnonzero(changed) + 1
         for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(file)]):
             yield int(file[low]), int(start[low]), batch["value"].slice(low, high - low)
 

@@ -9,7 +9,7 @@ import pyarrow.compute as pc
 import pytest
 
 from starloom.sinks import write_json_array
-from starloom.sources.records import JsonElements, find_splits, read_records
+from starloom.sources.records import CsvLines, JsonElements, find_splits, read_records
 
 MEGABYTE = 1 << 20
 
@@ -119,3 +119,20 @@ def test_elements_are_cut_a_megabyte_at_a_time(spark, tmp_path, given, monkeypat
     texts = [row["text"] for batch in cut(one_batch(chunks)) for row in batch.to_pylist()]
     assert [text.lstrip("[,\n") + "}" for text in texts] == objects
     assert max(sizes) <= 1.1 * MEGABYTE and len(sizes) > 20
+
+
+def test_lines_with_breaks_are_cut_a_megabyte_at_a_time(spark, tmp_path, given, monkeypatch):
+    (tmp_path / "a.csv").write_text('a,b\n1,"x\ny"\n')
+    grammar = CsvLines()
+    splits = find_splits(spark, str(tmp_path), grammar)
+    read_records(spark, str(tmp_path), grammar, splits)
+    sizes = looked_at(monkeypatch, CsvLines)
+    records = ["a,b", *(f'{k},"{"x," * 300}""\n{"y" * 600}"' for k in range(5000))]
+    chunks = "\n".join(records).split("\n")
+    find, cut = given
+    rows = [batch.to_pylist()[0] for batch in find(one_batch(chunks))]
+    assert [(row["end0"], row["breaks0"]) for row in rows] == [(0, 1)]
+    found = [row for batch in cut(one_batch(chunks)) for row in batch.to_pylist()]
+    assert [row["text"] for row in found] == records
+    assert [row["first"] for row in found] == [True] + [False] * 5000
+    assert max(sizes) <= 1.1 * MEGABYTE and len(sizes) > 10

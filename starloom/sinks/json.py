@@ -21,7 +21,8 @@ CODECS = {
     ".zst": "zstd",
 }
 
-# Bytes that a line of an array file has at least, unless it is the last.
+# About the bytes that tasks join at once: a line of an array file has as many or more, unless it
+# is the last.
 LINE_BYTES = 1 << 20
 
 # Extensions of compressed files that Spark cannot write.
@@ -152,7 +153,7 @@ def write_json_split(
     all documents, and a document holds rows that follow each other; without, they count within
     a document.
     """
-    columns = json.dumps(df.columns)
+    columns, line_bytes = json.dumps(df.columns), LINE_BYTES
     cells = _cells(df).alias("value")
     if order_by is None:
         rows = df.select(cells, F.lit(None).cast("long").alias("position"))
@@ -178,9 +179,17 @@ def write_json_split(
 
         held: list[tuple[pa.Array, pa.Array]] = []
         rows = 0
-        for batch in batches:
-            held.append((batch["value"], batch["position"]))
-            rows += batch.num_rows
+        def parts() -> Iterator[pa.RecordBatch]:
+            """Batches, which are bounded by rows, cut into about a megabyte."""
+            for batch in batches:
+                sizes = pc.binary_length(batch["value"]).to_numpy().astype(np.int64)
+                cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // line_bytes)) + 1
+                for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+                    yield batch.slice(low, high - low)
+
+        for part in parts():
+            held.append((part["value"], part["position"]))
+            rows += part.num_rows
             if rows >= rows_per_document:
                 values, positions = (pa.concat_arrays(x) for x in zip(*held))
                 full = rows - rows % rows_per_document

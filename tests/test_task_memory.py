@@ -8,7 +8,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
 
-from starloom.sinks import write_json_array
+from starloom.sinks import write_json_array, write_json_split
 from starloom.sources.records import CsvLines, JsonElements, find_splits, read_records
 
 MEGABYTE = 1 << 20
@@ -136,3 +136,19 @@ def test_lines_with_breaks_are_cut_a_megabyte_at_a_time(spark, tmp_path, given,
     assert [row["text"] for row in found] == records
     assert [row["first"] for row in found] == [True] + [False] * 5000
     assert max(sizes) <= 1.1 * MEGABYTE and len(sizes) > 10
+
+
+@pytest.mark.parametrize("rows_per_document", [1000, 7])
+def test_split_documents_leave_a_megabyte_at_a_time(spark, tmp_path, given, rows_per_document):
+    write_json_split(spark.range(1), str(tmp_path / "split"), rows_per_document=rows_per_document)
+    cells = [f'[{k},"{"x" * 990}"]' for k in range(20_500)]
+    columns = [pa.array(cells), pa.nulls(len(cells), pa.int64())]
+    batch = pa.RecordBatch.from_arrays(columns, ["value", "position"])
+    made = [lines["value"].to_pylist() for lines in given[0](iter([batch.slice(0, 0), batch]))]
+    assert max(sum(map(len, lines)) for lines in made) < 2.2 * MEGABYTE
+    documents = [json.loads(line) for lines in made for line in lines]
+    sizes = [len(document["data"]) for document in documents]
+    full, rest = divmod(20_500, rows_per_document)
+    assert sizes == [rows_per_document] * full + [rest] * (rest > 0)
+    assert [row[0] for document in documents for row in document["data"]] == list(range(20_500))
+    assert all(document["index"] == list(range(n)) for document, n in zip(documents, sizes))

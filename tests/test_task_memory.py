@@ -54,7 +54,7 @@ def written(arrays, batches):
     return lines, most
 
 
-@pytest.mark.parametrize("bytes_per_file", [1 << 30])
+@pytest.mark.parametrize("bytes_per_file", [1 << 30, 64 << 20])
 def test_a_task_holds_no_whole_array(spark, tmp_path, given, bytes_per_file):
     place = str(tmp_path / "array")
     write_json_array(spark.range(1), place, bytes_per_file=bytes_per_file)
